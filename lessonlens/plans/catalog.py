@@ -311,3 +311,96 @@ for _f in ("centre_id", "user_id", "batch_id", "trade_id", "subject_id"):
     register("scope_" + _f[:-3])(lambda spark, sf, _f=_f: _scoped_merged(spark, sf, _f))
 for _f in ("project_id", "program_id", "phase_id"):
     register("scope_" + _f[:-3])(lambda spark, sf, _f=_f: _scoped_phase(spark, sf, _f))
+
+
+# -- P5 / P6 / P7 / J11 -----------------------------------------------------------------
+from lessonlens.functions.columns import (batch_status_label, first_slot,  # noqa: E402
+                                          user_type_label, yes_no_label)
+from lessonlens.operators import addon as AD  # noqa: E402
+from lessonlens.operators import filters as FL  # noqa: E402
+
+DASH_COLUMN_FILTERS = {"state_name": ["AMERICA", "EUROPE", "ASIA"], "gender": ["Male", "Female"],
+                       "user_type": ["Learner", "Alumni"]}
+DASH_SLOT_FILTERS = {"phase": ["Phase_2", "Phase_4"], "sub_name": ["Brand#12", "Brand#23", "Brand#34"],
+                     "year_category": [1, 2]}
+
+
+@register("user_addon")
+def q_user_addon(spark, sf):
+    return AD.user_addon(pipeline(spark, sf).src)
+
+
+@register("first_login")
+def q_first_login(spark, sf):
+    return AD.first_login(pipeline(spark, sf).src)
+
+
+@register("labels")
+def q_labels(spark, sf):
+    p = pipeline(spark, sf)
+    snap = p.user_snapshot().select("user_id", "user_type", "is_ple")
+    return (snap.join(AD.user_addon(p.src), "user_id", "left")
+            .select("user_id", user_type_label().alias("user_type_e"),
+                    yes_no_label("is_ple", ("PLE", "Non-PLE")).alias("is_ple_e"),
+                    yes_no_label("ple_enabled", ("PLE Centre", "Non-PLE Centre")).alias("ple_enabled_e"),
+                    batch_status_label().alias("batch_status_e")))
+
+
+@register("first_slot")
+def q_first_slot(spark, sf):
+    snap = pipeline(spark, sf).user_snapshot().where(F.col("project_combos").isNotNull())
+    return snap.select("user_id", first_slot("project_combos", "prog_name").alias("prog_name"),
+                       first_slot("project_combos", "proj_name").alias("proj_name"),
+                       first_slot("project_combos", "phase").alias("phase"))
+
+
+@register("filter_dims")
+def q_filter_dims(spark, sf):
+    p = pipeline(spark, sf)
+    return FL.filter_dims(p.user_snapshot(), AD.user_addon(p.src), p.consts)
+
+
+def _dash(spark, sf, filters=None):
+    p = pipeline(spark, sf)
+    d = FL.dash_dataset(p.user_snapshot(), AD.user_addon(p.src), p.consts, filters)
+    return d.select(*[F.col(c).cast("bigint").alias(c) if c == "rounded_completion" else c
+                      for c in d.columns if not c.endswith("_combos")],
+                    _size("project_combos").alias("n_project_combos"),
+                    _size("subject_combos").alias("n_subject_combos"))
+
+
+@register("dash_dataset")
+def q_dash_dataset(spark, sf):
+    return _dash(spark, sf)
+
+
+@register("dash_column_filters")
+def q_dash_column_filters(spark, sf):
+    return _dash(spark, sf, DASH_COLUMN_FILTERS)
+
+
+@register("dash_any_slot")
+def q_dash_any_slot(spark, sf):
+    return _dash(spark, sf, DASH_SLOT_FILTERS)
+
+
+def _export(p: Pipeline) -> DataFrame:
+    return AD.lesson_export(p.lesson_progress(), p.src, AD.user_addon(p.src))
+
+
+@register("lesson_export")
+def q_lesson_export(spark, sf):
+    return _export(pipeline(spark, sf))
+
+
+@register("export_missing_users")
+def q_export_missing_users(spark, sf):
+    p = pipeline(spark, sf)
+    requested = p.src.users.select(F.col("id").alias("user_id"))
+    return AD.export_missing_users(requested, p.lesson_progress())
+
+
+@register("lesson_type_dist")
+def q_lesson_type_dist(spark, sf):
+    return (_export(pipeline(spark, sf)).groupBy("lesson_type")
+            .agg(F.count(F.lit(1)).alias("rows")))
