@@ -6,6 +6,8 @@ Plan shape (the same at any scale):
   ``centre_subject`` (size: centres x subjects) and then to the lesson
   catalogue (size: lessons), both broadcast behind a row-count check, so the
   user x lesson fan-out is produced map-side without a shuffle;
+* the three paths (non-PLE, PLE, staff) are one pass with a per-row path
+  column, not three unioned branches, so each dimension is broadcast once;
 * batch / trade / career-path gates are applied at user x subject grain,
   before the fan-out to lessons;
 * lesson attributes (type, flags, exclusion) are computed once on the
@@ -75,7 +77,7 @@ def eligible_lessons(src: Sources, learner: bool, consts: Constants = DEFAULT,
                     "lesson_order", "lesson_type",
                     assessment_flag("is_assessment", "name").alias("is_assessment"),
                     toolkit_type().alias("toolkit_type"),
-                    "facilitator_access", "mastertrainer_access"))
+                    "student_access", "facilitator_access", "mastertrainer_access"))
 
 
 def _user_subjects(src: Sources, users: DataFrame, params: Params) -> DataFrame:
@@ -93,33 +95,80 @@ def _user_subjects(src: Sources, users: DataFrame, params: Params) -> DataFrame:
             .join(bounded_broadcast(trades, _key(src, "trades")), "trade_id", "left"))
 
 
-def _with_lessons(rows: DataFrame, lessons: DataFrame, src: Sources, name: str) -> DataFrame:
-    return rows.join(bounded_broadcast(lessons, _key(src, name)), "subject_id")
+# -- J1 / J2: the three allocation paths in one pass ------------------------------------
+def _path() -> "F.Column":
+    t, ple = F.col("user_type"), F.col("is_ple")
+    learner = t.isin(*C.LEARNER_TYPES)
+    return (F.when(learner & (ple.isNull() | (ple != 1)), C.PATH_NON_PLE)
+            .when(learner & (ple == 1), C.PATH_PLE)
+            .when(t.isin(*C.STAFF_TYPES), C.PATH_STAFF))
 
 
-def _finish(df: DataFrame) -> DataFrame:
-    return df.select(*ALLOCATION_COLUMNS)
+def alloc_paths(src: Sources, users: DataFrame, params: Params = NO_SCOPE,
+                consts: Constants = DEFAULT, ple_rule: str = "strict",
+                excluded_types=None) -> DataFrame:
+    """All three allocation paths (non-PLE, PLE, staff) as one relation (G1).
+
+    Each user row gets its path from type and PLE flag; the path decides which
+    subject gates apply (batch / trade / career-path mapping / year) and which
+    lesson access flag counts.  One pass instead of three unioned branches:
+    every dimension is broadcast once and the users keep their ``user_id``
+    partitioning; the latest career path is joined on that partitioning.
+    """
+    if ple_rule not in ("strict", "loose"):
+        raise ValueError(ple_rule)
+    path = F.col("allocation_path")
+    paths = (src.ple_career_paths.where(F.col("deleted_at").isNull())
+             .select(F.col("id").alias("job_type_id"), F.col("id").alias("career_path_id"),
+                     F.col("name").alias("career_path_name")))
+    latest = (latest_career_path(src)
+              .join(bounded_broadcast(paths, _key(src, "ple_career_paths")), "job_type_id", "left")
+              .select("user_id", "career_path_id", "career_path_name", "career_path_updated_at"))
+    u = users.withColumn("allocation_path", _path()).where(path.isNotNull())
+    u = u.join(latest, "user_id", "left")
+    us = _user_subjects(src, u, params)
+    spcp = src.subject_ple_career_path.select(F.col("ple_career_path_id").alias("career_path_id"),
+                                              "subject_id")
+    us = gate_join(us, spcp, ["career_path_id", "subject_id"], "_map",
+                   _key(src, "subject_ple_career_path"))
+    us = gate_join(us, src.batch_subject, ["batch_id", "subject_id"], "_bs", _key(src, "batch_subject"))
+    us = gate_join(us, src.subject_trade, ["trade_id", "subject_id"], "_st", _key(src, "subject_trade"))
+    s_ple, cp = F.col("subject_is_ple"), F.col("career_path_id")
+    batch_ok = F.col("batch_id").isNull() | F.col("_bs").isNotNull()
+    trade_ok = F.col("trade_id").isNull() | F.col("_st").isNotNull()
+    mapped = cp.isNotNull() & F.col("_map").isNotNull()
+    if ple_rule == "loose":
+        mapped = cp.isNull() | (s_ple == 0) | F.col("_map").isNotNull()
+    keep = (((path == C.PATH_NON_PLE) & s_ple.isin(0, 2) & batch_ok & trade_ok & year_gate())
+            | ((path == C.PATH_PLE) & s_ple.isin(0, 1) & mapped & batch_ok & year_gate())
+            | ((path == C.PATH_STAFF) & s_ple.isin(0, 1, 2)))
+    us = us.where(keep)
+    lessons = eligible_lessons(src, False, consts, excluded_types)
+    rows = us.join(bounded_broadcast(lessons, _key(src, ("lessons_any", excluded_types))), "subject_id")
+    learner_path = path.isin(C.PATH_NON_PLE, C.PATH_PLE)
+    rows = rows.where((learner_path & (F.col("student_access") == 1))
+                      | ((path == C.PATH_STAFF) & staff_access()))
+    staff, ple_p = path == C.PATH_STAFF, path == C.PATH_PLE
+    null = lambda t: F.lit(None).cast(t)
+    return rows.select(
+        "user_id", "user_name", "user_type", "centre_id", "project_id",
+        F.when(~staff, F.col("batch_id")).alias("batch_id"),
+        F.when(path == C.PATH_NON_PLE, F.col("trade_id")).alias("trade_id"),
+        F.when(ple_p, cp).alias("career_path_id"),
+        F.when(ple_p, F.col("career_path_name")).alias("career_path_name"),
+        F.when(ple_p, F.col("career_path_updated_at")).alias("career_path_updated_at"),
+        "is_master_trainer", "subject_id", "subject_name", "subject_is_ple", "ple_career_path_id",
+        "year_to_map", "subject_order", "lesson_id", "lesson_name", "lesson_order", "lesson_type",
+        "is_assessment", "toolkit_type",
+        F.when(~staff, F.col("trade_duration")).alias("trade_duration"),
+        "allocation_path")
 
 
-# -- J1: three allocation paths ----------------------------------------------------
 def alloc_non_ple(src: Sources, users: DataFrame, params: Params = NO_SCOPE,
                   consts: Constants = DEFAULT, excluded_types=None) -> DataFrame:
     """Learners/alumni that are not PLE: centre subjects gated by batch, trade, year."""
-    u = users.where(F.col("user_type").isin(*C.LEARNER_TYPES)
-                    & (F.col("is_ple").isNull() | (F.col("is_ple") != 1)))
-    us = _user_subjects(src, u, params).where(F.col("subject_is_ple").isin(0, 2))
-    us = gate_join(us, src.batch_subject, ["batch_id", "subject_id"], "_bs", _key(src, "batch_subject"))
-    us = gate_join(us, src.subject_trade, ["trade_id", "subject_id"], "_st", _key(src, "subject_trade"))
-    us = us.where((F.col("batch_id").isNull() | F.col("_bs").isNotNull())
-                  & (F.col("trade_id").isNull() | F.col("_st").isNotNull())
-                  & year_gate())
-    rows = _with_lessons(us, eligible_lessons(src, True, consts, excluded_types), src,
-                         ("lessons_learner", excluded_types))
-    return _finish(rows.select(
-        "*", F.lit(None).cast("bigint").alias("career_path_id"),
-        F.lit(None).cast("string").alias("career_path_name"),
-        F.lit(None).cast("timestamp_ntz").alias("career_path_updated_at"),
-        F.lit(C.PATH_NON_PLE).alias("allocation_path")))
+    return (alloc_paths(src, users, params, consts, "strict", excluded_types)
+            .where(F.col("allocation_path") == C.PATH_NON_PLE))
 
 
 def alloc_ple(src: Sources, users: DataFrame, params: Params = NO_SCOPE,
@@ -130,60 +179,23 @@ def alloc_ple(src: Sources, users: DataFrame, params: Params = NO_SCOPE,
     subject must be mapped to it.  ``rule="loose"`` (variant P2): a user
     without a path, or a general subject (``is_ple = 0``), passes unmapped.
     """
-    if rule not in ("strict", "loose"):
-        raise ValueError(rule)
-    u = users.where(F.col("user_type").isin(*C.LEARNER_TYPES) & (F.col("is_ple") == 1))
-    paths = (src.ple_career_paths.where(F.col("deleted_at").isNull())
-             .select(F.col("id").alias("job_type_id"), F.col("name").alias("career_path_name")))
-    paths = paths.withColumn("career_path_id", F.col("job_type_id"))
-    latest = (latest_career_path(src)
-              .join(bounded_broadcast(paths, _key(src, "ple_career_paths")), "job_type_id", "left")
-              .select("user_id", "career_path_id", "career_path_name", "career_path_updated_at"))
-    if rule == "strict":
-        u = u.join(latest.where(F.col("career_path_id").isNotNull()), "user_id")
-    else:
-        u = u.join(latest, "user_id", "left")
-    us = _user_subjects(src, u, params).where(F.col("subject_is_ple").isin(0, 1))
-    spcp = src.subject_ple_career_path.select(F.col("ple_career_path_id").alias("career_path_id"),
-                                              "subject_id")
-    us = gate_join(us, spcp, ["career_path_id", "subject_id"], "_map",
-                   _key(src, "subject_ple_career_path"))
-    us = gate_join(us, src.batch_subject, ["batch_id", "subject_id"], "_bs", _key(src, "batch_subject"))
-    mapped = F.col("_map").isNotNull()
-    if rule == "loose":
-        mapped = F.col("career_path_id").isNull() | (F.col("subject_is_ple") == 0) | mapped
-    us = us.where(mapped & (F.col("batch_id").isNull() | F.col("_bs").isNotNull()) & year_gate())
-    rows = _with_lessons(us, eligible_lessons(src, True, consts, excluded_types), src,
-                         ("lessons_learner", excluded_types))
-    return _finish(rows.withColumn("trade_id", F.lit(None).cast("bigint"))
-                   .withColumn("allocation_path", F.lit(C.PATH_PLE)))
+    return (alloc_paths(src, users, params, consts, rule, excluded_types)
+            .where(F.col("allocation_path") == C.PATH_PLE))
 
 
 def alloc_staff(src: Sources, users: DataFrame, params: Params = NO_SCOPE,
                 consts: Constants = DEFAULT, excluded_types=None) -> DataFrame:
     """Admins all lessons; facilitators / master trainers by their access flag."""
-    u = users.where(F.col("user_type").isin(*C.STAFF_TYPES))
-    us = _user_subjects(src, u, params).where(F.col("subject_is_ple").isin(0, 1, 2))
-    rows = _with_lessons(us, eligible_lessons(src, False, consts, excluded_types), src,
-                         ("lessons_any", excluded_types))
-    rows = rows.where(staff_access())
-    return _finish(rows.select(
-        *[c for c in rows.columns if c not in ("batch_id", "trade_id", "trade_duration")],
-        F.lit(None).cast("bigint").alias("batch_id"), F.lit(None).cast("bigint").alias("trade_id"),
-        F.lit(None).cast("bigint").alias("career_path_id"),
-        F.lit(None).cast("string").alias("career_path_name"),
-        F.lit(None).cast("timestamp_ntz").alias("career_path_updated_at"),
-        F.lit(None).cast("int").alias("trade_duration"),
-        F.lit(C.PATH_STAFF).alias("allocation_path")))
+    return (alloc_paths(src, users, params, consts, "strict", excluded_types)
+            .where(F.col("allocation_path") == C.PATH_STAFF))
 
 
 # -- G1 + E2: union and de-duplication --------------------------------------------------
 def alloc_union(src: Sources, users: DataFrame, params: Params = NO_SCOPE,
                 consts: Constants = DEFAULT, ple_rule: str = "strict",
                 excluded_types=None) -> DataFrame:
-    return (alloc_non_ple(src, users, params, consts, excluded_types)
-            .unionByName(alloc_ple(src, users, params, consts, ple_rule, excluded_types))
-            .unionByName(alloc_staff(src, users, params, consts, excluded_types)))
+    """G1: the union of the three paths (built as one relation, see ``alloc_paths``)."""
+    return alloc_paths(src, users, params, consts, ple_rule, excluded_types)
 
 
 def alloc_dedup(allocation: DataFrame) -> DataFrame:

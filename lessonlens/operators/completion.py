@@ -47,7 +47,7 @@ def completion_dedup(src: Sources, users: DataFrame) -> DataFrame:
     return completion(src, users, LEARNER).unionByName(completion(src, users, STAFF))
 
 
-def merge(allocation: DataFrame, src: Sources) -> DataFrame:
+def merge(allocation: DataFrame, src: Sources, partitions: int | None = None) -> DataFrame:
     """Allocation LEFT JOIN completion on (user, lesson); completed = match found.
 
     Both activity logs are aggregated with a ``source`` tag and joined on
@@ -61,8 +61,8 @@ def merge(allocation: DataFrame, src: Sources) -> DataFrame:
     comp = (_aggregate(src.learning_activities).withColumn("_src", F.lit(LEARNER))
             .unionByName(_aggregate(src.facilitator_learning_activities)
                          .withColumn("_src", F.lit(STAFF)))
-            .withColumn("_hit", F.lit(1))
-            .repartition("user_id"))
+            .withColumn("_hit", F.lit(1)))
+    comp = comp.repartition(partitions, "user_id") if partitions else comp.repartition("user_id")
     alloc = allocation.withColumn(
         "_src", F.when(F.col("user_type").isin(*C.LEARNER_TYPES), LEARNER).otherwise(STAFF))
     return (alloc.join(comp, ["user_id", "lesson_id", "_src"], "left")

@@ -18,7 +18,7 @@ from lessonlens.operators import rollup as R
 from lessonlens.operators.scope import Params, active_users
 from lessonlens.plans.products import SNAPSHOT_COLUMNS, Pipeline
 from lessonlens.session import tune
-from lessonlens.sources.fixtures import Sources
+from lessonlens.sources.fixtures import sources_for
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -36,7 +36,7 @@ def register(name: str):
 
 def pipeline(spark: SparkSession, sf_dir: str, **kw) -> Pipeline:
     tune(spark)
-    return Pipeline(Sources(spark, sf_dir), **kw)
+    return Pipeline(sources_for(spark, sf_dir), **kw)
 
 
 def _size(c: str) -> F.Column:

@@ -18,6 +18,7 @@ from lessonlens.operators import completion as CMP
 from lessonlens.operators import programme as PG
 from lessonlens.operators import rollup as R
 from lessonlens.operators.scope import NO_SCOPE, Params, active_users
+from lessonlens.session import user_partitions
 from lessonlens.sources.fixtures import Sources
 
 SNAPSHOT_COLUMNS = ["user_id", "user_type", "centre_id", "organisation_id", "is_ple", "created_at",
@@ -51,9 +52,13 @@ class Pipeline:
         """Active users (with profile), hash-partitioned on ``user_id``.
 
         The explicit partitioning is the one shuffle of the user relation; the
-        allocation fan-out, the completion join and all roll-ups reuse it.
+        allocation fan-out, the completion join and all roll-ups reuse it.  The
+        partition count is explicit: the user relation is small next to the
+        user x lesson fan-out produced from it, and AQE would otherwise
+        coalesce this shuffle into a handful of tasks by its input size.
         """
-        return active_users(self.src, self.params, self.user_keys).repartition("user_id")
+        return active_users(self.src, self.params, self.user_keys).repartition(
+            user_partitions(self.src.spark), "user_id")
 
     @cached_property
     def allocation(self) -> DataFrame:
@@ -62,7 +67,7 @@ class Pipeline:
 
     @cached_property
     def merged(self) -> DataFrame:
-        return CMP.merge(self.allocation, self.src)
+        return CMP.merge(self.allocation, self.src, user_partitions(self.src.spark))
 
     # -- P1 / P2 ------------------------------------------------------------
     def user_snapshot(self) -> DataFrame:

@@ -31,6 +31,14 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def user_partitions(spark: SparkSession) -> int:
+    """Partition count of the user-keyed relations (``lessonlens.userPartitions``,
+    default ``spark.sql.shuffle.partitions``).  Size it for the user x lesson
+    fan-out, not for the user table itself."""
+    value = spark.conf.get("lessonlens.userPartitions", None)
+    return int(value or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, setting a scratch one only if unset.
 
@@ -61,6 +69,7 @@ def get_session(cpus: int | str = "*", shuffle_partitions: int | None = None,
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.driver.memory", os.environ.get("LESSONLENS_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")

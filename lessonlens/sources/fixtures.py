@@ -11,11 +11,15 @@ All ids are BIGINT, flags INT, scores DECIMAL(10,2), times TIMESTAMP_NTZ.
 
 from __future__ import annotations
 
+import os
+import threading
+import uuid
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lessonlens.session import ensure_checkpoint_dir
 from lessonlens.sources.base import read_base
 
 SOFT_DELETE_TS = "2002-01-01 00:00:00"
@@ -449,6 +453,48 @@ class Sources:
             _null("timestamp_ntz").alias("deleted_at"))
 
 
+_SOURCES: dict[tuple, "Sources"] = {}
+_SOURCES_LOCK = threading.Lock()
+
+
+def materialize(src: Sources) -> Sources:
+    """Write every derived source table once to parquet and read it back.
+
+    The tables go to ``<spark.checkpoint.dir>/lessonlens_sources/<run>/`` — the
+    shared folder the cluster names (a scratch folder only in local tests) —
+    so queries read plain parquet tables, as they would read the real source
+    tables, and survive executor loss.  Returns a new :class:`Sources`.
+    """
+    root = ensure_checkpoint_dir(src.spark).rstrip("/")
+    run = f"{uuid.uuid4().hex}"
+    out = Sources(src.spark, src.sf_dir)
+    for name in TABLES:
+        path = f"{root}/lessonlens_sources/{run}/{name}"
+        getattr(src, name).write.mode("overwrite").parquet(path)
+        out.__dict__[name] = src.spark.read.parquet(path)
+    out.materialized_at = f"{root}/lessonlens_sources/{run}"
+    return out
+
+
+def sources_for(spark: SparkSession, sf_dir: str, materialized: bool | None = None) -> Sources:
+    """The memoised :class:`Sources` of one session and directory.
+
+    By default the derived tables are materialised once per session (set
+    ``LESSONLENS_MATERIALIZE=0`` to keep them as lazy derivations).
+    """
+    if materialized is None:
+        materialized = os.environ.get("LESSONLENS_MATERIALIZE", "1") != "0"
+    key = (spark.sparkContext.applicationId, sf_dir, materialized)
+    with _SOURCES_LOCK:
+        src = _SOURCES.get(key)
+        if src is None:
+            src = Sources(spark, sf_dir)
+            if materialized:
+                src = materialize(src)
+            _SOURCES[key] = src
+    return src
+
+
 TABLES = (
     "users", "student_details", "login_logs", "centres", "organisations", "states",
     "districts", "centre_types", "subjects", "lessons", "lesson_types", "centre_subject",
