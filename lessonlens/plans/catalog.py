@@ -404,3 +404,176 @@ def q_export_missing_users(spark, sf):
 def q_lesson_type_dist(spark, sf):
     return (_export(pipeline(spark, sf)).groupBy("lesson_type")
             .agg(F.count(F.lit(1)).alias("rows")))
+
+
+# -- 2I incremental maintenance, A2-A4, A7, B15, D22, F3 ---------------------------------
+from lessonlens.functions import ids as IDS  # noqa: E402
+from lessonlens.streaming import incremental as INC  # noqa: E402
+
+PINNED_CUTOFF = "2001-07-15 00:00:00"
+SNAP_SCALARS = [c for c in SNAPSHOT_COLUMNS if not c.endswith("_combos")]
+
+
+def previous_snapshot(p: Pipeline) -> DataFrame:
+    """Fixture target table for 2I: the snapshot without users ``id % 10 = 7`` (gap
+    hits) plus stale zero rows for every inactive user (cleanup hits)."""
+    snap = p.user_snapshot().where(F.col("user_id") % 10 != 7)
+    from lessonlens.functions.columns import is_inactive
+    u = (p.src.users.where(F.col("type").isin(1, 2, 3, 4) & is_inactive())
+         .select(F.col("id").alias("user_id"), F.col("type").alias("user_type"), "centre_id",
+                 "organisation_id", "is_ple", "created_at"))
+    sd = p.src.student_details.select("user_id", "batch_id", "trade_id")
+    stale = u.join(sd, "user_id", "left").select(
+        *SNAP_SCALARS[:8], *[F.lit(0).cast("bigint").alias(c) for c in R.TOTALS],
+        F.lit(0).cast("decimal(5,2)").alias("completion_pct"),
+        F.lit(None).cast(snap.schema["project_combos"].dataType).alias("project_combos"),
+        F.lit(None).cast(snap.schema["subject_combos"].dataType).alias("subject_combos"))
+    return snap.unionByName(stale)
+
+
+def _flat(df: DataFrame) -> DataFrame:
+    return df.select(*SNAP_SCALARS, _size("project_combos").alias("n_project_combos"),
+                     _size("subject_combos").alias("n_subject_combos"))
+
+
+def _raw_ids(src) -> DataFrame:
+    """A4 fixture: UUID text per customer, blank / NULL / malformed for key % 50 in 0, 1, 2."""
+    c = F.col("c_custkey")
+    uuid = F.concat(F.lit("00000000-0000-4000-8000-"), F.lpad(c.cast("string"), 12, "0"))
+    return src.base("customer", "c_custkey").select(
+        F.when(c % 50 == 0, F.lit("  ")).when(c % 50 == 1, F.lit(None).cast("string"))
+         .when(c % 50 == 2, F.concat(F.lit("bad-"), c.cast("string"))).otherwise(uuid).alias("id"))
+
+
+@register("watermark")
+def q_watermark(spark, sf):
+    return INC.watermark(previous_snapshot(pipeline(spark, sf)))
+
+
+@register("changed_users")
+def q_changed_users(spark, sf):
+    p = pipeline(spark, sf)
+    return INC.changed_users(p.src, INC.watermark_value(previous_snapshot(p)))
+
+
+@register("changed_users_since")
+def q_changed_users_since(spark, sf):
+    return INC.changed_users(pipeline(spark, sf).src, INC.cutoff_literal("2001-07-15"))
+
+
+@register("gap_users")
+def q_gap_users(spark, sf):
+    p = pipeline(spark, sf)
+    return INC.gap_users(p.src, previous_snapshot(p))
+
+
+def _refresh_keys(p: Pipeline, centre_id=None) -> DataFrame:
+    prev = previous_snapshot(p)
+    return INC.refresh_keys(p.src, prev, INC.watermark_value(prev), centre_id)
+
+
+@register("refresh_keys")
+def q_refresh_keys(spark, sf):
+    return _refresh_keys(pipeline(spark, sf))
+
+
+@register("changed_users_centre")
+def q_changed_users_centre(spark, sf):
+    return _refresh_keys(pipeline(spark, sf), SCOPE_VALUES["centre_id"])
+
+
+@register("changed_centres")
+def q_changed_centres(spark, sf):
+    return INC.changed_centres(pipeline(spark, sf).src, PINNED_CUTOFF)
+
+
+@register("missing_centres")
+def q_missing_centres(spark, sf):
+    p = pipeline(spark, sf)
+    target = INC.cleanup_inactive(p.src, previous_snapshot(p))
+    wanted = p.src.centres.select(F.col("id").alias("centre_id"))
+    return INC.missing_keys(wanted, target, "centre_id")
+
+
+@register("refresh_users")
+def q_refresh_users(spark, sf):
+    p = pipeline(spark, sf)
+    prev = previous_snapshot(p)
+    keys = INC.refresh_keys(p.src, prev, INC.watermark_value(prev))
+    return _flat(INC.refresh_users(p.src, prev, keys))
+
+
+@register("refresh_centres")
+def q_refresh_centres(spark, sf):
+    p = pipeline(spark, sf)
+    prev = previous_snapshot(p)
+    return _flat(INC.refresh_centres(p.src, prev, INC.changed_centres(p.src, PINNED_CUTOFF)))
+
+
+@register("replace_keys_user")
+def q_replace_keys_user(spark, sf):
+    p = pipeline(spark, sf)
+    prev = previous_snapshot(p)
+    scope = INC.gap_users(p.src, prev).unionByName(INC.inactive_users(p.src))
+    fresh = Pipeline(p.src, user_keys=scope).user_snapshot()
+    return _flat(INC.replace_keys(prev, fresh, scope, "user_id"))
+
+
+@register("replace_keys_centre")
+def q_replace_keys_centre(spark, sf):
+    p = pipeline(spark, sf)
+    prev = previous_snapshot(p)
+    centres = INC.inactive_centres(p.src).unionByName(
+        spark.range(1).select(F.lit(SCOPE_VALUES["centre_id"]).cast("bigint").alias("centre_id")))
+    return _flat(INC.refresh_centres(p.src, prev, centres))
+
+
+@register("cleanup_inactive")
+def q_cleanup_inactive(spark, sf):
+    p = pipeline(spark, sf)
+    return _flat(INC.cleanup_inactive(p.src, previous_snapshot(p)))
+
+
+@register("cleanup_preview")
+def q_cleanup_preview(spark, sf):
+    p = pipeline(spark, sf)
+    return INC.cleanup_preview(p.src, previous_snapshot(p))
+
+
+@register("inactive_keys")
+def q_inactive_keys(spark, sf):
+    src = pipeline(spark, sf).src
+    return (INC.inactive_users(src).select(F.lit("user").alias("kind"), F.col("user_id").alias("id"))
+            .unionByName(INC.inactive_centres(src).select(F.lit("centre").alias("kind"),
+                                                          F.col("centre_id").alias("id"))))
+
+
+@register("users_per_key")
+def q_users_per_key(spark, sf):
+    src = pipeline(spark, sf).src
+    return INC.users_per_key(src, src.centres.select("id"), "centre")
+
+
+@register("limit_centres")
+def q_limit_centres(spark, sf):
+    return pipeline(spark, sf).src.centres.select("id").orderBy("id").limit(10)
+
+
+@register("id_list")
+def q_id_list(spark, sf):
+    return IDS.id_list(_raw_ids(pipeline(spark, sf).src))
+
+
+@register("validate_ids")
+def q_validate_ids(spark, sf):
+    ids = IDS.id_list(_raw_ids(pipeline(spark, sf).src))
+    valid, rejected = IDS.validate_ids(ids)
+    return (valid.withColumn("valid", F.lit(1)).unionByName(rejected.withColumn("valid", F.lit(0))))
+
+
+@register("restrict_ids")
+def q_restrict_ids(spark, sf):
+    src = pipeline(spark, sf).src
+    ids = src.phase_users.where(F.col("deleted_at").isNull()).select(F.col("user_id").alias("id"))
+    return IDS.restrict_ids(src.learning_activities.select("user_id", "lesson_id", "completed"),
+                            ids, "user_id")
