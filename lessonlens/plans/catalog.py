@@ -577,3 +577,116 @@ def q_restrict_ids(spark, sf):
     ids = src.phase_users.where(F.col("deleted_at").isNull()).select(F.col("user_id").alias("id"))
     return IDS.restrict_ids(src.learning_activities.select("user_id", "lesson_id", "completed"),
                             ids, "user_id")
+
+
+# -- P8-P10 assessments ---------------------------------------------------------------------
+from lessonlens.operators import assessment as AS  # noqa: E402
+
+# Fixture registration window (half-open) for the population filters.
+POPULATION_WINDOW = ("1996-01-01 00:00:00", "1999-01-01 00:00:00")
+
+
+def _cands(spark, sf, pop=AS.DEFAULT_POPULATION):
+    p = pipeline(spark, sf)
+    return p, AS.candidates(p.src, pop, p.consts)
+
+
+def _all_users(p: Pipeline) -> DataFrame:
+    return p.src.users.select(F.col("id").alias("user_id"))
+
+
+@register("assessment_set")
+def q_assessment_set(spark, sf):
+    return AS.assessment_set(pipeline(spark, sf).src)
+
+
+@register("be_candidates")
+def q_be_candidates(spark, sf):
+    return _cands(spark, sf)[1]
+
+
+@register("first_baseline")
+def q_first_baseline(spark, sf):
+    return AS.first_baseline(_cands(spark, sf)[1])
+
+
+@register("first_endline")
+def q_first_endline(spark, sf):
+    return AS.first_endline(_cands(spark, sf)[1])
+
+
+@register("be_stage_attempts")
+def q_be_stage_attempts(spark, sf):
+    c = _cands(spark, sf)[1]
+    return AS.stage_attempts(AS.first_baseline(c), AS.first_endline(c))
+
+
+@register("be_status")
+def q_be_status(spark, sf):
+    c = _cands(spark, sf)[1]
+    return AS.user_status(AS.stage_attempts(AS.first_baseline(c), AS.first_endline(c)))
+
+
+@register("question_catalog")
+def q_question_catalog(spark, sf):
+    return AS.question_catalog(pipeline(spark, sf).src)
+
+
+@register("be_translate")
+def q_be_translate(spark, sf):
+    cat = AS.question_catalog(pipeline(spark, sf).src)
+    return AS.translation(cat).select("question_id", "assessment_id", "language_id",
+                                      "question_position", "english_question_id")
+
+
+@register("be_answer_keys")
+def q_be_answer_keys(spark, sf):
+    p, c = _cands(spark, sf)
+    return AS.answer_keys(p.src, AS.paired_attempts(c))
+
+
+@register("be_responses")
+def q_be_responses(spark, sf):
+    p = pipeline(spark, sf)
+    return AS.responses(p.src, AS.DEFAULT_POPULATION, p.consts)
+
+
+@register("be_centre_type")
+def q_be_centre_type(spark, sf):
+    p = pipeline(spark, sf)
+    return AS.responses(p.src, AS.Population(centre_types=None), p.consts)
+
+
+@register("be_paired_only")
+def q_be_paired_only(spark, sf):
+    p = pipeline(spark, sf)
+    return AS.responses(p.src, AS.Population(paired_only=True), p.consts)
+
+
+@register("population_window")
+def q_population_window(spark, sf):
+    return AS.population_window(pipeline(spark, sf).src, POPULATION_WINDOW)
+
+
+@register("be_user_status")
+def q_be_user_status(spark, sf):
+    p = pipeline(spark, sf)
+    return AS.user_status_report(p.src, _all_users(p), p.consts)
+
+
+@register("population_check")
+def q_population_check(spark, sf):
+    p = pipeline(spark, sf)
+    return AS.population_check(p.src, _all_users(p), POPULATION_WINDOW)
+
+
+@register("centre_type_dist")
+def q_centre_type_dist(spark, sf):
+    p = pipeline(spark, sf)
+    return AS.centre_type_distribution(p.src, _all_users(p))
+
+
+@register("attempt_counts")
+def q_attempt_counts(spark, sf):
+    p = pipeline(spark, sf)
+    return AS.attempt_counts(p.src, _all_users(p), p.consts)
