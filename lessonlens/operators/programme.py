@@ -117,3 +117,24 @@ def project_combos(src: Sources, users: DataFrame, params: Params = NO_SCOPE) ->
                     F.col("phase_name").alias("phase"))
     return (phase_rows(src, users, params).groupBy("user_id")
             .agg(F.array_sort(F.collect_list(item)).alias("project_combos")))
+
+
+def main_centres(src: Sources, program_ids, registered_since: str) -> DataFrame:
+    """J18 (P12): active centres of the given programmes (active project), without
+    test/demo names, ranked by distinct active learners registered since a date."""
+    from lessonlens.functions.columns import is_active
+
+    c = (src.centres.where(is_active() & ~F.lower("name").like("%test%")
+                           & ~F.lower("name").like("%demo%"))
+         .select(F.col("id").alias("centre_id")))
+    prj = (src.projects.where(is_active() & F.col("program_id").isin(*program_ids))
+           .join(src.programs.select(F.col("id").alias("program_id")), "program_id")
+           .select(F.col("id").alias("project_id")))
+    cp = src.centre_project.join(prj, "project_id").select("centre_id").distinct()
+    u = (src.users.where(is_active() & F.col("type").isin(*C.LEARNER_TYPES)
+                         & (F.col("created_at") >= F.to_timestamp_ntz(F.lit(registered_since))))
+         .select(F.col("id").alias("user_id"), "centre_id"))
+    return (u.join(c, "centre_id").join(cp, "centre_id", "left_semi")
+            .groupBy(F.col("centre_id").alias("id"))
+            .agg(F.countDistinct("user_id").cast("bigint").alias("user_count"))
+            .orderBy(F.col("user_count").desc(), F.col("id")))

@@ -690,3 +690,172 @@ def q_centre_type_dist(spark, sf):
 def q_attempt_counts(spark, sf):
     p = pipeline(spark, sf)
     return AS.attempt_counts(p.src, _all_users(p), p.consts)
+
+
+# -- 2K diagnostics, 2L KPIs, 2M quality, J18, B3 ------------------------------------------
+from lessonlens.functions.columns import is_active  # noqa: E402
+from lessonlens.operators import diagnostics as DG  # noqa: E402
+from lessonlens.operators import kpi as KPI  # noqa: E402
+from lessonlens.operators import quality as DQ  # noqa: E402
+
+MAIN_PROGRAM_IDS = (0, 1)
+MAIN_REGISTERED_SINCE = "1996-01-01 00:00:00"
+
+
+@register("debug_centre_status")
+def q_debug_centre_status(spark, sf):
+    return DG.centre_status(pipeline(spark, sf))
+
+
+@register("debug_active_users")
+def q_debug_active_users(spark, sf):
+    return DG.active_users_by_type(pipeline(spark, sf))
+
+
+@register("debug_subjects")
+def q_debug_subjects(spark, sf):
+    return DG.centre_subjects(pipeline(spark, sf))
+
+
+@register("debug_lessons")
+def q_debug_lessons(spark, sf):
+    return DG.centre_lessons(pipeline(spark, sf))
+
+
+@register("debug_non_ple")
+def q_debug_non_ple(spark, sf):
+    return DG.path_reach(pipeline(spark, sf), "non_ple")
+
+
+@register("debug_staff")
+def q_debug_staff(spark, sf):
+    return DG.path_reach(pipeline(spark, sf), "staff")
+
+
+@register("debug_ple")
+def q_debug_ple(spark, sf):
+    return DG.ple_reach(pipeline(spark, sf))
+
+
+@register("debug_ple_paths")
+def q_debug_ple_paths(spark, sf):
+    return DG.ple_paths(pipeline(spark, sf))
+
+
+@register("debug_activity")
+def q_debug_activity(spark, sf):
+    return DG.activity_by_centre(pipeline(spark, sf))
+
+
+@register("debug_matched")
+def q_debug_matched(spark, sf):
+    return DG.matched_completions(pipeline(spark, sf))
+
+
+@register("centre_totals")
+def q_centre_totals(spark, sf):
+    return DG.centre_totals(pipeline(spark, sf).user_snapshot())
+
+
+@register("debug_flags")
+def q_debug_flags(spark, sf):
+    return DG.centre_flags(pipeline(spark, sf)).select("centre_id", F.explode("flags").alias("flag"))
+
+
+def _dash_full(spark, sf) -> DataFrame:
+    p = pipeline(spark, sf)
+    return FL.dash_dataset(p.user_snapshot(), AD.user_addon(p.src), p.consts)
+
+
+@register("kpi_headline")
+def q_kpi_headline(spark, sf):
+    return KPI.headline(_dash_full(spark, sf))
+
+
+@register("kpi_lessons")
+def q_kpi_lessons(spark, sf):
+    return KPI.lessons(_dash_full(spark, sf))
+
+
+@register("kpi_assessments")
+def q_kpi_assessments(spark, sf):
+    return KPI.assessments(_dash_full(spark, sf))
+
+
+@register("kpi_completion_hist")
+def q_kpi_completion_hist(spark, sf):
+    return KPI.completion_hist(_dash_full(spark, sf))
+
+
+@register("kpi_distributions")
+def q_kpi_distributions(spark, sf):
+    return KPI.distributions(_dash_full(spark, sf))
+
+
+@register("kpi_monthly")
+def q_kpi_monthly(spark, sf):
+    return KPI.monthly(_dash_full(spark, sf))
+
+
+@register("kpi_details")
+def q_kpi_details(spark, sf):
+    return KPI.details(_dash_full(spark, sf))
+
+
+@register("kpi_top_subjects")
+def q_kpi_top_subjects(spark, sf):
+    return KPI.top_subjects(_dash_full(spark, sf))
+
+
+@register("dq_checks")
+def q_dq_checks(spark, sf):
+    p = pipeline(spark, sf)
+    return DQ.checks(p.user_snapshot(), p.src.centres, AD.user_addon(p.src), p.users)
+
+
+@register("dq_centre_drop")
+def q_dq_centre_drop(spark, sf):
+    p = pipeline(spark, sf)
+    prev = previous_snapshot(p)
+    return DQ.centre_drop(INC.cleanup_inactive(p.src, prev), prev)
+
+
+@register("audit_rows")
+def q_audit_rows(spark, sf):
+    return DQ.audit_rows(pipeline(spark, sf).user_snapshot(), "fixture-run")
+
+
+def _appended(p: Pipeline) -> DataFrame:
+    """What an append-only refresh would leave: previous rows plus fresh rows of the keys."""
+    prev = previous_snapshot(p)
+    keys = INC.refresh_keys(p.src, prev, INC.watermark_value(prev))
+    return prev.unionByName(Pipeline(p.src, user_keys=keys).user_snapshot())
+
+
+@register("dup_users")
+def q_dup_users(spark, sf):
+    return DQ.dup_users(_appended(pipeline(spark, sf)))
+
+
+@register("multi_centre_users")
+def q_multi_centre_users(spark, sf):
+    return DQ.multi_centre_users(_appended(pipeline(spark, sf)))
+
+
+@register("main_centre_list")
+def q_main_centre_list(spark, sf):
+    return PG.main_centres(pipeline(spark, sf).src, MAIN_PROGRAM_IDS, MAIN_REGISTERED_SINCE)
+
+
+@register("active_dims")
+def q_active_dims(spark, sf):
+    src = pipeline(spark, sf).src
+    parts = [(n, getattr(src, n).where(is_active())) for n in
+             ("centres", "organisations", "subjects", "lessons", "projects", "programs")]
+    parts += [(n, getattr(src, n).where(F.col("deleted_at").isNull())) for n in
+              ("batches", "phases", "ple_career_paths")]
+    out = None
+    for name, df in parts:
+        d = df.select(F.lit(name).alias("dim"), F.col("id").cast("string").alias("id"))
+        out = d if out is None else out.unionByName(d)
+    return out
