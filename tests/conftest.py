@@ -17,9 +17,13 @@ def spark():
 
     from lessonlens.session import tune
 
+    import tempfile
+
     s = (SparkSession.builder.master("local[*]")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="lessonlens-wh-"))
          .config("spark.driver.memory", "8g")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
@@ -29,9 +33,9 @@ def spark():
 
 @pytest.fixture(scope="session")
 def sources(spark):
-    from lessonlens.sources.fixtures import Sources
+    from lessonlens.sources.fixtures import sources_for
 
-    return Sources(spark, SF_SMALL)
+    return sources_for(spark, SF_SMALL)
 
 
 @pytest.fixture(scope="session")
