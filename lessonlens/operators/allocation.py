@@ -106,7 +106,7 @@ def _path() -> "F.Column":
 
 def alloc_paths(src: Sources, users: DataFrame, params: Params = NO_SCOPE,
                 consts: Constants = DEFAULT, ple_rule: str = "strict",
-                excluded_types=None) -> DataFrame:
+                excluded_types=None, dedup: bool = False) -> DataFrame:
     """All three allocation paths (non-PLE, PLE, staff) as one relation (G1).
 
     Each user row gets its path from type and PLE flag; the path decides which
@@ -143,6 +143,8 @@ def alloc_paths(src: Sources, users: DataFrame, params: Params = NO_SCOPE,
             | ((path == C.PATH_PLE) & s_ple.isin(0, 1) & mapped & batch_ok & year_gate())
             | ((path == C.PATH_STAFF) & s_ple.isin(0, 1, 2)))
     us = us.where(keep)
+    if dedup:
+        us = _dedup_subjects(us)
     lessons = eligible_lessons(src, False, consts, excluded_types)
     rows = us.join(bounded_broadcast(lessons, _key(src, ("lessons_any", excluded_types))), "subject_id")
     learner_path = path.isin(C.PATH_NON_PLE, C.PATH_PLE)
@@ -198,6 +200,23 @@ def alloc_union(src: Sources, users: DataFrame, params: Params = NO_SCOPE,
     return alloc_paths(src, users, params, consts, ple_rule, excluded_types)
 
 
+def _dedup_subjects(us: DataFrame) -> DataFrame:
+    """E2 at user x subject grain (before the lesson fan-out).
+
+    A lesson belongs to one subject, so duplicate (user, lesson) rows can only
+    come from duplicate (user, subject) rows (duplicate profiles or mapping
+    rows) that passed the gates; each of those yields the same lessons, and the
+    window's ordering keys (career-path time, lesson order) tie within them.
+    Picking one (user, subject) row by the same tie-break therefore equals the
+    per-lesson de-duplication, on ~20x fewer rows.
+    """
+    w = Window.partitionBy("user_id", "subject_id").orderBy(
+        F.col("career_path_updated_at").desc_nulls_last(), F.col("subject_order").asc_nulls_first(),
+        F.col("batch_id").asc_nulls_first(), F.col("trade_id").asc_nulls_first(),
+        F.col("career_path_id").asc_nulls_first())
+    return us.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+
+
 def alloc_dedup(allocation: DataFrame) -> DataFrame:
     """One row per (user, lesson): latest career path first, then lowest lesson order.
 
@@ -216,5 +235,6 @@ def alloc_dedup(allocation: DataFrame) -> DataFrame:
 def allocation(src: Sources, users: DataFrame, params: Params = NO_SCOPE,
                consts: Constants = DEFAULT, ple_rule: str = "strict",
                excluded_types=None) -> DataFrame:
-    """J1/J2 + B8: the de-duplicated, type-filtered allocation."""
-    return alloc_dedup(alloc_union(src, users, params, consts, ple_rule, excluded_types))
+    """J1/J2 + E2 + B8: the de-duplicated, type-filtered allocation (one row per
+    user x lesson), de-duplicated at subject grain before the fan-out."""
+    return alloc_paths(src, users, params, consts, ple_rule, excluded_types, dedup=True)

@@ -18,7 +18,7 @@ from lessonlens.operators import completion as CMP
 from lessonlens.operators import programme as PG
 from lessonlens.operators import rollup as R
 from lessonlens.operators.scope import NO_SCOPE, Params, active_users
-from lessonlens.session import user_partitions
+from lessonlens.session import ensure_checkpoint_dir, user_partitions
 from lessonlens.sources.fixtures import Sources
 
 SNAPSHOT_COLUMNS = ["user_id", "user_type", "centre_id", "organisation_id", "is_ple", "created_at",
@@ -56,9 +56,18 @@ class Pipeline:
         partition count is explicit: the user relation is small next to the
         user x lesson fan-out produced from it, and AQE would otherwise
         coalesce this shuffle into a handful of tasks by its input size.
+
+        The partitioned relation is checkpointed (eagerly, into the session's
+        ``spark.checkpoint.dir``): every branch of a product (allocation, user
+        row, phase routes) prunes different columns below a plain repartition,
+        which would defeat exchange reuse and shuffle the users once per
+        branch.  The checkpoint keeps the ``user_id`` partitioning, is read by
+        all branches, and cuts the lineage.
         """
-        return active_users(self.src, self.params, self.user_keys).repartition(
-            user_partitions(self.src.spark), "user_id")
+        ensure_checkpoint_dir(self.src.spark)
+        return (active_users(self.src, self.params, self.user_keys)
+                .repartition(user_partitions(self.src.spark), "user_id")
+                .checkpoint(eager=True))
 
     @cached_property
     def allocation(self) -> DataFrame:
