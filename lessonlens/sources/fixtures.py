@@ -7,6 +7,12 @@ tables instead (``spark.read.jdbc`` / parquet); every operator takes them
 through :class:`Sources`, so nothing downstream knows the difference.
 
 All ids are BIGINT, flags INT, scores DECIMAL(10,2), times TIMESTAMP_NTZ.
+
+The mapping tables of FIXTURES.md are defined as filtered products of two or
+three dimension tables (nation / region / subjects / batches / phases /
+projects / languages, at most 50 rows each at every scale factor); those are
+the only cross joins in the code base and none touches a table that grows
+with the data.
 """
 
 from __future__ import annotations

@@ -1,6 +1,7 @@
 """Sinks (stage-and-swap, skip-empty, CSV) and the Structured Streaming refresh driver."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -46,7 +47,7 @@ def test_activity_stream_refreshes_target(spark, sources):
     act = sources.learning_activities
     act.write.mode("overwrite").parquet(feed + "/batch1")
     q = start_activity_refresh(spark, feed + "/batch1", act.schema, lambda: sources,
-                               "ll_stream_target", name="t_feed")
+                               "ll_stream_target", name=f"t_feed_{uuid.uuid4().hex}")
     q.awaitTermination(600)
     table = spark.table("ll_stream_target")
     assert table.groupBy("user_id").count().where("count > 1").count() == 0
