@@ -476,7 +476,10 @@ def materialize(src: Sources) -> Sources:
     out = Sources(src.spark, src.sf_dir)
     for name in TABLES:
         path = f"{root}/lessonlens_sources/{run}/{name}"
-        getattr(src, name).write.mode("overwrite").parquet(path)
+        df = getattr(src, name)
+        if name not in GROWING_TABLES:
+            df = df.coalesce(1)         # dimension-sized: one file, not one per shuffle partition
+        df.write.mode("overwrite").parquet(path)
         out.__dict__[name] = src.spark.read.parquet(path)
     out.materialized_at = f"{root}/lessonlens_sources/{run}"
     return out
@@ -501,6 +504,12 @@ def sources_for(spark: SparkSession, sf_dir: str, materialized: bool | None = No
     return src
 
 
+# Source tables whose size grows with the data (everything else is dimension-sized).
+GROWING_TABLES = frozenset({
+    "users", "student_details", "login_logs", "learning_activities",
+    "facilitator_learning_activities", "ple_career_path_user", "phase_users",
+    "ple_assessment_responses", "ple_assessment_response_keys"})
+
 TABLES = (
     "users", "student_details", "login_logs", "centres", "organisations", "states",
     "districts", "centre_types", "subjects", "lessons", "lesson_types", "centre_subject",
