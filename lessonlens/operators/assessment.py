@@ -184,7 +184,7 @@ def question_catalog(src: Sources, consts: Constants = DEFAULT) -> DataFrame:
     w = Window.partitionBy("assessment_id", "language_id").orderBy(
         "page_sort_order", "question_sort_order", "_qc", "question_id")
     return (pg.join(q, "assessment_page_id")
-            .withColumn("question_position", F.row_number().over(w)).drop("_qc"))
+            .withColumn("question_position", F.row_number().over(w).cast("bigint")).drop("_qc"))
 
 
 def translation(catalog: DataFrame, consts: Constants = DEFAULT) -> DataFrame:
