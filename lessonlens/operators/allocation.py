@@ -24,7 +24,7 @@ from lessonlens import config as C
 from lessonlens.config import DEFAULT, Constants
 from lessonlens.functions.columns import (assessment_flag, is_active, staff_access,
                                           toolkit_type, type_not_excluded, year_gate)
-from lessonlens.operators.joins import bounded_broadcast, gate_join
+from lessonlens.operators.joins import bounded_broadcast, dimension_join, gate_join
 from lessonlens.operators.scope import NO_SCOPE, Params
 from lessonlens.sources.fixtures import Sources
 
@@ -80,8 +80,13 @@ def eligible_lessons(src: Sources, learner: bool, consts: Constants = DEFAULT,
                     "student_access", "facilitator_access", "mastertrainer_access"))
 
 
-def _user_subjects(src: Sources, users: DataFrame, params: Params) -> DataFrame:
-    """Active users x their centre's active subjects (+ trade duration)."""
+def _user_subjects(src: Sources, users: DataFrame, params: Params,
+                   consts: Constants = DEFAULT) -> DataFrame:
+    """Active users x their centre's active subjects (+ trade duration).
+
+    ``centre_subject`` grows with centres x subjects: broadcast while bounded,
+    a salted shuffle join beyond (one centre may hold a third of the users).
+    """
     subj = (src.subjects.where(is_active())
             .select(F.col("id").alias("subject_id"), F.col("name").alias("subject_name"),
                     F.col("is_ple").alias("subject_is_ple"), "ple_career_path_id", "year_to_map"))
@@ -91,8 +96,9 @@ def _user_subjects(src: Sources, users: DataFrame, params: Params) -> DataFrame:
           .select("centre_id", "subject_id", "subject_order", "subject_name", "subject_is_ple",
                   "ple_career_path_id", "year_to_map"))
     trades = src.trades.select(F.col("id").alias("trade_id"), F.col("duration").alias("trade_duration"))
-    return (users.join(bounded_broadcast(cs, _key(src, "centre_subject_active")), "centre_id")
-            .join(bounded_broadcast(trades, _key(src, "trades")), "trade_id", "left"))
+    us = dimension_join(users, cs, ["centre_id"], "inner", _key(src, "centre_subject_active"),
+                        consts.broadcast_row_limit)
+    return us.join(bounded_broadcast(trades, _key(src, "trades")), "trade_id", "left")
 
 
 # -- J1 / J2: the three allocation paths in one pass ------------------------------------
@@ -126,7 +132,7 @@ def alloc_paths(src: Sources, users: DataFrame, params: Params = NO_SCOPE,
               .select("user_id", "career_path_id", "career_path_name", "career_path_updated_at"))
     u = users.withColumn("allocation_path", _path()).where(path.isNotNull())
     u = u.join(latest, "user_id", "left")
-    us = _user_subjects(src, u, params)
+    us = _user_subjects(src, u, params, consts)
     spcp = src.subject_ple_career_path.select(F.col("ple_career_path_id").alias("career_path_id"),
                                               "subject_id")
     us = gate_join(us, spcp, ["career_path_id", "subject_id"], "_map",

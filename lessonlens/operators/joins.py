@@ -13,6 +13,20 @@ _SIZE_CACHE: dict[tuple, int] = {}
 _LOCK = threading.Lock()
 
 
+def row_count(df: DataFrame, key: tuple | None = None) -> int:
+    """Row count of a dimension, memoised under ``key`` for the session."""
+    if key is not None:
+        with _LOCK:
+            n = _SIZE_CACHE.get(key)
+        if n is not None:
+            return n
+    n = df.count()
+    if key is not None:
+        with _LOCK:
+            _SIZE_CACHE[key] = n
+    return n
+
+
 def bounded_broadcast(df: DataFrame, key: tuple | None = None,
                       limit_rows: int | None = None) -> DataFrame:
     """Broadcast ``df`` only when its row count is proven under ``limit_rows``.
@@ -23,17 +37,26 @@ def bounded_broadcast(df: DataFrame, key: tuple | None = None,
     to broadcast at run time from real sizes, and splits skewed partitions).
     """
     limit = DEFAULT.broadcast_row_limit if limit_rows is None else limit_rows
-    if key is not None:
-        with _LOCK:
-            n = _SIZE_CACHE.get(key)
-    else:
-        n = None
-    if n is None:
-        n = df.count()
-        if key is not None:
-            with _LOCK:
-                _SIZE_CACHE[key] = n
-    return F.broadcast(df) if n <= limit else df
+    return F.broadcast(df) if row_count(df, key) <= limit else df
+
+
+def dimension_join(big: DataFrame, dim: DataFrame, keys: list[str], how: str = "inner",
+                   size_key: tuple | None = None, limit_rows: int | None = None,
+                   spread: str = "user_id", salts: int = 64) -> DataFrame:
+    """Join a data-sized relation to a dimension on a possibly hot key.
+
+    Below the row bound the dimension is broadcast (no shuffle at all).  Above
+    it, a salted shuffle join: each dimension row is replicated over ``salts``
+    buckets and each big row goes to one bucket by a hash of ``spread`` (e.g.
+    ``user_id``), so one key holding a third of the big rows is split over
+    ``salts`` tasks instead of landing in one.  Results are identical.
+    """
+    limit = DEFAULT.broadcast_row_limit if limit_rows is None else limit_rows
+    if row_count(dim, size_key) <= limit:
+        return big.join(F.broadcast(dim), keys, how)
+    salted_dim = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted_big = big.withColumn("_salt", F.pmod(F.xxhash64(F.col(spread)), F.lit(salts)).cast("int"))
+    return salted_big.join(salted_dim, [*keys, "_salt"], how).drop("_salt")
 
 
 def gate_join(df: DataFrame, mapping: DataFrame, keys: list[str], flag: str,

@@ -152,3 +152,15 @@ def test_id_list_and_validation(spark):
     assert ids.count() == 2
     valid, rejected = validate_ids(ids)
     assert valid.count() == 1 and rejected.first().id == "bad"
+
+
+def test_salted_fallback_equals_broadcast_plan(sources):
+    """Above the broadcast bound the centre join is salted; the result is unchanged."""
+    from lessonlens.config import Constants
+
+    small = Pipeline(sources).allocation
+    salted = Pipeline(sources, consts=Constants(broadcast_row_limit=0)).allocation
+    key = lambda df: sorted(tuple(r) for r in df.select("user_id", "lesson_id", "subject_order").collect())
+    assert key(small) == key(salted)
+    plan = salted._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in plan
