@@ -18,6 +18,7 @@ from lessonlens import config as C
 from lessonlens.config import DEFAULT, Constants
 from lessonlens.functions.columns import null_if_blank
 from lessonlens.operators.joins import bounded_broadcast
+from lessonlens.session import checkpoint_partitioned
 from lessonlens.sources.fixtures import Sources
 
 BASELINE, ENDLINE = C.STAGES
@@ -150,7 +151,8 @@ def user_status(attempts: DataFrame) -> DataFrame:
 
 
 def paired_attempts(cands: DataFrame, paired_only: bool = False) -> DataFrame:
-    fb, fe = first_baseline(cands), first_endline(cands)
+    fb = first_baseline(cands)
+    fe = first_endline(cands, fb)
     att = stage_attempts(fb, fe)
     status = user_status(att)
     if paired_only:
@@ -234,7 +236,9 @@ def responses(src: Sources, pop: Population = DEFAULT_POPULATION, consts: Consta
     Duplicate English ``sort_order`` values fan out and inflate the sums, as
     in the reference (kept on purpose, flagged by the quality checks).
     """
-    cands = candidates(src, pop, consts, user_ids)
+    # partitioned by user once and checkpointed: the first-attempt aggregates,
+    # the status and the pairing joins are all per user and reuse it
+    cands = checkpoint_partitioned(candidates(src, pop, consts, user_ids), "user_id")
     pa = paired_attempts(cands, pop.paired_only)
     users = (src.users.where(F.col("deleted_at").isNull())
              .select(F.col("id").alias("user_id"), "name", "email", "mobile", "gender",

@@ -18,7 +18,7 @@ from lessonlens.operators import completion as CMP
 from lessonlens.operators import programme as PG
 from lessonlens.operators import rollup as R
 from lessonlens.operators.scope import NO_SCOPE, Params, active_users
-from lessonlens.session import ensure_checkpoint_dir, user_partitions
+from lessonlens.session import checkpoint_partitioned, user_partitions
 from lessonlens.sources.fixtures import Sources
 
 SNAPSHOT_COLUMNS = ["user_id", "user_type", "centre_id", "organisation_id", "is_ple", "created_at",
@@ -64,10 +64,8 @@ class Pipeline:
         branch.  The checkpoint keeps the ``user_id`` partitioning, is read by
         all branches, and cuts the lineage.
         """
-        ensure_checkpoint_dir(self.src.spark)
-        return (active_users(self.src, self.params, self.user_keys)
-                .repartition(user_partitions(self.src.spark), "user_id")
-                .checkpoint(eager=True))
+        return checkpoint_partitioned(active_users(self.src, self.params, self.user_keys),
+                                      "user_id")
 
     @cached_property
     def allocation(self) -> DataFrame:

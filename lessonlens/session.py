@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings.  They change plans, never results.
 #
@@ -80,3 +81,29 @@ def get_session(cpus: int | str = "*", shuffle_partitions: int | None = None,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+_AQE_LOCK = threading.Lock()
+
+
+def checkpoint_partitioned(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """Hash-partition ``df`` on ``key`` and checkpoint it (eagerly, into the
+    session's ``spark.checkpoint.dir``), keeping the partitioning visible to
+    the planner.
+
+    Later joins and aggregates keyed on ``key`` reuse the partitioning (no
+    shuffle), every branch of a plan reads the same files (no per-branch
+    re-shuffle after column pruning), and the lineage is cut.  The checkpoint
+    job itself runs with AQE off: under AQE the root's partitioning is not
+    known yet when the checkpoint records it, and it would be lost.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = partitions or user_partitions(spark)
+    with _AQE_LOCK:
+        before = spark.conf.get("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            return df.repartition(n, key).checkpoint(eager=True)
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", before)
