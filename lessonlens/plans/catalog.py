@@ -11,14 +11,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lessonlens.functions import ids as IDS
+from lessonlens.functions.columns import (batch_status_label, first_slot, is_active, is_inactive,
+                                          user_type_label, year_gate, yes_no_label)
+from lessonlens.operators import addon as AD
 from lessonlens.operators import allocation as A
+from lessonlens.operators import assessment as AS
 from lessonlens.operators import completion as CMP
+from lessonlens.operators import diagnostics as DG
+from lessonlens.operators import filters as FL
+from lessonlens.operators import kpi as KPI
 from lessonlens.operators import programme as PG
+from lessonlens.operators import quality as DQ
 from lessonlens.operators import rollup as R
-from lessonlens.operators.scope import Params, active_users
+from lessonlens.operators.scope import Params
 from lessonlens.plans.products import SNAPSHOT_COLUMNS, Pipeline
 from lessonlens.session import tune
 from lessonlens.sources.fixtures import sources_for
+from lessonlens.streaming import incremental as INC
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -131,7 +141,6 @@ def q_year_gate(spark, sf):
     u = p.users.where(F.col("user_type").isin(3, 4)
                       & (F.col("is_ple").isNull() | (F.col("is_ple") != 1)))
     us = A._user_subjects(p.src, u, p.params).where(F.col("subject_is_ple").isin(0, 2))
-    from lessonlens.functions.columns import year_gate
     return us.select("user_id", "subject_id", "year_to_map", "trade_duration",
                      F.when(year_gate(), 1).otherwise(0).alias("year_ok"))
 
@@ -314,10 +323,6 @@ for _f in ("project_id", "program_id", "phase_id"):
 
 
 # -- P5 / P6 / P7 / J11 -----------------------------------------------------------------
-from lessonlens.functions.columns import (batch_status_label, first_slot,  # noqa: E402
-                                          user_type_label, yes_no_label)
-from lessonlens.operators import addon as AD  # noqa: E402
-from lessonlens.operators import filters as FL  # noqa: E402
 
 DASH_COLUMN_FILTERS = {"state_name": ["AMERICA", "EUROPE", "ASIA"], "gender": ["Male", "Female"],
                        "user_type": ["Learner", "Alumni"]}
@@ -407,8 +412,6 @@ def q_lesson_type_dist(spark, sf):
 
 
 # -- 2I incremental maintenance, A2-A4, A7, B15, D22, F3 ---------------------------------
-from lessonlens.functions import ids as IDS  # noqa: E402
-from lessonlens.streaming import incremental as INC  # noqa: E402
 
 PINNED_CUTOFF = "2001-07-15 00:00:00"
 SNAP_SCALARS = [c for c in SNAPSHOT_COLUMNS if not c.endswith("_combos")]
@@ -439,7 +442,6 @@ def _derive_previous_snapshot(p: Pipeline) -> DataFrame:
     """The snapshot without users ``id % 10 = 7`` (gap hits) plus stale zero rows for
     every inactive user (cleanup hits)."""
     snap = p.user_snapshot().where(F.col("user_id") % 10 != 7)
-    from lessonlens.functions.columns import is_inactive
     u = (p.src.users.where(F.col("type").isin(1, 2, 3, 4) & is_inactive())
          .select(F.col("id").alias("user_id"), F.col("type").alias("user_type"), "centre_id",
                  "organisation_id", "is_ple", "created_at"))
@@ -601,7 +603,6 @@ def q_restrict_ids(spark, sf):
 
 
 # -- P8-P10 assessments ---------------------------------------------------------------------
-from lessonlens.operators import assessment as AS  # noqa: E402
 
 # Fixture registration window (half-open) for the population filters.
 POPULATION_WINDOW = ("1996-01-01 00:00:00", "1999-01-01 00:00:00")
@@ -714,10 +715,6 @@ def q_attempt_counts(spark, sf):
 
 
 # -- 2K diagnostics, 2L KPIs, 2M quality, J18, B3 ------------------------------------------
-from lessonlens.functions.columns import is_active  # noqa: E402
-from lessonlens.operators import diagnostics as DG  # noqa: E402
-from lessonlens.operators import kpi as KPI  # noqa: E402
-from lessonlens.operators import quality as DQ  # noqa: E402
 
 MAIN_PROGRAM_IDS = (0, 1)
 MAIN_REGISTERED_SINCE = "1996-01-01 00:00:00"
