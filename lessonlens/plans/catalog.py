@@ -44,9 +44,26 @@ def register(name: str):
     return deco
 
 
+_PIPELINES: dict[tuple, Pipeline] = {}
+
+
 def pipeline(spark: SparkSession, sf_dir: str, **kw) -> Pipeline:
+    """The run's Pipeline for (session, sources, scope, rule, constants).
+
+    One Pipeline per configuration and session, as in a run that builds every
+    product: the checkpointed, user-partitioned active users and the declared
+    allocation / completion plan are shared by all products built from it.
+    Runs restricted to a key set (``user_keys``) always get their own.
+    """
     tune(spark)
-    return Pipeline(sources_for(spark, sf_dir), **kw)
+    src = sources_for(spark, sf_dir)
+    if "user_keys" in kw:
+        return Pipeline(src, **kw)
+    key = (spark.sparkContext.applicationId, sf_dir, tuple(sorted(kw.items(), key=lambda x: x[0])))
+    p = _PIPELINES.get(key)
+    if p is None:
+        p = _PIPELINES[key] = Pipeline(src, **kw)
+    return p
 
 
 def _size(c: str) -> F.Column:
