@@ -68,17 +68,23 @@ def filter_dims(snapshot: DataFrame, addon: DataFrame, consts: Constants = DEFAU
                     F.col("s.year_category").alias("year_category"))
             .drop("s"))
     keys = [c for c in FILTER_DIM_GROUP if c not in ("proj_name", "phase", "prog_name")]
+    # MIN of the centre label without a string buffer: the smaller label
+    # ('Non-PLE Centre') wins as soon as one row is not a PLE centre
+    non_ple_centre = F.col("ple_enabled").isNull() | (F.col("ple_enabled") != 1)
     subj = (rows.groupBy(*keys, "project_combos")
             .agg(F.min("user_type").alias("user_type"), F.min("is_ple").alias("is_ple"),
                  F.min("ple_enabled").alias("ple_enabled"),
-                 F.min("ple_enabled_e").alias("ple_enabled_e")))
+                 F.count_if(non_ple_centre).alias("_non_ple_centre")))
     expanded = (subj.select("*", F.explode("project_combos").alias("p"))
                 .select("*", F.col("p.proj_name").alias("proj_name"), F.col("p.phase").alias("phase"),
                         F.col("p.prog_name").alias("prog_name")))
     out = (expanded.groupBy(*FILTER_DIM_GROUP)
            .agg(F.min("user_type").alias("user_type"), F.min("is_ple").alias("is_ple"),
                 F.min("ple_enabled").alias("ple_enabled"),
-                F.min("ple_enabled_e").alias("ple_enabled_e")))
+                F.sum("_non_ple_centre").alias("_non_ple_centre"))
+           .withColumn("ple_enabled_e",
+                       F.when(F.col("_non_ple_centre") > 0, C.PLE_CENTRE_LABELS[1])
+                       .otherwise(C.PLE_CENTRE_LABELS[0])))
     for c in FILTER_DIM_INT_COLUMNS:
         out = out.withColumn(c, F.coalesce(F.col(c).cast("int"), F.lit(0)))
     return out.select(*FILTER_DIM_COLUMNS)

@@ -67,10 +67,11 @@ def subject_stats(merged: DataFrame) -> DataFrame:
     of the snapshot.
     """
     done = lambda c: F.when(_done(), F.col(c))
-    return (merged.groupBy("user_id", "subject_id")
-            .agg(F.first("subject_name").alias("subject_name"),
-                 F.first("year_to_map").alias("year_to_map"),
-                 F.count("lesson_id").alias("subj_total_allocated"),
+    # subject_name / year_to_map depend on subject_id alone: grouping by them
+    # keeps the same groups and a hash aggregate (a string ``first`` would
+    # force a sort-based aggregate over the whole fan-out)
+    return (merged.groupBy("user_id", "subject_id", "subject_name", "year_to_map")
+            .agg(F.count("lesson_id").alias("subj_total_allocated"),
                  count_when(_lesson()).alias("subj_lessons_allocated"),
                  count_when(_assess()).alias("subj_assessments_allocated"),
                  count_when(_done()).alias("subj_total_completed"),
