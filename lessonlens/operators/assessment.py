@@ -276,9 +276,12 @@ def responses(src: Sources, pop: Population = DEFAULT_POPULATION, consts: Consta
                       F.struct(F.col("_eo_sort").alias("k"), F.col("_eo_opt").alias("v")))
     txt_pair = F.when(F.col("response_text").isNotNull(),
                       F.struct(F.col("response_text").alias("k"), F.col("response_text").alias("v")))
-    g = (rows.groupBy("assessment_response_id", F.col("question_id").alias("selected_language_question_id"))
-         .agg(*[F.first(c).alias(c) for c in carry],
-              F.collect_list(opt_pair).alias("_opts"), F.collect_list(txt_pair).alias("_txt"),
+    # the carried columns depend on (attempt, question): grouping by them gives the
+    # same groups and keeps fixed-width aggregation buffers (no string ``first``),
+    # so the aggregate stays hash-based
+    g = (rows.groupBy("assessment_response_id",
+                      F.col("question_id").alias("selected_language_question_id"), *carry)
+         .agg(F.collect_list(opt_pair).alias("_opts"), F.collect_list(txt_pair).alias("_txt"),
               F.count("_so_id").alias("_n"), F.min("_so_correct").alias("_min_correct"),
               F.sum("_so_score").alias("score"),
               F.sum(F.ceil("_so_score")).cast("bigint").alias("rounded_score")))
