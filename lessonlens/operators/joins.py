@@ -9,13 +9,21 @@ from pyspark.sql import functions as F
 
 from lessonlens.config import DEFAULT
 
+# Most bytes of one broadcast relation, whatever its row count.
+BROADCAST_BYTES = 64 * 1024 * 1024
+
 _SIZE_CACHE: dict[tuple, int] = {}
 _LOCK = threading.Lock()
 
 
 def row_count(df: DataFrame, key: tuple | None = None) -> int:
-    """Row count of a dimension, memoised under ``key`` for the session."""
+    """Row count of a dimension, memoised if ``key`` is given.
+
+    The memo is looked up by the session and by the plan itself, so a scoped
+    or otherwise filtered frame never answers for a full one of the same name.
+    """
     if key is not None:
+        key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), *key)
         with _LOCK:
             n = _SIZE_CACHE.get(key)
         if n is not None:
@@ -27,17 +35,28 @@ def row_count(df: DataFrame, key: tuple | None = None) -> int:
     return n
 
 
+def row_width(df: DataFrame) -> int:
+    """Bytes to expect of one row: 8 a fixed-width column, 64 a text, 1024 a nested one."""
+    kinds = [f.dataType.typeName() for f in df.schema.fields]
+    return 16 + sum(64 if k in ("string", "binary") else 1024 if k in ("array", "map", "struct") else 8 for k in kinds)
+
+
+def may_broadcast(df: DataFrame, key: tuple | None = None, limit_rows: int | None = None) -> bool:
+    """Whether ``df`` is proven to stay under the row and byte bounds of a broadcast."""
+    limit = DEFAULT.broadcast_row_limit if limit_rows is None else limit_rows
+    n = row_count(df, key)
+    return n <= limit and n * row_width(df) <= BROADCAST_BYTES
+
+
 def bounded_broadcast(df: DataFrame, key: tuple | None = None,
                       limit_rows: int | None = None) -> DataFrame:
-    """Broadcast ``df`` only when its row count is proven under ``limit_rows``.
+    """Broadcast ``df`` only when its size is proven (``may_broadcast``).
 
-    The count is one cheap job on a dimension-sized input, memoised under
-    ``key`` (e.g. ``(sf_dir, "centre_subject")``).  Above the limit the plain
-    DataFrame is returned and Spark plans a shuffle join (AQE may still switch
-    to broadcast at run time from real sizes, and splits skewed partitions).
+    The count is one cheap job on a dimension-sized input.  Above the bounds the
+    plain DataFrame is returned and Spark plans a shuffle join (AQE may still
+    switch to broadcast at run time from real sizes, and splits skewed partitions).
     """
-    limit = DEFAULT.broadcast_row_limit if limit_rows is None else limit_rows
-    return F.broadcast(df) if row_count(df, key) <= limit else df
+    return F.broadcast(df) if may_broadcast(df, key, limit_rows) else df
 
 
 def dimension_join(big: DataFrame, dim: DataFrame, keys: list[str], how: str = "inner",
@@ -51,8 +70,7 @@ def dimension_join(big: DataFrame, dim: DataFrame, keys: list[str], how: str = "
     ``user_id``), so one key holding a third of the big rows is split over
     ``salts`` tasks instead of landing in one.  Results are identical.
     """
-    limit = DEFAULT.broadcast_row_limit if limit_rows is None else limit_rows
-    if row_count(dim, size_key) <= limit:
+    if may_broadcast(dim, size_key, limit_rows):
         return big.join(F.broadcast(dim), keys, how)
     salted_dim = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted_big = big.withColumn("_salt", F.pmod(F.xxhash64(F.col(spread)), F.lit(salts)).cast("int"))

@@ -64,6 +64,10 @@ class Sources:
         return read_base(self.spark, self.sf_dir, name, *cols)
 
     # -- helpers -----------------------------------------------------------
+    def folded(self, table: str, key: str, k: int) -> DataFrame:
+        """The distinct values ``n`` of ``key % k`` over all rows of a table."""
+        return self.base(table, key).select((F.col(key) % k).alias("n")).distinct()
+
     @cached_property
     def _order_span(self) -> DataFrame:
         return (self.base("orders", "o_custkey", "o_orderdate")
@@ -183,9 +187,11 @@ class Sources:
 
     @cached_property
     def lessons(self) -> DataFrame:
-        p = F.col("p_partkey")
+        # every part row reaches the lesson its activity rows are booked on (l_partkey % 500)
+        p = F.col("p")
         return (self.base("part", "p_partkey", "p_name", "p_brand", "p_type", "p_size")
-                .where(p < 500)
+                .groupBy((F.col("p_partkey") % 500).alias("p"))
+                .agg(*[F.min(c).alias(c) for c in ("p_name", "p_brand", "p_type", "p_size")])
                 .select(
                     _big(p).alias("id"),
                     F.when(p % 13 == 0, F.concat("p_name", F.lit(" assessment")))
@@ -309,8 +315,10 @@ class Sources:
 
     @cached_property
     def projects(self) -> DataFrame:
-        n = F.col("n_nationkey")
-        return (self.base("nation", "n_nationkey", "n_name", "n_regionkey").where(n < 10)
+        n = F.col("n")
+        return (self.base("nation", "n_nationkey", "n_name", "n_regionkey")
+                .groupBy((F.col("n_nationkey") % 10).alias("n"))
+                .agg(F.min("n_name").alias("n_name"), F.min("n_regionkey").alias("n_regionkey"))
                 .select(_big(n).alias("id"), _big("n_regionkey").alias("program_id"),
                         F.concat(F.lit("Project "), F.col("n_name")).alias("name"),
                         _flag(n == 9, 0, 1).alias("status"),
@@ -324,8 +332,8 @@ class Sources:
 
     @cached_property
     def phases(self) -> DataFrame:
-        n = F.col("n_nationkey")
-        return (self.base("nation", "n_nationkey").where(n < 6)
+        n = F.col("n")
+        return (self.folded("nation", "n_nationkey", 6)
                 .select(_big(n).alias("id"),
                         F.concat(F.lit("Phase_"), n.cast("string")).alias("name"),
                         _null("timestamp_ntz").alias("deleted_at")))
@@ -354,20 +362,21 @@ class Sources:
     @cached_property
     def phase_users(self) -> DataFrame:
         c = F.col("c_custkey")
-        return (self.base("customer", "c_custkey").where(c % 2 == 0)
+        return (self.base("customer", "c_custkey")
                 .select(_big(c).alias("user_id"), _big(c % 6).alias("phase_id"),
-                        F.when(c % 23 == 0, _ts(SOFT_DELETE_TS)).alias("deleted_at")))
+                        F.when((c % 23 == 0) | (c % 2 == 1), _ts(SOFT_DELETE_TS)).alias("deleted_at")))
 
     # -- assessments -------------------------------------------------------
     @cached_property
     def languages(self) -> DataFrame:
-        return (self.base("region", "r_regionkey", "r_name").where(F.col("r_regionkey") < 3)
-                .select(_big("r_regionkey").alias("id"), F.col("r_name").alias("name")))
+        return (self.base("region", "r_regionkey", "r_name")
+                .groupBy((F.col("r_regionkey") % 3).alias("r")).agg(F.min("r_name").alias("name"))
+                .select(_big("r").alias("id"), "name"))
 
     @cached_property
     def ple_assessments(self) -> DataFrame:
-        n = F.col("n_nationkey")
-        return (self.base("nation", "n_nationkey").where(n < 6)
+        n = F.col("n")
+        return (self.folded("nation", "n_nationkey", 6)
                 .select(_big(n).alias("id"),
                         F.when(n < 3, "baseline").otherwise("endline").alias("stage"),
                         F.concat(F.lit("Pathway "), (n % 3).cast("string")).alias("pathway"),
@@ -377,12 +386,12 @@ class Sources:
     @cached_property
     def ple_assessment_pages(self) -> DataFrame:
         a = self.ple_assessments.select(F.col("id").alias("aid"))
-        n = self.base("nation", "n_nationkey").where(F.col("n_nationkey") < 2)
+        n = self.folded("nation", "n_nationkey", 2)
         return a.crossJoin(n).select(
-            _big(F.col("aid") * 10 + F.col("n_nationkey")).alias("id"),
+            _big(F.col("aid") * 10 + F.col("n")).alias("id"),
             F.col("aid").alias("assessment_id"),
-            F.concat(F.lit("Page "), F.col("n_nationkey").cast("string")).alias("page_title"),
-            F.col("n_nationkey").cast("int").alias("sort_order"),
+            F.concat(F.lit("Page "), F.col("n").cast("string")).alias("page_title"),
+            F.col("n").cast("int").alias("sort_order"),
             _null("timestamp_ntz").alias("deleted_at"))
 
     @cached_property
@@ -391,8 +400,8 @@ class Sources:
             F.col("id").alias("pg_id"), F.col("assessment_id").alias("pg_aid"),
             F.col("sort_order").alias("pg_sort"))
         lang = self.languages.select(F.col("id").alias("lang_id"), F.col("name").alias("lang_name"))
-        n = self.base("nation", "n_nationkey").where(F.col("n_nationkey") < 4)
-        k = F.col("n_nationkey")
+        n = self.folded("nation", "n_nationkey", 4)
+        k = F.col("n")
         return (pg.crossJoin(lang).crossJoin(n).where(F.col("pg_sort") == k % 2)
                 .select(
                     _big(F.col("pg_aid") * 100 + F.col("lang_id") * 10 + k).alias("id"),
@@ -409,8 +418,8 @@ class Sources:
     @cached_property
     def ple_assessment_options(self) -> DataFrame:
         q = self.ple_assessment_questions.select(F.col("id").alias("qid"))
-        n = self.base("nation", "n_nationkey").where(F.col("n_nationkey") < 3)
-        k = F.col("n_nationkey")
+        n = self.folded("nation", "n_nationkey", 3)
+        k = F.col("n")
         return q.crossJoin(n).select(
             _big(F.col("qid") * 10 + k).alias("id"),
             F.col("qid").alias("assessment_question_id"),
@@ -424,8 +433,9 @@ class Sources:
     def ple_assessment_responses(self) -> DataFrame:
         e = self.base("events", "event_id", "ts", "user_id", "event_type", "value")
         et, uid, eid = F.col("event_type"), F.col("user_id"), F.col("event_id")
-        keep = ((et == "signup") & (uid % 5 != 0)) | ((et == "purchase") & (uid % 4 != 0))
-        return e.where(keep).select(
+        # users without an attempt have theirs withdrawn, not left out
+        gone = F.when(et == "signup", uid % 5 == 0).otherwise(uid % 4 == 0)
+        return e.where(et.isin("signup", "purchase")).select(
             _big(eid).alias("id"), _big(uid).alias("user_id"),
             F.when(et == "signup", uid % 3).otherwise(3 + eid % 3).cast("bigint").alias("assessment_id"),
             _flag(F.col("value") > 5).alias("is_complete"),
@@ -433,7 +443,7 @@ class Sources:
             _null("decimal(10,2)").alias("rating"),
             F.col("ts").alias("created_at"),
             F.when(eid % 3 == 0, None).otherwise(F.col("ts")).alias("updated_at"),
-            _null("timestamp_ntz").alias("deleted_at"))
+            F.when(gone, _ts(SOFT_DELETE_TS)).alias("deleted_at"))
 
     @cached_property
     def ple_assessment_response_keys(self) -> DataFrame:
@@ -478,7 +488,7 @@ def materialize(src: Sources) -> Sources:
         path = f"{root}/lessonlens_sources/{run}/{name}"
         df = getattr(src, name)
         if name not in GROWING_TABLES:
-            df = df.coalesce(1)         # dimension-sized: one file, not one per shuffle partition
+            df = df.repartition(1)      # dimension-sized: one file; the scan above stays parallel
         df.write.mode("overwrite").parquet(path)
         out.__dict__[name] = src.spark.read.parquet(path)
     out.materialized_at = f"{root}/lessonlens_sources/{run}"

@@ -57,33 +57,70 @@ def write_append(df: DataFrame, name: str, partition_by: tuple = ()) -> None:
     w.saveAsTable(name)
 
 
+def recover(spark: SparkSession, name: str) -> None:
+    """Finish or undo a swap that was interrupted; afterwards only the live table is left.
+
+    The former table is complete until it is dropped, so if the live one is
+    missing it is put back (the new version is built again by its job); if the
+    live one is there, the swap had come through.  A staging table that nobody
+    renamed is dropped: it may be half written.
+    """
+    old = f"{name}__old"
+    if table_exists(spark, old):
+        if table_exists(spark, name):
+            spark.sql(f"DROP TABLE {old}")
+        else:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {name}__staging")
+
+
+def choose_mode(spark: SparkSession, name: str) -> str:
+    """``full`` where the target is missing (after recovery), else ``incremental``."""
+    recover(spark, name)
+    return "incremental" if table_exists(spark, name) else "full"
+
+
+def stage(df: DataFrame, name: str, partition_by: tuple = ()) -> str:
+    """Write ``df`` beside the live table; returns the staging table's name."""
+    recover(df.sparkSession, name)
+    w = df.write.mode("overwrite").format("parquet")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.saveAsTable(f"{name}__staging")
+    return f"{name}__staging"
+
+
+def swap(spark: SparkSession, name: str) -> None:
+    """Rename the staged version in.  The former one goes only after the new one is live."""
+    if table_exists(spark, name):
+        spark.sql(f"ALTER TABLE {name} RENAME TO {name}__old")
+    spark.sql(f"ALTER TABLE {name}__staging RENAME TO {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {name}__old")
+
+
 def stage_and_swap(df: DataFrame, name: str, partition_by: tuple = ()) -> None:
     """A5 + A11: write ``name__staging``, then swap it in by rename.
 
     The frame may read the live table (keyed replacement): the staging write
     is complete before the live table is dropped, so the swap never reads and
-    overwrites the same files in one plan.
+    overwrites the same files in one plan.  Whatever step an earlier call was
+    stopped at, ``recover`` has put a whole table in place first.
     """
-    spark = df.sparkSession
-    staging, old = f"{name}__staging", f"{name}__old"
-    for t in (staging, old):
-        spark.sql(f"DROP TABLE IF EXISTS {t}")
-    w = df.write.mode("overwrite").format("parquet")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.saveAsTable(staging)
-    if spark.catalog.tableExists(name):
-        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
-    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    stage(df, name, partition_by)
+    swap(df.sparkSession, name)
 
 
 def write_replace(df: DataFrame, name: str, partition_by: tuple = (),
                   allow_empty: bool = False) -> bool:
-    """A5 + A9: replace the table unless the result is empty; returns True if written."""
-    if not allow_empty and skip_if_empty(df):
+    """A5 + A9: replace the table unless the result is empty; returns True if written.
+
+    The result is computed once: it is staged, and an empty staging table is dropped."""
+    spark = df.sparkSession
+    staged = stage(df, name, partition_by)
+    if not allow_empty and skip_if_empty(spark.table(staged)):
+        spark.sql(f"DROP TABLE {staged}")
         return False
-    stage_and_swap(df, name, partition_by)
+    swap(spark, name)
     return True
 
 

@@ -17,24 +17,27 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from lessonlens.plans.products import Pipeline
 from lessonlens.session import ensure_checkpoint_dir
 from lessonlens.sources.fixtures import Sources
-from lessonlens.sources.sinks import stage_and_swap, table_exists
+from lessonlens.sources.sinks import choose_mode, stage_and_swap
 from lessonlens.streaming.incremental import refresh_users
 
 
 def refresh_batch(spark: SparkSession, sources: Callable[[], Sources], target_table: str,
                   batch: DataFrame) -> int:
-    """Refresh the snapshot rows of the users named in one batch; returns 1 if written."""
+    """Refresh the snapshot rows of the users named in one batch; returns 1 if written.
+
+    Without a target table the whole snapshot is built: the batch's users alone
+    would leave a partial table behind."""
     keys = batch.select("user_id").where(F.col("user_id").isNotNull()).distinct()
     if keys.isEmpty():
         return 0
-    target = spark.table(target_table) if table_exists(spark, target_table) else None
-    fresh = refresh_users(sources(), target, keys)
-    # materialise before the swap: the new version must not be read lazily from
-    # the table it replaces
-    fresh = fresh.checkpoint(eager=True)
-    stage_and_swap(fresh, target_table)
+    if choose_mode(spark, target_table) == "full":
+        fresh = Pipeline(sources()).user_snapshot()
+    else:
+        fresh = refresh_users(sources(), spark.table(target_table), keys)
+    stage_and_swap(fresh, target_table)      # staged in full before the live table goes
     return 1
 
 

@@ -84,7 +84,8 @@ SELECT CAST(p_partkey AS BIGINT) AS id,
        p_type AS lesson_type_id,
        CAST(CASE WHEN p_partkey % 41 = 0 THEN 0 ELSE 1 END AS INTEGER) AS status,
        CASE WHEN p_partkey % 43 = 0 THEN {TS_DEL} END AS deleted_at
-FROM part WHERE p_partkey < 500""",
+FROM (SELECT p_partkey % 500 AS p_partkey, MIN(p_name) AS p_name, MIN(p_brand) AS p_brand,
+             MIN(p_type) AS p_type, MIN(p_size) AS p_size FROM part GROUP BY p_partkey % 500) folded""",
     "lesson_types": """
 SELECT DISTINCT p_type AS id,
        CASE p_type WHEN 'SMALL' THEN ' PDF ' WHEN 'LARGE' THEN 'mp4' WHEN 'STANDARD' THEN 'Pdf Web'
@@ -142,14 +143,15 @@ SELECT CAST(n_nationkey AS BIGINT) AS id, CAST(n_regionkey AS BIGINT) AS program
        CONCAT('Project ', n_name) AS name,
        CAST(CASE WHEN n_nationkey = 9 THEN 0 ELSE 1 END AS INTEGER) AS status,
        CAST(NULL AS TIMESTAMP) AS deleted_at
-FROM nation WHERE n_nationkey < 10""",
+FROM (SELECT n_nationkey % 10 AS n_nationkey, MIN(n_regionkey) AS n_regionkey, MIN(n_name) AS n_name
+      FROM nation GROUP BY n_nationkey % 10) folded""",
     "centre_project": """
 SELECT CAST(n_nationkey AS BIGINT) AS centre_id, p.id AS project_id
 FROM nation CROSS JOIN projects p WHERE (n_nationkey + p.id) % 5 = 0""",
     "phases": """
 SELECT CAST(n_nationkey AS BIGINT) AS id, CONCAT('Phase_', CAST(n_nationkey AS VARCHAR)) AS name,
        CAST(NULL AS TIMESTAMP) AS deleted_at
-FROM nation WHERE n_nationkey < 6""",
+FROM (SELECT DISTINCT n_nationkey % 6 AS n_nationkey FROM nation) folded""",
     "phase_project": """
 SELECT ph.id AS phase_id, p.id AS project_id FROM phases ph CROSS JOIN projects p
 WHERE (ph.id + p.id) % 2 = 0""",
@@ -162,20 +164,20 @@ SELECT b.id AS batch_id, ph.id AS phase_id, CAST(NULL AS TIMESTAMP) AS deleted_a
 FROM batches b CROSS JOIN phases ph WHERE (b.id + ph.id) % 3 = 0""",
     "phase_users": f"""
 SELECT CAST(c_custkey AS BIGINT) AS user_id, CAST(c_custkey % 6 AS BIGINT) AS phase_id,
-       CASE WHEN c_custkey % 23 = 0 THEN {TS_DEL} END AS deleted_at
-FROM customer WHERE c_custkey % 2 = 0""",
-    "languages": "SELECT CAST(r_regionkey AS BIGINT) AS id, r_name AS name FROM region WHERE r_regionkey < 3",
+       CASE WHEN c_custkey % 23 = 0 OR c_custkey % 2 = 1 THEN {TS_DEL} END AS deleted_at
+FROM customer""",
+    "languages": "SELECT CAST(r_regionkey % 3 AS BIGINT) AS id, MIN(r_name) AS name FROM region GROUP BY r_regionkey % 3",
     "ple_assessments": """
 SELECT CAST(n_nationkey AS BIGINT) AS id,
        CASE WHEN n_nationkey < 3 THEN 'baseline' ELSE 'endline' END AS stage,
        CONCAT('Pathway ', CAST(n_nationkey % 3 AS VARCHAR)) AS pathway,
        CAST(NULL AS VARCHAR) AS title, CAST(NULL AS TIMESTAMP) AS deleted_at
-FROM nation WHERE n_nationkey < 6""",
+FROM (SELECT DISTINCT n_nationkey % 6 AS n_nationkey FROM nation) folded""",
     "ple_assessment_pages": """
 SELECT CAST(a.id * 10 + n_nationkey AS BIGINT) AS id, a.id AS assessment_id,
        CONCAT('Page ', CAST(n_nationkey AS VARCHAR)) AS page_title,
        CAST(n_nationkey AS INTEGER) AS sort_order, CAST(NULL AS TIMESTAMP) AS deleted_at
-FROM ple_assessments a CROSS JOIN nation WHERE n_nationkey < 2""",
+FROM ple_assessments a CROSS JOIN (SELECT DISTINCT n_nationkey % 2 AS n_nationkey FROM nation) folded""",
     "ple_assessment_questions": """
 SELECT CAST(pg.assessment_id * 100 + l.id * 10 + n_nationkey AS BIGINT) AS id,
        pg.id AS assessment_page_id, l.id AS language_id,
@@ -184,8 +186,9 @@ SELECT CAST(pg.assessment_id * 100 + l.id * 10 + n_nationkey AS BIGINT) AS id,
        CAST(NULL AS VARCHAR) AS response_type,
        CAST(1 AS INTEGER) AS sort_order, TIMESTAMP '2001-01-01 00:00:00' AS created_at,
        CAST(NULL AS TIMESTAMP) AS deleted_at
-FROM ple_assessment_pages pg CROSS JOIN languages l CROSS JOIN nation
-WHERE n_nationkey < 4 AND pg.sort_order = n_nationkey % 2""",
+FROM ple_assessment_pages pg CROSS JOIN languages l
+CROSS JOIN (SELECT DISTINCT n_nationkey % 4 AS n_nationkey FROM nation) folded
+WHERE pg.sort_order = n_nationkey % 2""",
     "ple_assessment_options": """
 SELECT CAST(q.id * 10 + n_nationkey AS BIGINT) AS id, q.id AS assessment_question_id,
        CAST(n_nationkey AS INTEGER) AS sort_order,
@@ -193,16 +196,15 @@ SELECT CAST(q.id * 10 + n_nationkey AS BIGINT) AS id, q.id AS assessment_questio
        CAST(CASE WHEN n_nationkey = 1 THEN 1 ELSE 0 END AS INTEGER) AS is_correct_option,
        CAST(CAST(n_nationkey AS DECIMAL(10,2)) / 2 AS DECIMAL(10,2)) AS score,
        CAST(NULL AS TIMESTAMP) AS deleted_at
-FROM ple_assessment_questions q CROSS JOIN nation WHERE n_nationkey < 3""",
-    "ple_assessment_responses": """
+FROM ple_assessment_questions q CROSS JOIN (SELECT DISTINCT n_nationkey % 3 AS n_nationkey FROM nation) folded""",
+    "ple_assessment_responses": f"""
 SELECT CAST(event_id AS BIGINT) AS id, CAST(user_id AS BIGINT) AS user_id,
        CAST(CASE WHEN event_type = 'signup' THEN user_id % 3 ELSE 3 + event_id % 3 END AS BIGINT) AS assessment_id,
        CAST(CASE WHEN value > 5 THEN 1 ELSE 0 END AS INTEGER) AS is_complete,
        CAST(value AS DECIMAL(10,2)) AS final_score, CAST(NULL AS DECIMAL(10,2)) AS rating,
        ts AS created_at, CASE WHEN event_id % 3 = 0 THEN NULL ELSE ts END AS updated_at,
-       CAST(NULL AS TIMESTAMP) AS deleted_at
-FROM events
-WHERE (event_type = 'signup' AND user_id % 5 <> 0) OR (event_type = 'purchase' AND user_id % 4 <> 0)""",
+       CASE WHEN user_id % (CASE event_type WHEN 'signup' THEN 5 ELSE 4 END) = 0 THEN {TS_DEL} END AS deleted_at
+FROM events WHERE event_type IN ('signup', 'purchase')""",
     "ple_assessment_response_keys": """
 SELECT r.id AS assessment_responses_id, q.id AS assessment_question_id,
        CAST(CASE WHEN (r.id + q.id) % 4 = 3 THEN NULL ELSE q.id * 10 + (r.id + q.id) % 3 END AS BIGINT)
