@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from lessonlens.llm.common import batch_of, stored
 
 NGRAM = 3                # of ``Block.keys`` too
-WINDOW = 6               # neighbouring n-grams of which the rarest is a seed
+WINDOW = 3               # neighbouring n-grams of which the rarest is a seed
 SIMILARITY = 0.4         # least share of the item's own score
 MATCH, MISMATCH, GAP = 2, -1, -1
 BLOCK_ITEMS = 20_000

@@ -7,7 +7,7 @@ elastic-net penalty, on a sample of at most ``sample_rows`` rows that the same r
 rows of the sample that the fit did not see set a softmax temperature.
 
 Texts are scored one Arrow batch at a time: a text's logits are the mean, over its n-grams, of
-the rows ``idf x weight`` of a table of ``BUCKETS`` x languages, whose size is fixed.
+the rows ``scale x idf x weight`` of a table of ``BUCKETS`` x languages, whose size is fixed.
 
 Defined cases
     null text, no letter   ``und``, score 0.0
@@ -35,6 +35,8 @@ from lessonlens.llm.common import batch_of
 BUCKETS = 1 << 15
 SAMPLE_ROWS = 2400      # most rows the weights are fitted on, spread evenly over the languages
 UNKNOWN = "und"
+SCALE = 50.0            # of the features: shares of n-grams are small numbers
+STEPS = 4000            # examples shown to the fit at least, in whole passes over the sample
 
 # Odd multipliers that spread n-grams of each order over the buckets.
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
@@ -96,7 +98,7 @@ def frequencies(docs: DataFrame) -> DataFrame:
 @dataclass
 class Model:
     langs: list[str]
-    table: np.ndarray        # BUCKETS x languages: idf times weight
+    table: np.ndarray        # BUCKETS x languages: scale times idf times weight
     bias: np.ndarray
     temperature: float
 
@@ -117,7 +119,7 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def ftrl(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, classes: int, epochs: int = 2,
+def ftrl(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, classes: int,
          alpha: float = 0.5, beta: float = 1.0, l1: float = 0.02, l2: float = 0.05) -> tuple[np.ndarray, np.ndarray]:
     """FTRL-proximal for the softmax loss.  ``rows``: (features, values) of each example; the
     bias is the last feature.  Weights whose accumulated gradient stays under ``l1`` are zero."""
@@ -129,7 +131,7 @@ def ftrl(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, classes:
         return np.where(np.abs(zf) <= l1, 0.0, -(zf - np.sign(zf) * l1) / ((beta + np.sqrt(n[f])) / alpha + l2))
 
     order = np.random.default_rng(17)
-    for _ in range(epochs):
+    for _ in range(max(2, -(-STEPS // len(rows)))):
         for i in order.permutation(len(rows)):
             f, x = rows[i]
             w = weights(f)
@@ -190,7 +192,7 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     for lang, c, f, n in zip(*[sample.column(k).to_pylist() if k < 2 else sample.column(k) for k in range(4)]):
         f, n = np.array(f.values, dtype=np.int64), np.array(n.values, dtype=np.float64)
         if len(f):
-            xs.append((np.append(f, BUCKETS), np.append(idf[f] * n / n.sum(), 1.0)))
+            xs.append((np.append(f, BUCKETS), np.append(SCALE * idf[f] * n / n.sum(), 1.0)))
             ys.append(langs.index(lang))
             check.append(c)
     ys, check = np.array(ys, dtype=np.int64), np.array(check, dtype=bool)
@@ -201,7 +203,7 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     whole = np.vstack([w, bias])
     unseen = np.flatnonzero(check)
     logits = np.array([xs[i][1] @ whole[xs[i][0]] for i in unseen]).reshape(len(unseen), len(langs))
-    return Model(langs, (idf[:, None] * w).astype(np.float32), bias, best_temperature(logits, ys[unseen]))
+    return Model(langs, (SCALE * idf[:, None] * w).astype(np.float32), bias, best_temperature(logits, ys[unseen]))
 
 
 def identify(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:

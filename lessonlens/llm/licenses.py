@@ -6,7 +6,7 @@ their order, are matched against ordered rules.  All of it is one projection: no
 join, and a text without a cue word (every known sentence has one) is passed over cheaply.
 
 Two ways of cutting are tried, since notices are wrapped at any width: at line ends and
-sentence ends, or at sentence ends alone.  The one that recognises more sentences counts
+sentence ends, or at sentence ends and blank lines.  The one that recognises more sentences counts
 (the first, if they tie).
 
 Defined cases
@@ -88,6 +88,7 @@ RULES: list[tuple[str, str, tuple[str, ...]]] = [
 # Every known sentence has one of these.
 CUES = "licen|permission|warrant|redistribut|copyright|public domain|rights reserved|version"
 
+PARAGRAPH_END = r"\n[ \t\r]*\n"
 SENTENCE_END = r"([.;:!?])[ \t\r\n]+"
 
 
@@ -121,7 +122,8 @@ def licenses(docs: DataFrame) -> DataFrame:
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.when(cue, recognised(F.col("text"))).otherwise(nothing).alias("by_line"),
-        F.when(cue, recognised(F.regexp_replace("text", "[\r\n]+", " "))).otherwise(nothing).alias("by_sentence"))
+        F.when(cue, recognised(F.regexp_replace(F.regexp_replace("text", PARAGRAPH_END, ". \n"), "[\r\n]+", " ")))
+        .otherwise(nothing).alias("by_sentence"))
     rows = rows.select("doc_id", F.when(F.size("by_sentence") > F.size("by_line"), F.col("by_sentence"))
                        .otherwise(F.coalesce("by_line", nothing)).alias("ids"))
     line = F.concat(F.lit(","), F.array_join("ids", ","), F.lit(","))
@@ -151,7 +153,7 @@ def oracle() -> str:
     return f"""
 WITH k AS (SELECT MAP {{{known}}} AS m),
 cut AS (
-  SELECT doc_id, {ids("coalesce(text, '')")} AS a, {ids("regexp_replace(coalesce(text, ''), '[\r\n]+', ' ', 'g')")} AS b
+  SELECT doc_id, {ids("coalesce(text, '')")} AS a, {ids(f"regexp_replace(regexp_replace(coalesce(text, ''), '{PARAGRAPH_END}', '. \n', 'g'), '[\r\n]+', ' ', 'g')")} AS b
   FROM documents, k),
 seq AS (SELECT doc_id, CASE WHEN len(b) > len(a) THEN b ELSE a END AS ids FROM cut),
 lines AS (SELECT doc_id, ids, ',' || array_to_string(ids, ',') || ',' AS line FROM seq),

@@ -133,7 +133,8 @@ def multikey_order(tokens: list[np.ndarray], small: int = 1 << 14) -> np.ndarray
             order[lo:hi] = rows[np.lexsort([t[rows] for t in reversed(tokens[depth:])])]
             continue
         value = tokens[depth][rows]
-        pivot = np.partition(value[:: max(1, len(value) // 64)], 32)[32]
+        some = np.sort(value[::max(1, len(value) // 64)])
+        pivot = some[len(some) // 2]
         less, more = value < pivot, value > pivot
         equal = ~(less | more)
         order[lo:hi] = np.concatenate([rows[less], rows[equal], rows[more]])
