@@ -10,8 +10,9 @@ own frequency; nothing is left out for being frequent.  Regions meet items where
 seed, and local alignment (which forgives replaced, inserted and dropped words) scores the
 pair; its score over that of the whole item is the similarity.
 
-Items are taken in blocks of at most ``BLOCK_ITEMS`` in the order of item_id, each against all
-documents; what travels to the tasks is the words of one block.
+Items are taken in blocks of about ``BLOCK_ITEMS`` items and ``BLOCK_CHARS`` characters at most
+(by a hash; a single longer item is a block of its own size), each against all documents; what
+travels to the tasks is the words of one block.
 
 Defined cases
     null or empty text  no words: neither a document nor an item of that kind matches
@@ -44,6 +45,7 @@ WINDOW = 3               # neighbouring n-grams of which the rarest is a seed
 SIMILARITY = 0.4         # least share of the item's own score
 MATCH, MISMATCH, GAP = 2, -1, -1
 BLOCK_ITEMS = 20_000
+BLOCK_CHARS = 4_000_000  # of the items of a block, about; fewer than 2^21 words
 MEMO_TOKENS = 500_000    # a worker remembers
 PAIRS = 128              # pairs aligned at a time
 
@@ -231,11 +233,11 @@ def matches(block: Block, regions: list[tuple[int, np.ndarray]], seeds: dict) ->
 def blocks(benchmark: DataFrame) -> Iterator[Block]:
     """Items in blocks, each read on its own."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
-    total = items.count()
-    if total <= BLOCK_ITEMS:
+    total, chars = items.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
+    if total <= BLOCK_ITEMS and chars <= BLOCK_CHARS:
         yield Block.of(sorted(((r[0], r[1]) for r in items.collect()), key=lambda x: (x[0] is None, x[0] or 0, x[1])))
         return
-    parts = -(-total * 5 // (4 * BLOCK_ITEMS))
+    parts = max(-(-total * 5 // (4 * BLOCK_ITEMS)), -(-chars * 5 // (4 * BLOCK_CHARS)))
     spot = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
     for k in range(parts):
         yield Block.of([(r[0], r[1]) for r in items.where(spot == k).orderBy("item_id", "text").collect()])

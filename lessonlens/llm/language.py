@@ -12,7 +12,7 @@ the rows ``scale x idf x weight`` of a table of ``BUCKETS`` x languages, whose s
 Defined cases
     null text, no letter   ``und``, score 0.0
     null lang              not learnt from; predicted like any other
-    null doc_id            hashed as the empty text: learnt from, not held out
+    null doc_id            hashed as the empty text: held out
     empty table, or no row to learn from
                            every text is ``und`` with score 0.0
     one language only      it is predicted wherever there is a letter

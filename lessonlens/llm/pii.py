@@ -86,7 +86,7 @@ def dotted_quads(run: str) -> Iterator[tuple[int, int]]:
         else:
             parts = []
         if len(parts) == 4:
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for _, p in parts):
+            if all(len(p.lstrip("0")) <= 3 and int(p[-3:]) <= 255 for _, p in parts):
                 yield parts[0][0], at + len(part)
             parts = []
         at += len(part) + 1

@@ -11,7 +11,7 @@ Defined cases
     null quality         that label row is not learnt from
     a doc_id labelled more than once, or documents with one doc_id
                          every pair of a document row and a label row is an example
-    null doc_id          hashed as the empty text: not held out; never has a label
+    null doc_id          hashed as the empty text: held out; never has a label
     nothing to learn from
                          every score is 0.5
     repeated rows        one output row per input row

@@ -93,7 +93,7 @@ def test_representatives(odd):
 
 # ---- decontamination
 
-def test_decontamination(llm, documents, odd):
+def test_decontamination(llm, documents, odd, monkeypatch):
     items = [(0, "the quick brown fox jumps over the lazy dog while seven wizards brew strange potions at night"),
              (1, None), (2, "..."), (None, "short item"), (4, "alpha beta gamma delta epsilon zeta eta theta iota kappa")]
     edited = ("quite other words come first. The quick brown fox leaps over the lazy dog, while seven old wizards brew "
@@ -105,6 +105,10 @@ def test_decontamination(llm, documents, odd):
     got = {(r.doc_id, r.item_id) for r in decontaminate.contamination(frame, bench).collect()}
     assert got == {(10, 0), (12, None), (None, 4)} | {(100 + k, 0) for k in range(40)}
     assert {r.doc_id for r in decontaminate.clean(frame, bench).collect()} == {11, 13, 14}
+    with monkeypatch.context() as m:
+        m.setattr(decontaminate, "BLOCK_CHARS", 40)
+        assert len(list(decontaminate.blocks(bench))) > 2
+        assert {(r.doc_id, r.item_id) for r in decontaminate.contamination(frame, bench).collect()} == got
     empty = bench.limit(0)
     assert decontaminate.contamination(frame, empty).count() == 0
     assert decontaminate.clean(odd, empty).count() == odd.count()
@@ -310,6 +314,8 @@ def test_personal_data(documents, odd):
     assert "[EMAIL]" in {r.doc_id: r.text for r in clean.collect()}[8]
     assert pii.spans("IBAN DE89 3704 0044 0532 0130 00 and account: AB12345678")[-2:] == [("account", 5, 32), ("account", 46, 56)]
     assert pii.spans("1" * 50_000 + "." * 9) == []
+    zeros = "0" * 5000
+    assert pii.spans(f"{zeros}7.1.2.3") == [("ip", 0, 5007)] and pii.spans(f"1.2.3.{zeros}256") == []
 
 
 # ---- BPE
