@@ -42,14 +42,16 @@ def _key(src: Sources, name: str) -> tuple:
 
 
 # -- E1 ------------------------------------------------------------------------
-def latest_career_path(src: Sources) -> DataFrame:
+def latest_career_path(src: Sources, keys: DataFrame | None = None) -> DataFrame:
     """Latest active career-path row per user (``updated_at`` desc, then id desc).
 
     An aggregate (``max`` of an ordering struct) instead of a window: it
     combines map-side, so a user with a huge history never lands whole in
-    one task.
+    one task.  ``keys`` (bounded, ``user_id``) restrict a scoped run's history first.
     """
     p = src.ple_career_path_user.where((F.col("status") == 1) & F.col("deleted_at").isNull())
+    if keys is not None:
+        p = p.join(F.broadcast(keys), "user_id", "left_semi")
     best = F.max(F.struct(F.col("updated_at").alias("ts"), F.col("id").alias("rid"),
                           F.col("job_type_id").alias("job")))
     return (p.groupBy("user_id").agg(best.alias("b"))
@@ -112,7 +114,8 @@ def _path() -> "F.Column":
 
 def alloc_paths(src: Sources, users: DataFrame, params: Params = NO_SCOPE,
                 consts: Constants = DEFAULT, ple_rule: str = "strict",
-                excluded_types=None, dedup: bool = False) -> DataFrame:
+                excluded_types=None, dedup: bool = False,
+                keys: DataFrame | None = None) -> DataFrame:
     """All three allocation paths (non-PLE, PLE, staff) as one relation (G1).
 
     Each user row gets its path from type and PLE flag; the path decides which
@@ -127,7 +130,7 @@ def alloc_paths(src: Sources, users: DataFrame, params: Params = NO_SCOPE,
     paths = (src.ple_career_paths.where(F.col("deleted_at").isNull())
              .select(F.col("id").alias("job_type_id"), F.col("id").alias("career_path_id"),
                      F.col("name").alias("career_path_name")))
-    latest = (latest_career_path(src)
+    latest = (latest_career_path(src, keys)
               .join(bounded_broadcast(paths, _key(src, "ple_career_paths")), "job_type_id", "left")
               .select("user_id", "career_path_id", "career_path_name", "career_path_updated_at"))
     u = users.withColumn("allocation_path", _path()).where(path.isNotNull())
@@ -240,7 +243,7 @@ def alloc_dedup(allocation: DataFrame) -> DataFrame:
 
 def allocation(src: Sources, users: DataFrame, params: Params = NO_SCOPE,
                consts: Constants = DEFAULT, ple_rule: str = "strict",
-               excluded_types=None) -> DataFrame:
+               excluded_types=None, keys: DataFrame | None = None) -> DataFrame:
     """J1/J2 + E2 + B8: the de-duplicated, type-filtered allocation (one row per
     user x lesson), de-duplicated at subject grain before the fan-out."""
-    return alloc_paths(src, users, params, consts, ple_rule, excluded_types, dedup=True)
+    return alloc_paths(src, users, params, consts, ple_rule, excluded_types, dedup=True, keys=keys)

@@ -11,15 +11,20 @@ from lessonlens.sources.fixtures import Sources
 LEARNER, STAFF = "learner", "staff"
 
 
-def _aggregate(activity: DataFrame) -> DataFrame:
+def _aggregate(activity: DataFrame, keys: tuple[DataFrame, ...] = ()) -> DataFrame:
     """Completed activity per (user, lesson): max score, max rating, summed duration.
 
+    ``keys``: bounded one-column relations (``user_id``, ``lesson_id``) that restrict a
+    scoped run's log below the aggregate, so what is out of scope is never shuffled.
+
     A plain hash aggregate: partial aggregation runs map-side, so even a user
     holding a third of all activity rows reaches the shuffle as at most one
     row per (map task, lesson).
     """
-    return (activity.where(F.col("completed") == 1)
-            .groupBy("user_id", "lesson_id")
+    activity = activity.where(F.col("completed") == 1)
+    for k in keys:
+        activity = activity.join(F.broadcast(k), k.columns, "left_semi")
+    return (activity.groupBy("user_id", "lesson_id")
             .agg(F.max("score").alias("score"), F.max("rating").alias("rating"),
                  F.sum("duration").cast("bigint").alias("duration")))
 
@@ -47,7 +52,8 @@ def completion_dedup(src: Sources, users: DataFrame) -> DataFrame:
     return completion(src, users, LEARNER).unionByName(completion(src, users, STAFF))
 
 
-def merge(allocation: DataFrame, src: Sources, partitions: int | None = None) -> DataFrame:
+def merge(allocation: DataFrame, src: Sources, partitions: int | None = None,
+          keys: tuple[DataFrame, ...] = ()) -> DataFrame:
     """Allocation LEFT JOIN completion on (user, lesson); completed = match found.
 
     Both activity logs are aggregated with a ``source`` tag and joined on
@@ -56,10 +62,11 @@ def merge(allocation: DataFrame, src: Sources, partitions: int | None = None) ->
     the semi-join-restricted completion above without joining users again.
     The aggregated completion is hash-partitioned on ``user_id`` so the join
     reuses the allocation's partitioning and the per-user roll-ups downstream
-    need no further shuffle of the user x lesson rows.
+    need no further shuffle of the user x lesson rows.  ``keys`` restrict both
+    logs of a scoped run before they are aggregated.
     """
-    comp = (_aggregate(src.learning_activities).withColumn("_src", F.lit(LEARNER))
-            .unionByName(_aggregate(src.facilitator_learning_activities)
+    comp = (_aggregate(src.learning_activities, keys).withColumn("_src", F.lit(LEARNER))
+            .unionByName(_aggregate(src.facilitator_learning_activities, keys)
                          .withColumn("_src", F.lit(STAFF)))
             .withColumn("_hit", F.lit(1)))
     comp = comp.repartition(partitions, "user_id") if partitions else comp.repartition("user_id")

@@ -258,6 +258,24 @@ def q_one_user_row(spark, sf):
     return R.one_user_row(pipeline(spark, sf).users)
 
 
+_SNAPSHOTS: dict[tuple, DataFrame] = {}
+
+
+def stored_snapshot(p: Pipeline) -> DataFrame:
+    """The snapshot as a stored table: built once per session beside the source tables and read
+    back, column-pruned, by the products that start from it."""
+    src = p.src
+    root = getattr(src, "materialized_at", None)
+    if root is None:
+        return p.user_snapshot()
+    key = (src.spark.sparkContext.applicationId, src.sf_dir)
+    if key not in _SNAPSHOTS:
+        path = f"{root}/user_snapshot"
+        p.user_snapshot().write.mode("overwrite").parquet(path)
+        _SNAPSHOTS[key] = src.spark.read.parquet(path)
+    return _SNAPSHOTS[key]
+
+
 def _snapshot_flat(p: Pipeline) -> DataFrame:
     s = p.user_snapshot()
     return s.select(*[c for c in SNAPSHOT_COLUMNS if not c.endswith("_combos")],
@@ -360,7 +378,7 @@ def q_first_login(spark, sf):
 @register("labels")
 def q_labels(spark, sf):
     p = pipeline(spark, sf)
-    snap = p.user_snapshot().select("user_id", "user_type", "is_ple")
+    snap = stored_snapshot(p).select("user_id", "user_type", "is_ple")
     return (snap.join(AD.user_addon(p.src), "user_id", "left")
             .select("user_id", user_type_label().alias("user_type_e"),
                     yes_no_label("is_ple", ("PLE", "Non-PLE")).alias("is_ple_e"),
@@ -370,7 +388,7 @@ def q_labels(spark, sf):
 
 @register("first_slot")
 def q_first_slot(spark, sf):
-    snap = pipeline(spark, sf).user_snapshot().where(F.col("project_combos").isNotNull())
+    snap = stored_snapshot(pipeline(spark, sf)).where(F.col("project_combos").isNotNull())
     return snap.select("user_id", first_slot("project_combos", "prog_name").alias("prog_name"),
                        first_slot("project_combos", "proj_name").alias("proj_name"),
                        first_slot("project_combos", "phase").alias("phase"))
@@ -379,12 +397,12 @@ def q_first_slot(spark, sf):
 @register("filter_dims")
 def q_filter_dims(spark, sf):
     p = pipeline(spark, sf)
-    return FL.filter_dims(p.user_snapshot(), AD.user_addon(p.src), p.consts)
+    return FL.filter_dims(stored_snapshot(p), AD.user_addon(p.src), p.consts)
 
 
 def _dash(spark, sf, filters=None):
     p = pipeline(spark, sf)
-    d = FL.dash_dataset(p.user_snapshot(), AD.user_addon(p.src), p.consts, filters)
+    d = FL.dash_dataset(stored_snapshot(p), AD.user_addon(p.src), p.consts, filters)
     return d.select(*[F.col(c).cast("bigint").alias(c) if c == "rounded_completion" else c
                       for c in d.columns if not c.endswith("_combos")],
                     _size("project_combos").alias("n_project_combos"),
@@ -458,7 +476,7 @@ def previous_snapshot(p: Pipeline) -> DataFrame:
 def _derive_previous_snapshot(p: Pipeline) -> DataFrame:
     """The snapshot without users ``id % 10 = 7`` (gap hits) plus stale zero rows for
     every inactive user (cleanup hits)."""
-    snap = p.user_snapshot().where(F.col("user_id") % 10 != 7)
+    snap = stored_snapshot(p).where(F.col("user_id") % 10 != 7)
     u = (p.src.users.where(F.col("type").isin(1, 2, 3, 4) & is_inactive())
          .select(F.col("id").alias("user_id"), F.col("type").alias("user_type"), "centre_id",
                  "organisation_id", "is_ple", "created_at"))
@@ -789,7 +807,7 @@ def q_debug_matched(spark, sf):
 
 @register("centre_totals")
 def q_centre_totals(spark, sf):
-    return DG.centre_totals(pipeline(spark, sf).user_snapshot())
+    return DG.centre_totals(stored_snapshot(pipeline(spark, sf)))
 
 
 @register("debug_flags")
@@ -799,7 +817,7 @@ def q_debug_flags(spark, sf):
 
 def _dash_full(spark, sf) -> DataFrame:
     p = pipeline(spark, sf)
-    return FL.dash_dataset(p.user_snapshot(), AD.user_addon(p.src), p.consts)
+    return FL.dash_dataset(stored_snapshot(p), AD.user_addon(p.src), p.consts)
 
 
 @register("kpi_headline")
@@ -845,7 +863,7 @@ def q_kpi_top_subjects(spark, sf):
 @register("dq_checks")
 def q_dq_checks(spark, sf):
     p = pipeline(spark, sf)
-    return DQ.checks(p.user_snapshot(), p.src.centres, AD.user_addon(p.src), p.users)
+    return DQ.checks(stored_snapshot(p), p.src.centres, AD.user_addon(p.src), p.users)
 
 
 @register("dq_centre_drop")
@@ -857,7 +875,7 @@ def q_dq_centre_drop(spark, sf):
 
 @register("audit_rows")
 def q_audit_rows(spark, sf):
-    return DQ.audit_rows(pipeline(spark, sf).user_snapshot(), "fixture-run")
+    return DQ.audit_rows(stored_snapshot(pipeline(spark, sf)), "fixture-run")
 
 
 def _appended(p: Pipeline) -> DataFrame:

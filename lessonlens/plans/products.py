@@ -17,6 +17,7 @@ from lessonlens.operators import allocation as A
 from lessonlens.operators import completion as CMP
 from lessonlens.operators import programme as PG
 from lessonlens.operators import rollup as R
+from lessonlens.operators.joins import may_broadcast
 from lessonlens.operators.scope import NO_SCOPE, Params, active_users
 from lessonlens.session import checkpoint_partitioned, user_partitions
 from lessonlens.sources.fixtures import Sources
@@ -67,14 +68,37 @@ class Pipeline:
         return checkpoint_partitioned(active_users(self.src, self.params, self.user_keys),
                                       "user_id")
 
+    @cached_property
+    def scope_ids(self) -> DataFrame | None:
+        """The users of a restricted run, if they are proven few enough to broadcast; None
+        for a full run, or where the scope is too large to pay off before the aggregates."""
+        p = self.params
+        if self.user_keys is None and p.user_id is None and p.centre_id is None \
+                and p.batch_id is None and p.trade_id is None:
+            return None
+        ids = self.users.select("user_id").distinct()
+        return ids if may_broadcast(ids) else None
+
+    @cached_property
+    def log_keys(self) -> tuple[DataFrame, ...]:
+        """What restricts both activity logs below their aggregates: the scope's users and
+        the lessons of a scoped subject."""
+        keys = () if self.scope_ids is None else (self.scope_ids,)
+        if self.params.subject_id is not None:
+            lessons = (self.src.lessons.where(F.col("subject_id") == self.params.subject_id)
+                       .select(F.col("id").alias("lesson_id")).distinct())
+            if may_broadcast(lessons):
+                keys += (lessons,)
+        return keys
+
     @cached_property
     def allocation(self) -> DataFrame:
         return A.allocation(self.src, self.users, self.params, self.consts, self.ple_rule,
-                            self.excluded_types)
+                            self.excluded_types, self.scope_ids)
 
     @cached_property
     def merged(self) -> DataFrame:
-        return CMP.merge(self.allocation, self.src, user_partitions(self.src.spark))
+        return CMP.merge(self.allocation, self.src, user_partitions(self.src.spark), self.log_keys)
 
     # -- P1 / P2 ------------------------------------------------------------
     def user_snapshot(self) -> DataFrame:

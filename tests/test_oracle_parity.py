@@ -3,15 +3,15 @@
 import pytest
 
 import __spark_entry__ as E
+from lessonlens.plans.catalog import QUERIES
 from oracle.compare import compare
+from oracle.queries_sql import ORACLE
 from tests.conftest import SF_SMALL
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
-
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 def test_entry_smoke(spark):

@@ -59,3 +59,20 @@ def test_empty_key_result_still_removes_old_rows(sources):
     assert fresh.count() == 0
     out = INC.replace_keys(prev, fresh, gone, "user_id")
     assert out.join(gone, "user_id", "left_semi").count() == 0
+
+
+def test_scope_reaches_the_logs(spark):
+    """A restricted run semi-joins both logs and the career history below their aggregates."""
+    from lessonlens.operators.scope import Params
+    from lessonlens.plans.catalog import pipeline
+    from tests.conftest import SF_SMALL
+
+    def semi_joins(p):
+        return p.merged._jdf.queryExecution().optimizedPlan().toString().count("Join LeftSemi")
+
+    full = pipeline(spark, SF_SMALL)
+    keys = full.src.users.select(F.col("id").alias("user_id")).where("user_id < 9")
+    assert semi_joins(full) == 0
+    assert semi_joins(Pipeline(full.src, user_keys=keys)) == 3
+    assert semi_joins(Pipeline(full.src, Params(centre_id=7))) == 3
+    assert semi_joins(Pipeline(full.src, Params(subject_id=12))) == 2
