@@ -1,14 +1,14 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
+"""Benchmark decontamination: rare-word seeds, a bound on the score, then Smith-Waterman alignment of words.
 
 The words of a block of test items get numbers; a document is read as the numbers of its
-words (-1 for a word of no item), and the regions around any n-gram that it shares with an
-item are kept: a region is wide enough for the longest item with a half more words.  How often
-each n-gram of the items occurs in the whole corpus is counted from the regions.  Of every
-``WINDOW`` neighbouring n-grams of an item, the rarest in the corpus is a seed, so every
-stretch of an item of that length that was copied unchanged has one, whatever the passage's
-own frequency; nothing is left out for being frequent.  Regions meet items where they share a
-seed, and local alignment (which forgives replaced, inserted and dropped words) scores the
-pair; its score over that of the whole item is the similarity.
+words (-1 for a word of no item).  How often each word of the items occurs in the whole corpus is
+counted.  An alignment that is similar enough matches a least number of an item's words, so it
+matches ``need`` of the rarest ones even if it matches all the others; those are the item's seeds.
+``m`` matches within ``L`` words score at most ``2 m - (L - m)``: a document meets an item where its
+seeds lie close enough for the score that is asked for.  The bound follows from the scores alone, so
+no alignment that is similar enough is left out, however its copy was edited; counts only choose
+which words are seeds.  Local alignment (which forgives replaced, inserted and dropped words) then
+scores the pair; its score over that of the whole item is the similarity.
 
 Items are taken in blocks of about ``BLOCK_ITEMS`` items and ``BLOCK_CHARS`` characters at most
 (by a hash; a single longer item is a block of its own size), each against all documents; what
@@ -16,8 +16,8 @@ travels to the tasks is the words of one block.
 
 Defined cases
     null or empty text  no words: neither a document nor an item of that kind matches
-    items shorter than the n-gram
-                        their whole word sequence is their seed
+    items of fewer than ``SHORT`` words
+                        match as a whole only
     repeated documents  a pair (doc_id, item_id) is reported once, with its best alignment
     repeated or null item_id
                         equal ids are one item id in the result, null included
@@ -28,9 +28,10 @@ Defined cases
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -40,14 +41,15 @@ from pyspark.sql import functions as F
 
 from lessonlens.llm.common import batch_of, stored
 
-NGRAM = 3                # of ``Block.keys`` too
-WINDOW = 3               # neighbouring n-grams of which the rarest is a seed
+SHORT = 3                # words of an item from which a part of it may match
+SEEDS = 0.6              # of the least number of matches, the share asked of the seeds
 SIMILARITY = 0.4         # least share of the item's own score
 MATCH, MISMATCH, GAP = 2, -1, -1
 BLOCK_ITEMS = 20_000
-BLOCK_CHARS = 4_000_000  # of the items of a block, about; fewer than 2^21 words
+BLOCK_CHARS = 4_000_000  # of the items of a block, about
 MEMO_TOKENS = 500_000    # a worker remembers
-PAIRS = 128              # pairs aligned at a time
+PAIRS = 128              # pairs aligned at a time, fewer if they are long
+CELLS = 1 << 21          # of a row of the pairs aligned at a time, about
 
 _WORD = re.compile(r"[^\W_]+")
 
@@ -91,12 +93,9 @@ class Numbers(dict):
 
 @dataclass
 class Block:
-    """Test items as word numbers, and their n-grams as sorted keys."""
+    """Test items as word numbers."""
     items: list[tuple[int | None, np.ndarray]]
     numbers: dict[str, int]
-    grams: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    reach: int = 0
-    short: list[np.ndarray] = field(default_factory=list)      # items shorter than an n-gram
     memo: Numbers | None = None                                # a worker's
 
     @staticmethod
@@ -107,82 +106,71 @@ class Block:
             found = [numbers.setdefault(w, len(numbers)) for w in words_of(text)]
             if found:
                 items.append((item_id, np.array(found, dtype=np.int64)))
-        block = Block(items, numbers)
-        if items:
-            block.grams = np.unique(np.concatenate([block.keys(x)[0] for _, x in items]))
-            block.short = [x for _, x in items if len(x) < NGRAM]
-            block.reach = max(len(x) for _, x in items) * 3 // 2
-        return block
-
-    def keys(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Keys of the n-grams whose words all have numbers, and where they start.  A sequence
-        of an item that is shorter than an n-gram is filled up with a number of its own."""
-        size = len(self.numbers) + 1
-        if len(numbers) < NGRAM:
-            numbers = np.append(numbers, np.full(NGRAM - len(numbers), size - 1))
-        known = numbers >= 0
-        at = np.flatnonzero(known[:-2] & known[1:-1] & known[2:])
-        key = np.zeros(len(at), dtype=np.int64)
-        for k in range(NGRAM):
-            key = key * size + numbers[at + k]       # exact: at most 2^21 words fit three to a key
-        return key, at
-
-    def hits(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Keys of the items' n-grams in a word sequence, and where they start."""
-        key, at = self.keys(numbers)
-        if self.short:
-            extra = [(self.keys(x)[0][0], np.flatnonzero(np.logical_and.reduce(
-                [numbers[k:len(numbers) - len(x) + 1 + k] == x[k] for k in range(len(x))])))
-                for x in self.short if len(numbers) >= len(x)]
-            key = np.concatenate([key, *[np.full(len(w), k) for k, w in extra]])
-            at = np.concatenate([at, *[w for _, w in extra]])
-        where = np.minimum(np.searchsorted(self.grams, key), len(self.grams) - 1)
-        have = self.grams[where] == key
-        return key[have], at[have]
-
-    def regions(self, text: str | None) -> list[tuple[int, np.ndarray]]:
-        """Start and word numbers of the regions of a text around its hits."""
+        return Block(items, numbers)
+
+    def read(self, text: str | None) -> np.ndarray:
+        """Word numbers of a text."""
         if self.memo is None:
             self.memo = Numbers(self.numbers)
-        numbers = self.memo.of(text)
-        if not len(numbers):
+        return self.memo.of(text)
+
+
+def least_score(words: int) -> int:
+    """Score from which an alignment with an item of so many words is similar enough."""
+    return MATCH * words if words < SHORT else max(1, math.ceil(SIMILARITY * MATCH * words - 1e-9))
+
+
+@dataclass
+class Seeds:
+    """Of a block: the items whose seeds hold a word (by word number, ``first`` to the next), and
+    for each item how many seeds an alignment holds (``need``), within how many words (``reach``),
+    and the least ``3 c - l`` (``bound``) of the ``c`` seeds met in its ``l`` words."""
+    first: np.ndarray
+    item: np.ndarray
+    need: np.ndarray
+    reach: np.ndarray
+    bound: np.ndarray
+
+    @staticmethod
+    def of(block: Block, counts: np.ndarray) -> Seeds:
+        n = np.array([len(x) for _, x in block.items])
+        score = np.array([least_score(k) for k in n.tolist()])
+        least = -(-score // MATCH)                       # matches, if none is paid for an edit
+        need = np.maximum(1, (SEEDS * least).astype(np.int64))
+        words = [np.unique(x[np.argsort(counts[x], kind="stable")][:k])
+                 for (_, x), k in zip(block.items, (n - least + need).tolist())]
+        owner = np.repeat(np.arange(len(words)), [len(w) for w in words]).astype(np.min_scalar_type(len(words)))
+        word = np.concatenate(words)
+        first = np.concatenate([[0], np.cumsum(np.bincount(word, minlength=len(block.numbers)))])
+        # Edits cost 1 at least, so m matches in L words score 3 m - L at most, m <= n; of the
+        # matches, all but the least - need most frequent words of the item are seeds.
+        return Seeds(first, owner[np.argsort(word, kind="stable")], need, 3 * n - score, score - 3 * (least - need))
+
+    def candidates(self, numbers: np.ndarray) -> list[tuple[int, int, int]]:
+        """Item, start and end of the parts of a word sequence to be aligned; parts that overlap are one."""
+        at = np.flatnonzero(numbers >= 0)
+        first = self.first[numbers[at]]
+        n = self.first[numbers[at] + 1] - first
+        total = int(n.sum())
+        if not total:
             return []
-        _, at = self.hits(numbers)
-        if not len(at):
+        item = self.item[np.arange(total) + np.repeat(first - np.cumsum(n) + n, n)]
+        order = np.argsort(item, kind="stable")
+        item, at = item[order].astype(np.int64), np.repeat(at, n)[order]
+        # 3 c - l of the best stretch that ends at each seed: a running minimum, anew for each item.
+        group = np.concatenate([[0], np.cumsum(item[1:] != item[:-1])])
+        level = 3 * np.arange(total) - at - group * (3 * total + len(numbers) + 1)
+        best = level - np.minimum.accumulate(level) + 2
+        back = np.arange(total) - self.need[item] + 1
+        held = np.maximum(back, 0)
+        last = np.flatnonzero((best >= self.bound[item]) & (back >= 0) & (item[held] == item)
+                              & (at - at[held] < self.reach[item]))
+        if not len(last):
             return []
-        at = np.unique(at)
-        cut = np.flatnonzero(np.diff(at) > 2 * self.reach + NGRAM)
-        first = at[np.concatenate([[0], cut + 1])]
-        last = at[np.concatenate([cut, [len(at) - 1]])]
-        return [(max(0, a - self.reach), numbers[max(0, a - self.reach):b + NGRAM + self.reach])
-                for a, b in zip(first.tolist(), last.tolist())]
-
-    def seeds(self, counts: dict[int, int]) -> dict[int, list[tuple[int, int]]]:
-        """The items and offsets of every seed."""
-        found: dict[int, set[tuple[int, int]]] = {}
-        for i, (_, x) in enumerate(self.items):
-            key, at = self.keys(x)
-            n = np.array([counts.get(k, 0) for k in key.tolist()])
-            for a in range(max(1, len(key) - WINDOW + 1)):
-                k = a + int(np.argmin(n[a:a + WINDOW]))
-                found.setdefault(int(key[k]), set()).add((i, int(at[k])))
-        return {k: sorted(v) for k, v in found.items()}
-
-    def candidates(self, numbers: np.ndarray, seeds: dict[int, list[tuple[int, int]]]) -> list[tuple[int, int, int]]:
-        """Item, start and end of the parts of a region to be aligned: for each item, the seeds
-        met, each with room for the item on both sides; parts that overlap are one."""
-        key, at = self.hits(numbers)
-        spans: dict[int, list[tuple[int, int]]] = {}
-        for k, p in sorted(zip(key.tolist(), at.tolist()), key=lambda x: x[1]):
-            for i, offset in seeds.get(k, ()):
-                n = len(self.items[i][1])
-                a, b = max(0, p - offset - n // 2 - 1), min(len(numbers), p - offset + n + n // 2 + 1)
-                got = spans.setdefault(i, [])
-                if got and a <= got[-1][1]:
-                    got[-1] = (min(a, got[-1][0]), max(b, got[-1][1]))
-                else:
-                    got.append((a, b))
-        return [(i, a, b) for i, s in spans.items() for a, b in s]
+        item, at = item[last], at[last]
+        start, end = np.maximum(at - self.reach[item] + 1, 0), np.minimum(at + self.reach[item], len(numbers))
+        new = np.flatnonzero(np.concatenate([[True], (item[1:] != item[:-1]) | (start[1:] >= end[:-1])]))
+        return list(zip(item[new].tolist(), start[new].tolist(), end[np.append(new[1:], len(item)) - 1].tolist()))
 
 
 def align(items: list[np.ndarray], parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -210,23 +198,23 @@ def align(items: list[np.ndarray], parts: list[np.ndarray]) -> tuple[np.ndarray,
     return best, end
 
 
-def matches(block: Block, regions: list[tuple[int, np.ndarray]], seeds: dict) -> list[tuple[int, int, int, int, int]]:
-    """Region, item, score, start and end word of the alignments that are similar enough."""
-    todo = [(r, i, a, b) for r, (_, x) in enumerate(regions) for i, a, b in block.candidates(x, seeds)]
-    todo.sort(key=lambda t: t[3] - t[2])
-    found = []
-    for k in range(0, len(todo), PAIRS):
-        some = todo[k:k + PAIRS]
+def matches(block: Block, texts: list[np.ndarray], seeds: Seeds) -> list[tuple[int, int, int, int, int]]:
+    """Text, item, score, start and end word of the alignments that are similar enough."""
+    todo = [(r, i, a, b) for r, x in enumerate(texts) for i, a, b in seeds.candidates(x)]
+    todo.sort(key=lambda t: t[2] - t[3])
+    found, k = [], 0
+    while k < len(todo):
+        some = todo[k:k + max(1, min(PAIRS, CELLS // (todo[k][3] - todo[k][2])))]
+        k += len(some)
         items = [block.items[i][1] for _, i, _, _ in some]
-        parts = [regions[r][1][a:b] for r, _, a, b in some]
+        parts = [texts[r][a:b] for r, _, a, b in some]
         score, end = align(items, parts)
-        good = [n for n, x in enumerate(items) if score[n] >= SIMILARITY * MATCH * len(x)]
+        good = [n for n, x in enumerate(items) if score[n] >= least_score(len(x))]
         if good:        # the same alignment from its end shows where it starts
             _, back = align([items[n][::-1] for n in good], [parts[n][:end[n]][::-1] for n in good])
             for n, m in zip(good, back.tolist()):
                 r, i, a, _ = some[n]
-                start = regions[r][0] + a
-                found.append((r, i, int(score[n]), start + int(end[n]) - m, start + int(end[n])))
+                found.append((r, i, int(score[n]), a + int(end[n]) - m, a + int(end[n])))
     return found
 
 
@@ -243,40 +231,42 @@ def blocks(benchmark: DataFrame) -> Iterator[Block]:
         yield Block.of([(r[0], r[1]) for r in items.where(spot == k).orderBy("item_id", "text").collect()])
 
 
-def region_rows(docs: DataFrame, block: Broadcast) -> DataFrame:
-    out = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("words", pa.list_(pa.int64()))])
+def word_rows(docs: DataFrame, block: Broadcast) -> DataFrame:
+    """``doc_id`` and word numbers of the documents that hold a word of the block."""
+    out = pa.schema([("doc_id", pa.int64()), ("words", pa.list_(pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [(d, a, x) for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist())
-                     for a, x in block.value.regions(t)]
+            read = ((d, block.value.read(t)) for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+            found = [(d, x.astype(np.int32)) for d, x in read if (x >= 0).any()]
             if found:
                 yield batch_of(out, list(zip(*found)))
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-            .mapInArrow(run, "doc_id long, start long, words array<long>"))
+            .mapInArrow(run, "doc_id long, words array<int>"))
 
 
-def gram_counts(regions: DataFrame, block: Broadcast) -> dict[int, int]:
-    """How often each n-gram of the block's items occurs in the corpus (at most one row for each)."""
-    out = pa.schema([("gram", pa.int64()), ("n", pa.int64())])
+def seeds_of(rows: DataFrame, block: Block, shared: Broadcast) -> Broadcast:
+    """The block's seeds by how often each of its words occurs in ``rows``: texts, or their word numbers."""
+    out = pa.schema([("word", pa.int64()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(shared.value.numbers), dtype=np.int64)
         for b in batches:
-            keys = [block.value.hits(np.array(x.values))[0] for x in b.column(0)]
-            if keys:
-                yield batch_of(out, list(np.unique(np.concatenate(keys), return_counts=True)))
-
-    rows = regions.select("words").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    return {r["gram"]: r["n"] for r in rows.collect()}
-
-
-def prepared(docs: DataFrame, block: Block) -> tuple[DataFrame, Broadcast, Broadcast]:
-    """The block's regions, the block and its seeds."""
-    sc = docs.sparkSession.sparkContext
-    shared = sc.broadcast(block)
-    regions = stored(region_rows(docs, shared))
-    return regions, shared, sc.broadcast(block.seeds(gram_counts(regions, shared)))
+            if pa.types.is_list(b.column(0).type):
+                x = b.column(0).flatten().to_numpy()
+                total += np.bincount(x[x >= 0], minlength=len(total))
+            else:
+                for t in b.column(0).to_pylist():
+                    x = shared.value.read(t)
+                    np.add.at(total, x[x >= 0], 1)
+        some = np.flatnonzero(total)
+        yield batch_of(out, [some, total[some]])
+
+    counts = np.zeros(len(block.numbers), dtype=np.int64)
+    for r in rows.mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect():
+        counts[r["word"]] = r["n"]
+    return rows.sparkSession.sparkContext.broadcast(Seeds.of(block, counts))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -290,17 +280,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 block, ids = shared.value, b.column(0).to_pylist()
-                regions = list(zip(b.column(1).to_pylist(), (np.array(x.values) for x in b.column(2))))
+                texts = [x.values.to_numpy() for x in b.column(1)]
                 found = [(ids[r], block.items[i][0], score, len(block.items[i][1]), start, end)
-                         for r, i, score, start, end in matches(block, regions, seeds.value)]
+                         for r, i, score, start, end in matches(block, texts, seeds.value)]
                 if found:
                     yield batch_of(out, list(zip(*found)))
         return run
 
     for block in blocks(benchmark):
         if block.items:
-            regions, shared, seeds = prepared(docs, block)
-            result = result.unionByName(regions.mapInArrow(aligned(shared, seeds), schema))
+            shared = docs.sparkSession.sparkContext.broadcast(block)
+            words = stored(word_rows(docs, shared))
+            seeds = seeds_of(words.select("words"), block, shared)
+            result = result.unionByName(words.mapInArrow(aligned(shared, seeds), schema))
     best = F.max_by(F.struct("item_words", "start_word", "end_word"), F.struct("score", -F.col("start_word"), "item_words"))
     return (result.groupBy("doc_id", "item_id").agg(F.max("score").alias("score"), best.alias("at"))
             .select("doc_id", "item_id", (F.col("score") / (MATCH * F.col("at.item_words"))).alias("similarity"),
@@ -315,17 +307,13 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 block = shared.value
-                owner, regions = [], []
-                for k, t in enumerate(b.column(at).to_pylist()):
-                    for region in block.regions(t):
-                        owner.append(k)
-                        regions.append(region)
-                bad = {owner[m[0]] for m in matches(block, regions, seeds.value)}
+                bad = {m[0] for m in matches(block, [block.read(t) for t in b.column(at).to_pylist()], seeds.value)}
                 yield b.filter(pa.array([k not in bad for k in range(len(b))]))
         return run
 
     for block in blocks(benchmark):
         if block.items:
-            _, shared, seeds = prepared(docs, block)
+            shared = docs.sparkSession.sparkContext.broadcast(block)
+            seeds = seeds_of(docs.select("text"), block, shared)
             docs = docs.mapInArrow(keep(shared, seeds), docs.schema)
     return docs

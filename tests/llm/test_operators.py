@@ -132,6 +132,34 @@ def test_alignment():
     assert score.tolist() == [plain(a, b) for a, b in pairs]
 
 
+@pytest.mark.parametrize("every", [3, 4, 5, 6])
+def test_edited_copies_against_all_pairs(llm, every):
+    """Every similar pair that aligning all documents with all items finds, copies in the corpus or not."""
+    rng = random.Random(every)
+    vocabulary = [f"w{k}" for k in range(400)]
+    items = [[rng.choice(vocabulary) for _ in range(rng.randrange(4, 45))] for _ in range(25)]
+
+    def edited(x, kind):
+        return [y for k, w in enumerate(x) for y in (
+            [w] if k % every != every - 1 else {"replace": ["other"], "insert": [w, "other"], "drop": []}[kind])]
+    texts = [[rng.choice(vocabulary) for _ in range(60)] + edited(x, kind) + [rng.choice(vocabulary) for _ in range(60)]
+             for x in items for kind in ("replace", "insert", "drop")]
+    texts += items[:8] + [[rng.choice(vocabulary) for _ in range(500)] for _ in range(20)]
+    texts += [[y for w in x for y in (w, "other")] for x in items]
+    number = {w: k for k, w in enumerate(vocabulary)}
+    expected = {}
+    for d, t in enumerate(texts):
+        score, _ = decontaminate.align([np.array([number[w] for w in x]) for x in items],
+                                       [np.array([number.get(w, -1) for w in t])] * len(items))
+        expected |= {(d, i): s for i, (s, x) in enumerate(zip(score.tolist(), items)) if s >= 0.4 * 2 * len(x) - 1e-9}
+    assert {(3 * i, i) for i, x in enumerate(items) if len(x) > 9} <= set(expected)
+    bench = llm.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    frame = llm.createDataFrame([(d, " ".join(t)) for d, t in enumerate(texts)], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in decontaminate.contamination(frame, bench).collect()}
+    assert got == expected
+    assert {r.doc_id for r in decontaminate.clean(frame, bench).collect()} == set(range(len(texts))) - {d for d, _ in expected}
+
+
 # ---- licences
 
 def test_license_rules(llm, odd):
