@@ -1,11 +1,12 @@
 """Quality rules by n-gram perplexity.
 
 A character model of order ``ORDER`` with modified Kneser-Ney smoothing is counted by Spark
-over all documents: first the code points, of which the ``ALPHABET - 2`` most frequent get a
-symbol of their own (the others share one, another marks the ends of a text), then all
-n-grams.  The alphabet bounds the model, whatever the corpus: at most ``ALPHABET ** ORDER``
-n-grams.  It travels as arrays sorted by n-gram code; a worker expands them once into a table
-of log-probabilities and reads a text's perplexity from it.
+over all documents, over every character (UTF-16 unit: a code point beyond 0xFFFF counts as its
+two).  An n-gram is the 64 bits of its four units; each order is a table of n-grams with their counts
+and those of their contexts, in the shared folder, and grows with the corpus.  Scoring is in two
+parts, with the same probabilities: n-grams of the ``ALPHABET - 2`` most frequent units and the
+ends of texts, of which there are at most ``ALPHABET ** ORDER``, are read from a table that each worker
+expands once; a text's other n-grams are counted and joined to the table of all of them.
 
 A document is rejected by the base rules, or if its log-perplexity leaves the band of its
 language.  A band reaches ``REACH`` interquartile ranges beyond the quartiles of the documents
@@ -14,6 +15,7 @@ many near copies of one text does not get a band that fits only those); a short
 mean varies by chance, gets ``NOISE / sqrt(characters)`` more on both sides.
 
 Defined cases
+    a NUL in a text     a blank, as other white space
     null or empty text  no words: fails the base rules; log-perplexity null
     null lang           a language of its own
     null doc_id         passed through
@@ -26,25 +28,28 @@ Defined cases
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lessonlens.llm.common import batch_of, stored
 
 ORDER = 4
-ALPHABET = 48
-END, OTHER = 0, 1        # symbols of the ends of a text and of rare code points
+ALPHABET = 48            # of the expanded table
+END, OTHER = 0, 1        # symbols of the ends of a text and of units outside the expanded table; END is a unit too
 REACH = 3.0
 LEAST = 0.12
 NOISE = 1.0              # added: this over the root of the number of characters, for short texts
 CHUNK = 1 << 21          # n-grams counted at a time
-POINTS = 0x110000
+UNITS = 1 << 16
+BROADCAST_GRAMS = 500_000
 
 # Fixed values of the base rules.
 SYMBOLS = np.frombuffer(b"#*$%&|<>", dtype=np.uint8)
@@ -52,71 +57,97 @@ LEAST_WORDS = 50
 MOST_REPEATED = 50       # per cent of the words
 
 
-def points(text: str) -> np.ndarray:
-    return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+def units(text: str) -> np.ndarray:
+    return np.frombuffer(text.lower().encode("utf-16-le", "surrogatepass"), dtype=np.uint16)
 
 
 def folded(point: np.ndarray) -> np.ndarray:
     """Digits count as 0, white space as a blank."""
     digit = (point >= 48) & (point <= 57)
-    white = ((point >= 9) & (point <= 13)) | (point == 0xA0)
+    white = ((point >= 9) & (point <= 13)) | (point == 0xA0) | (point == END)
     return np.where(digit, 48, np.where(white, 32, point))
 
 
-def alphabet(docs: DataFrame) -> np.ndarray:
-    """Symbol of every code point, by its frequency in the whole corpus."""
+FOLD = folded(np.arange(UNITS)).astype(np.uint16)
+
+
+def alphabet(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
+    """Symbol of every folded unit, the unit of every symbol (by frequency in the whole corpus), and how
+    many different units there are, the end with them."""
     out = pa.schema([("point", pa.int64()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(POINTS, dtype=np.int64)
+        total = np.zeros(UNITS, dtype=np.int64)
         for b in batches:
             for t in b.column(0).to_pylist():
                 if t:
-                    p = points(t)
-                    n = np.bincount(p)
+                    n = np.bincount(units(t))
                     total[:len(n)] += n
         some = np.flatnonzero(total)
-        yield batch_of(out, [folded(some), total[some]])
+        yield batch_of(out, [FOLD[some], total[some]])
 
-    top = (docs.select("text").mapInArrow(run, "point long, n long").groupBy("point").agg(F.sum("n").alias("n"))
-           .orderBy(F.desc("n"), "point").limit(ALPHABET - 2).collect())
-    symbol = np.full(POINTS, OTHER, dtype=np.uint8)
-    for k, r in enumerate(top):
-        symbol[r["point"]] = k + 2
-    return symbol[folded(np.arange(POINTS))]
+    found = (docs.select("text").mapInArrow(run, "point long, n long").groupBy("point").agg(F.sum("n").alias("n"))
+             .orderBy(F.desc("n"), "point").collect())       # at most UNITS rows
+    top = np.array([END, END, *(r["point"] for r in found[:ALPHABET - 2])], dtype=np.uint16)
+    symbol = np.full(UNITS, OTHER, dtype=np.uint8)
+    symbol[top] = np.arange(len(top))
+    symbol[END] = END
+    return symbol, top, len(found) + 1
 
 
-def codes(text: str | None, symbol: np.ndarray) -> np.ndarray:
-    """Codes of the n-grams that end at each character of a text and at its end."""
+def codes(text: str | None, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams that end at each character of a text and at its end: codes of those in the
+    expanded table, and the units of the others."""
     if not text:
-        return np.zeros(0, dtype=np.uint32)
-    s = np.concatenate([np.zeros(ORDER - 1, np.uint32), symbol[points(text)].astype(np.uint32), np.zeros(1, np.uint32)])
+        return np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.uint64)
+    u = np.concatenate([np.full(ORDER - 1, END, np.uint16), FOLD[units(text)], np.full(1, END, np.uint16)])
+    s = symbol[u].astype(np.uint32)
     n = len(s) - ORDER + 1
     code = s[:n].copy()
     for k in range(1, ORDER):
         code *= ALPHABET
         code += s[k:k + n]
+    rare = s == OTHER
+    if not rare.any():
+        return code, np.zeros(0, dtype=np.uint64)
+    odd = np.logical_or.reduce([rare[k:k + n] for k in range(ORDER)])
+    at = np.flatnonzero(odd)
+    return code[~odd], packed([u[at + k] for k in range(ORDER)])
+
+
+def packed(parts: list[np.ndarray]) -> np.ndarray:
+    code = np.zeros(len(parts[0]), dtype=np.uint64)
+    for x in parts:
+        code = (code << np.uint64(16)) | x.astype(np.uint64)
     return code
 
 
-def count_grams(docs: DataFrame, symbol: Broadcast) -> DataFrame:
-    """``code``, ``n`` of every n-gram of the corpus."""
+def count_grams(docs: DataFrame, symbol: Broadcast, top: np.ndarray) -> DataFrame:
+    """``code`` (64 bits), ``n`` of every n-gram of the corpus."""
     out = pa.schema([("code", pa.int64()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(ALPHABET ** ORDER, dtype=np.int64)
         waiting, size = [], 0
+
+        def count() -> pa.RecordBatch:
+            nonlocal total
+            total += np.bincount(np.concatenate([x for x, _ in waiting]), minlength=len(total))
+            odd, n = np.unique(np.concatenate([x for _, x in waiting]), return_counts=True)
+            return batch_of(out, [odd.view(np.int64), n])
+
         for b in batches:
             for t in b.column(0).to_pylist():
                 waiting.append(codes(t, symbol.value))
-                size += len(waiting[-1])
+                size += len(waiting[-1][0]) + len(waiting[-1][1])
                 if size >= CHUNK:
-                    total += np.bincount(np.concatenate(waiting), minlength=len(total))
+                    yield count()
                     waiting, size = [], 0
         if waiting:
-            total += np.bincount(np.concatenate(waiting), minlength=len(total))
+            yield count()
         some = np.flatnonzero(total)
-        yield batch_of(out, [some, total[some]])
+        parts = [top[some // ALPHABET ** k % ALPHABET] for k in range(ORDER - 1, -1, -1)]
+        yield batch_of(out, [packed(parts).view(np.int64), total[some]])
 
     return docs.select("text").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
@@ -133,7 +164,11 @@ class Level:
 
 def discounts(n: np.ndarray) -> np.ndarray:
     """Modified Kneser-Ney discounts of counts 1, 2 and 3 or more."""
-    have = [int((n == k).sum()) for k in (1, 2, 3, 4)]
+    return discounts_of([int((n == k).sum()) for k in (1, 2, 3, 4)])
+
+
+def discounts_of(have: list[int]) -> np.ndarray:
+    """The same from how many n-grams were counted 1, 2, 3 and 4 times."""
     if min(have) == 0:
         return np.array([0.0, 0.5, 0.75, 0.9])
     y = have[0] / (have[0] + 2 * have[1])
@@ -143,7 +178,7 @@ def discounts(n: np.ndarray) -> np.ndarray:
 
 def smoothed(code: np.ndarray, n: np.ndarray) -> list[Level]:
     """Levels from the highest order down, of n-grams ``code`` (ascending) counted ``n`` times.
-    Lower orders count in how many contexts an n-gram was seen."""
+    Lower orders count in how many contexts an n-gram was seen.  In memory, what ``model`` does in tables."""
     levels = []
     for order in range(ORDER, 0, -1):
         d = discounts(n)
@@ -156,10 +191,56 @@ def smoothed(code: np.ndarray, n: np.ndarray) -> list[Level]:
     return levels
 
 
-def expanded(levels: list[Level]) -> np.ndarray:
+def model(grams: DataFrame, n_units: int, top: np.ndarray) -> tuple[list[Level], DataFrame]:
+    """Levels of the n-grams of the ``top`` units only, and ``code``, ``nll`` (negative log-probability
+    of the last unit) of all other n-grams, from the whole table of counts."""
+    def all_top(code, order: int):
+        units_of = [F.shiftrightunsigned(code, 16 * k).bitwiseAND(F.lit(UNITS - 1)) for k in range(order)]
+        return functools.reduce(operator.and_, [u.isin(*sorted({END, *top.tolist()})) for u in units_of], F.lit(True))
+
+    def dense(code: np.ndarray, order: int) -> np.ndarray:
+        symbol = np.zeros(UNITS, dtype=np.uint32)
+        symbol[top] = np.arange(len(top))
+        symbol[END] = END
+        x = np.zeros(len(code), dtype=np.uint32)
+        for k in range(order - 1, -1, -1):
+            x = x * ALPHABET + symbol[(code.view(np.uint64) >> np.uint64(16 * k)).astype(np.uint64) & np.uint64(UNITS - 1)]
+        return x
+
+    tables, levels, counted = [], [], grams
+    for order in range(ORDER, 0, -1):
+        counted = stored(counted)
+        d = discounts_of(list(counted.agg(*[F.count_if(F.col("n") == k) for k in (1, 2, 3, 4)]).first())).tolist()
+        cut = F.element_at(F.array(*map(F.lit, d[1:])), F.least(F.col("n"), F.lit(3)).cast("int"))
+        rows = counted.withColumns({"context": F.shiftrightunsigned("code", 16), "cut": cut})
+        context = stored(rows.groupBy("context").agg(F.sum("n").alias("total"), F.sum("cut").alias("left")))
+        rows = stored(rows.join(context, "context").select(
+            "code", "context", ((F.col("n") - F.col("cut")) / F.col("total")).alias("share"),
+            (F.col("left") / F.col("total")).alias("backoff")))
+        tables.append(rows)
+        g = rows.where(all_top(F.col("code"), order)).select("code", "share").toArrow()
+        c = context.where(all_top(F.col("context"), order - 1)).select(
+            "context", (F.col("left") / F.col("total")).alias("backoff")).toArrow()
+        levels.append(Level(dense(g.column(0).to_numpy(), order), g.column(1).to_numpy().astype(np.float32),
+                            dense(c.column(0).to_numpy(), order - 1), c.column(1).to_numpy().astype(np.float32)))
+        suffix = F.col("code").bitwiseAND(F.lit((1 << 16 * (order - 1)) - 1))
+        counted = counted.groupBy(suffix.alias("code")).agg(F.count("*").alias("n"))
+    p = None
+    for order, rows in enumerate(reversed(tables), start=1):
+        if order == ORDER:
+            rows = rows.where(~all_top(F.col("code"), order))
+        lower = F.lit(1.0 / n_units)
+        if p is not None:
+            rows = rows.withColumn("suffix", F.col("code").bitwiseAND(F.lit((1 << 16 * (order - 1)) - 1))).join(p, "suffix")
+            lower = F.col("p")
+        p = rows.select(F.col("code").alias("suffix"), (F.col("share") + F.col("backoff") * lower).alias("p"))
+    return levels, stored(p.select(F.col("suffix").alias("code"), (-F.log(F.greatest("p", F.lit(1e-12)))).alias("nll")))
+
+
+def expanded(levels: list[Level], n_units: int = ALPHABET) -> np.ndarray:
     """Negative log-probability of the last symbol, by n-gram code.  A context never seen leaves
-    all to the next lower order, the lowest to an even share."""
-    p = np.full(1, 1.0 / ALPHABET, dtype=np.float32)
+    all to the next lower order, the lowest to an even share of ``n_units``."""
+    p = np.full(1, 1.0 / n_units, dtype=np.float32)
     for order, level in enumerate(reversed(levels), start=1):
         weight = np.ones(ALPHABET ** (order - 1), dtype=np.float32)
         weight[level.context] = level.backoff
@@ -203,40 +284,53 @@ def repeated(words: list[bytes]) -> int:
 _TABLE: dict[str, np.ndarray] = {}     # a worker's expanded table
 
 
-def table_of(key: str, levels: Broadcast) -> np.ndarray:
+def table_of(key: str, levels: Broadcast, n_units: int) -> np.ndarray:
     if key not in _TABLE:
         _TABLE.clear()
-        _TABLE[key] = expanded(levels.value)
+        _TABLE[key] = expanded(levels.value, n_units)
     return _TABLE[key]
 
 
-def train(docs: DataFrame) -> tuple[np.ndarray, list[Level]]:
-    """The alphabet and the model of the whole corpus."""
-    symbol = alphabet(docs)
-    grams = count_grams(docs, docs.sparkSession.sparkContext.broadcast(symbol)).toArrow()
-    code, n = grams.column(0).to_numpy(), grams.column(1).to_numpy()
-    order = np.argsort(code)
-    return symbol, smoothed(code[order], n[order])
-
-
-def measure(docs: DataFrame, symbol: np.ndarray, levels: list[Level]) -> DataFrame:
-    """``doc_id``, ``lang``, the base counts, ``log_ppl`` (null without text) of every row."""
+def measure(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``lang``, the base counts, ``log_ppl`` (null without text) of every row, by the model
+    of all of them."""
     sc = docs.sparkSession.sparkContext
-    shared_symbol, shared_levels = sc.broadcast(symbol), sc.broadcast(levels)     # bounded by the alphabet
+    symbol, top, n_units = alphabet(docs)
+    shared_symbol = sc.broadcast(symbol)
+    levels, others = model(count_grams(docs, shared_symbol, top), n_units, top)
+    shared_levels = sc.broadcast(levels)     # bounded by the alphabet of the expanded table
     key = f"{sc.applicationId}-{id(shared_levels)}"
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    out = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), *((k, pa.int64()) for k in names), ("log_ppl", pa.float64())])
+    out = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("lang", pa.string()), *((k, pa.int64()) for k in names),
+                     ("n_grams", pa.int64()), ("nll", pa.float64()), ("odd", pa.list_(pa.int64())), ("odd_n", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = table_of(key, shared_levels)
+        table, row = table_of(key, shared_levels, n_units), TaskContext.get().partitionId() << 40
         for b in batches:
             texts = b.column(1).to_pylist()
             counts = np.array([base_counts(t) for t in texts], dtype=np.int64).reshape(-1, len(names))
-            ppl = [float(table[codes(t, shared_symbol.value)].mean(dtype=np.float64)) if t else None for t in texts]
-            yield batch_of(out, [b.column(0), b.column(2), *counts.T, ppl])
-
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").mapInArrow(
-        run, "doc_id long, lang string, " + ", ".join(f"{k} long" for k in names) + ", log_ppl double"))
+            n_grams, nll, odd, odd_n = [], [], [], []
+            for t in texts:
+                code, others = codes(t, shared_symbol.value)
+                n_grams.append(len(code) + len(others))
+                nll.append(float(table[code].sum(dtype=np.float64)))
+                unique, n = np.unique(others, return_counts=True)
+                odd.append(unique.view(np.int64))
+                odd_n.append(n)
+            yield batch_of(out, [np.arange(row, row + len(b)), b.column(0), b.column(2), *counts.T, n_grams, nll, odd, odd_n])
+            row += len(b)
+
+    measured = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").mapInArrow(
+        run, "row long, doc_id long, lang string, " + ", ".join(f"{k} long" for k in names)
+        + ", n_grams long, nll double, odd array<long>, odd_n array<long>"))
+    if others.count() <= BROADCAST_GRAMS:
+        others = F.broadcast(others)
+    odd = (measured.where(F.size("odd") > 0).select("row", F.explode(F.arrays_zip("odd", "odd_n")).alias("g"))
+           .select("row", F.col("g.odd").alias("code"), F.col("g.odd_n").alias("k")))
+    odd = odd.join(others.withColumnRenamed("nll", "each"), "code").groupBy("row").agg(F.sum(F.col("k") * F.col("each")).alias("more"))
+    # Rounded: equal texts get equal values in whatever order their n-grams are added.
+    log_ppl = F.round((F.col("nll") + F.coalesce("more", F.lit(0.0))) / F.col("n_grams"), 9)
+    return measured.join(odd, "row", "left").select("doc_id", "lang", *names, F.when(F.col("n_grams") > 0, log_ppl).alias("log_ppl"))
 
 
 def bands(measured: DataFrame) -> DataFrame:
@@ -252,7 +346,7 @@ def bands(measured: DataFrame) -> DataFrame:
 def rules(docs: DataFrame) -> DataFrame:
     """The op8 contract: ``doc_id``, the base counts, ``base_failed``, ``kept``, and ``perplexity``
     with its language's ``low`` and ``high``."""
-    measured = stored(measure(docs, *train(docs)).withColumn(
+    measured = stored(measure(docs).withColumn(
         "base_failed", (F.col("n_words") < LEAST_WORDS)
         | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))))
     band = stored(bands(measured))

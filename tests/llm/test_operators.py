@@ -314,6 +314,48 @@ def test_kneser_ney_sums_to_one():
     assert np.allclose(p.reshape(-1, perplexity.ALPHABET).sum(axis=1), 1, atol=1e-3)
 
 
+def plain_log_ppl(texts):
+    """The model over every character, in dictionaries."""
+    def grams(t):
+        u = ["<"] * 3 + [{True: "0"}.get(c in "0123456789", " " if c in "\t\n\x0b\x0c\r\xa0\0" else c) for c in t.lower()] + ["<"]
+        return [tuple(u[k:k + 4]) for k in range(len(u) - 3)]
+    counts = Counter(g for t in texts for g in grams(t))
+    even = 1 / len({c for g in counts for c in g})
+    levels = {}
+    for order in (4, 3, 2, 1):
+        d = perplexity.discounts(np.array(list(counts.values())))
+        total, left = Counter(), Counter()
+        for g, n in counts.items():
+            total[g[:-1]] += n
+            left[g[:-1]] += d[min(n, 3)]
+        levels[order] = {g: ((n - d[min(n, 3)]) / total[g[:-1]], left[g[:-1]] / total[g[:-1]]) for g, n in counts.items()}
+        counts = Counter(g[1:] for g in counts)
+
+    def p(g):
+        share, backoff = levels[len(g)][g]
+        return share + backoff * (p(g[1:]) if len(g) > 1 else even)
+    return [np.mean([-np.log(p(g)) for g in grams(t)]) for t in texts]
+
+
+def test_every_script_has_its_characters(llm, monkeypatch):
+    rng = random.Random(5)
+    latin, greek = "abcdefghijklmnopqrstuvwxyzäöüßéèçñ.,;:!?'-()01", "αβγδεζηθικλμνξοπρστυφχψω"
+    def prose(letters, seed):
+        r = random.Random(seed)
+        words = ["".join(r.choice(letters) for _ in range(r.randrange(2, 7))) for _ in range(30)]
+        return [" ".join(rng.choice(words) for _ in range(80)) for _ in range(12)]
+    texts = [t for k in range(5) for t in prose(latin, k)] + prose(greek, 9)
+    texts.append("".join(rng.choice(greek + " ") for _ in range(400)))
+    frame = llm.createDataFrame([(k, t, "el" if k >= 60 else "en") for k, t in enumerate(texts)], "doc_id long, text string, lang string")
+    expected = plain_log_ppl(texts)
+    for limit in (perplexity.BROADCAST_GRAMS, 0):
+        monkeypatch.setattr(perplexity, "BROADCAST_GRAMS", limit)
+        got = {r.doc_id: r.log_ppl for r in perplexity.measure(frame).collect()}
+        assert np.allclose([got[k] for k in range(len(texts))], expected, atol=1e-4)
+    # gibberish of the script of the few stands apart (a corpus so small knows it by heart: below)
+    assert min(abs(got[72] - got[k]) for k in range(60, 72)) > perplexity.LEAST
+
+
 # ---- personal data
 
 PATTERNS = [("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
