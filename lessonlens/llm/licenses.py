@@ -85,8 +85,8 @@ RULES: list[tuple[str, str, tuple[str, ...]]] = [
     ("all-rights-reserved", "proprietary", ("rights",)),
 ] + [(k, "CC-" + k[3:].upper(), (k,)) for k in SENTENCES if k.startswith("cc-")]
 
-# Every known sentence has one of these.
-CUES = "licen|permission|warrant|redistribut|copyright|public domain|rights reserved|version"
+# Every known sentence has one of these, each within a word, so however it is wrapped.
+CUES = "licen|permission|warrant|redistribut|copyright|unencumbered|reserved|version"
 
 PARAGRAPH_END = r"\n[ \t\r]*\n"
 SENTENCE_END = r"([.;:!?])[ \t\r\n]+"

@@ -181,6 +181,16 @@ def test_every_known_sentence_has_a_cue():
     assert {k for _, _, seq in licenses.RULES for k in seq} <= set(licenses.SENTENCES)
 
 
+def test_wrapped_sentences_have_a_cue(llm):
+    """Every known sentence, broken at every blank and with doubled blanks."""
+    known = list(licenses.SENTENCES.items())
+    forms = [re.sub(" ", gap, s) for _, s in known for gap in ("\n", "  ", " \n\t")]
+    assert all(re.search(licenses.CUES, s.lower()) for s in forms)
+    texts = ["All rights\nreserved.", "This is free and unencumbered software released into the public\ndomain."]
+    frame = llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert rows(licenses.licenses(frame), "doc_id", "licenses") == [(0, "proprietary"), (1, "Unlicense")]
+
+
 # ---- language
 
 def test_language(documents, odd):
