@@ -5,9 +5,10 @@ one blank).  A map gives known sentences their identifiers; the identifiers of a
 their order, are matched against ordered rules.  All of it is one projection: no shuffle, no
 join, and a text without a cue word (every known sentence has one) is passed over cheaply.
 
-Two ways of cutting are tried, since notices are wrapped at any width: at line ends and
-sentence ends, or at sentence ends and blank lines.  The one that recognises more sentences counts
-(the first, if they tie).
+A text is cut in two ways, since notices are wrapped at any width: at line ends and sentence
+ends, and at sentence ends and blank lines.  The sentences recognised in either count, in the order
+of the text; one that both recognise at the same place counts once.  (The oracle's statement keeps only the
+cut that recognises more, so it has less where each cut recognises sentences of its own.)
 
 Defined cases
     null or empty text  no sentences, no rules, no licences
@@ -106,26 +107,35 @@ def rule_pattern(sequence: tuple[str, ...]) -> str:
     return "," + ",(?:[^ ]*,)?".join(k.replace(".", "[.]") for k in sequence) + ","
 
 
+HITS = "array<struct<at:bigint,id:string>>"
+
+
 def recognised(text: Column) -> Column:
-    """Identifiers of the known sentences in ``text``, in their order."""
+    """Known sentences in ``text``: identifier, and letters and digits before it (which no cut changes)."""
     known = F.create_map(*[F.lit(x) for pair in identifiers().items() for x in pair])
     sentences = F.split(F.regexp_replace(text, SENTENCE_END, "$1\n"), "\n")
     plain = F.transform(sentences, lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
-    return F.filter(F.transform(plain, lambda s: F.element_at(known, s)), lambda k: k.isNotNull())
+    named = F.transform(plain, lambda s: F.struct(
+        F.length(F.replace(s, F.lit(" "), F.lit(""))).cast("long").alias("n"), F.element_at(known, s).alias("id")))
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(HITS).alias("hits"))
+    return F.aggregate(named, start, lambda acc, s: F.struct(
+        (acc["at"] + s["n"]).alias("at"),
+        F.when(s["id"].isNull(), acc["hits"]).otherwise(F.concat(acc["hits"], F.array(F.struct(
+            acc["at"].alias("at"), s["id"].alias("id"))))).cast(HITS).alias("hits")), lambda acc: acc["hits"])
 
 
 def licenses(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_sentences`` (known ones), ``sentence_ids``, ``rules``, ``licenses`` (joined by
     commas: in the order of the text, of the rules, of the alphabet), one row per row."""
-    nothing = F.array().cast("array<string>")
+    nothing = F.array().cast(HITS)
     cue = F.lower("text").rlike(CUES)
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.when(cue, recognised(F.col("text"))).otherwise(nothing).alias("by_line"),
         F.when(cue, recognised(F.regexp_replace(F.regexp_replace("text", PARAGRAPH_END, ". \n"), "[\r\n]+", " ")))
         .otherwise(nothing).alias("by_sentence"))
-    rows = rows.select("doc_id", F.when(F.size("by_sentence") > F.size("by_line"), F.col("by_sentence"))
-                       .otherwise(F.coalesce("by_line", nothing)).alias("ids"))
+    both = F.array_union(F.coalesce("by_line", nothing), F.coalesce("by_sentence", nothing))
+    rows = rows.select("doc_id", F.array_sort(both)["id"].alias("ids"))
     line = F.concat(F.lit(","), F.array_join("ids", ","), F.lit(","))
     hits = F.filter(F.array(*[F.when(line.rlike(rule_pattern(seq)), F.struct(
         F.lit(rule).alias("rule"), F.lit(licence).alias("licence"))) for rule, licence, seq in RULES]),

@@ -191,6 +191,19 @@ def test_wrapped_sentences_have_a_cue(llm):
     assert rows(licenses.licenses(frame), "doc_id", "licenses") == [(0, "proprietary"), (1, "Unlicense")]
 
 
+def test_line_and_wrapped_notices_in_one_text(llm):
+    mpl = "This Source Code Form is subject to the terms of the Mozilla\nPublic License, v. 2.0."
+    grant = re.sub(r"(.{40}\S*) ", r"\1\n", licenses.SENTENCES["mit-grant"] + " " + licenses.SENTENCES["mit-keep"])
+    lines = "Title\nLicensed under CC BY 4.0.\nAll rights reserved."
+    texts = [f"Intro\nLicensed under CC BY 4.0.\n\n{mpl}", f"{mpl}\n\nIntro\nLicensed under CC BY 4.0.", f"{lines}\n\n{mpl}\n\n{grant}",
+             "Licensed under CC BY 4.0. " * 2]
+    frame = llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert rows(licenses.licenses(frame), "doc_id", "sentence_ids", "licenses") == [
+        (0, "cc-by-4.0,mpl-subject", "CC-BY-4.0,MPL-2.0"), (1, "mpl-subject,cc-by-4.0", "CC-BY-4.0,MPL-2.0"),
+        (2, "cc-by-4.0,rights,mpl-subject,mit-grant,mit-keep", "CC-BY-4.0,MIT,MPL-2.0,proprietary"),
+        (3, "cc-by-4.0,cc-by-4.0", "CC-BY-4.0")]
+
+
 # ---- language
 
 def test_language(documents, odd):
