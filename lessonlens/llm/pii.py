@@ -21,6 +21,7 @@ Defined cases
 from __future__ import annotations
 
 import functools
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -43,9 +44,9 @@ _CHAIN = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _DOTTED = re.compile(r"[0-9][0-9.]*+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _URL = re.compile(r"[^\s\"'<>|]++")
-_AFTER_CUE = re.compile(r"(?:[ ]?(?:no|number|nr|id)\b\.?)?[ ]?[:=#][ ]?[\"']?")
-_IDENTIFIER = re.compile(r"[A-Za-z0-9][A-Za-z0-9_-]{5,63}(?![A-Za-z0-9_-])")
-_IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_AFTER_CUE = re.compile(r"(?:[ ]?(?:no|number|nr|id)\b\.?)?[ ]?[:=#][ ]?[\"']?|[ ]?(?:no|nr)\b\.[ ]?[\"']?", re.I)
+_IDENTIFIER = re.compile(r"[A-Za-z0-9][A-Za-z0-9_-]{5,}+")
+_IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]){11,30}")
 
 
 @functools.cache
@@ -58,8 +59,8 @@ def anchors() -> ahocorasick.Automaton:
         a.add_word(digit, ("9", 1))
     for what, words in (("s", SCHEMES), ("c", CUES)):
         for w in words:
-            for form in {w, w.upper(), w.capitalize()}:
-                a.add_word(form, (what, len(form)))
+            for form in itertools.product(*({c, c.upper()} for c in w)):
+                a.add_word("".join(form), (what, len(form)))
     a.make_automaton()
     return a
 
@@ -77,6 +78,17 @@ def iban_ok(text: str) -> bool:
     return 15 <= len(flat) <= 34 and int("".join(str(int(c, 36)) for c in flat[4:] + flat[:4])) % 97 == 1
 
 
+def iban_end(text: str, begin: int) -> int:
+    """End of the longest IBAN that starts at ``begin`` and ends a word, 0 without one."""
+    m = _IBAN.match(text, begin)
+    end = m.end() if m else 0
+    while end > begin:
+        if (not text[end:end + 1].isalnum() or not text[end].isascii()) and iban_ok(text[begin:end]):
+            return end
+        end = text.rfind(" ", begin, end)
+    return 0
+
+
 def dotted_quads(run: str) -> Iterator[tuple[int, int]]:
     """Leftmost groups of four numbers joined by single dots in a run of digits and dots."""
     at, parts = 0, []
@@ -137,8 +149,8 @@ def spans(text: str | None) -> list[tuple[str, int, int]]:
                 begin = m.end()
             elif text[begin:begin + 1] == " ":
                 begin += 1
-            if (m2 := _IBAN.match(text, begin)) and iban_ok(m2[0]):
-                account_end = m2.end()
+            if (end := iban_end(text, begin)):
+                account_end = end
             elif m and (m2 := _IDENTIFIER.match(text, begin)) and sum(c.isdigit() for c in m2[0]) >= 4:
                 account_end = m2.end()
             else:

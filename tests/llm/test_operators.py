@@ -411,6 +411,21 @@ def test_personal_data(documents, odd):
     assert pii.spans(f"{zeros}7.1.2.3") == [("ip", 0, 5007)] and pii.spans(f"1.2.3.{zeros}256") == []
 
 
+def test_account_forms():
+    def found(text):
+        return [text[a:b] for k, a, b in pii.spans(text) if k == "account"]
+    iban = "DE89 3704 0044 0532 0130 00"
+    for tail in (" BIC COBADEFFXXX", " A", " EUR 500 AND THEN MORE WORDS IN CAPITALS", "", ".", " and so on"):
+        assert found(f"IBAN {iban}{tail}") == [iban] and found(f"iban: {iban}{tail}") == [iban]
+    assert found("IBAN DE89 3704 0044 0532 0130 01 BIC COBADEFFXXX") == []
+    for n in (64, 65, 93, 5000):
+        assert found(f"token = {'a1b2_' * n}"[:8 + n]) == [("a1b2_" * n)[:n]]
+    for cue in ("Account Number: ", "ACCOUNT NUMBER: ", "Account No. ", "account no. ", "Account No.: ", "Account ID = ",
+                "aPi_KeY=", "ApiKey: ", "Acct Nr. "):
+        assert found(f"{cue}12345678, then") == ["12345678"], cue
+    assert found("on that account no. of them") == [] and found("token: abcdefgh") == []
+
+
 # ---- BPE
 
 def test_bpe_is_the_library(llm, documents, odd):
