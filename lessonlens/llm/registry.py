@@ -1,4 +1,4 @@
-"""The queries of this subpackage, over the whole ``documents`` and ``conversations`` tables."""
+"""The queries of this subpackage, over the whole ``documents``, ``conversations`` and ``embeddings`` tables."""
 
 from __future__ import annotations
 
@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lessonlens.llm import chat, decontaminate, language, licenses, perplexity, pii, quality, simhash, suffixes
+from lessonlens.llm import (chat, clusters, decontaminate, language, licenses, perplexity, pii, quality, simhash,
+                            suffixes, topk, whitening)
 from lessonlens.llm.common import prepare
 
 
@@ -62,7 +63,23 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op12_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.query(table(spark, sf_dir, "embeddings"))
+
+
+def op13_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_near_dedup, op2_decontaminate, op3_license_scan, op4_language_id, op5_quality, op6_suffix_dedup, op7_chat_format, op8_perplexity_rules, op9_pii, op10_bpe)}
+    f.__name__: f for f in (
+        op1_simhash_near_dedup, op2_decontaminate, op3_license_scan, op4_language_id, op5_quality, op6_suffix_dedup,
+        op7_chat_format, op8_perplexity_rules, op9_pii, op10_bpe, op11_whitening, op12_exact_topk, op13_clusters)}
 
-ORACLE: dict[str, str] = {"op3_license_scan": licenses.oracle(), "op7_chat_format": chat.ORACLE}
+ORACLE: dict[str, str] = {
+    "op3_license_scan": licenses.oracle(), "op7_chat_format": chat.ORACLE, "op12_exact_topk": topk.ORACLE,
+    "op13_clusters": clusters.oracle()}
