@@ -2,8 +2,8 @@
 
 One Aho-Corasick pass over a text finds anchors: at-signs, plus signs, digits, URL schemes and
 words that announce an identifier.  A deterministic parser for each kind grows its anchor to
-the left and right as far as the kind's characters go and validates the result.  No parser
-looks at a character more than a fixed number of times, so very long texts stay linear.
+the left and right as far as the kind's characters go and validates the result.  A parser
+remembers how far it has looked, also where it refused what it saw, so very long texts stay linear.
 
 Kinds, in the order of ties: ``email``, ``ip``, ``card``, ``phone`` (the base kinds), then
 ``address`` (a URL) and ``account`` (an IBAN with a right checksum, or the identifier that
@@ -44,6 +44,7 @@ _CHAIN = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _DOTTED = re.compile(r"[0-9][0-9.]*+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _URL = re.compile(r"[^\s\"'<>|]++")
+_URL_TAIL = frozenset(".,;:!?)]}")               # not of a URL that ends with them
 _AFTER_CUE = re.compile(r"(?:[ ]?(?:no|number|nr|id)\b\.?)?[ ]?[:=#][ ]?[\"']?|[ ]?(?:no|nr)\b\.[ ]?[\"']?", re.I)
 _IDENTIFIER = re.compile(r"[A-Za-z0-9][A-Za-z0-9_-]{5,}+")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]){11,30}")
@@ -110,6 +111,7 @@ def spans(text: str | None) -> list[tuple[str, int, int]]:
         return []
     found: list[tuple[int, int, int]] = []       # start, rank of the kind, end
     email_end = phone_end = card_end = run_end = url_end = account_end = 0
+    url_run = url_body = url_refused = 0         # ends of the last run, of its body, of a host without a dot
     for last, (what, size) in anchors().iter(text):
         at = last - size + 1
         if what == "9":
@@ -138,11 +140,21 @@ def spans(text: str | None) -> list[tuple[str, int, int]]:
                 if 9 <= sum(c.isdigit() for c in m[0]) <= 15:
                     found.append((at, 3, phone_end))
         elif what == "s":
-            if at >= url_end and (m := _URL.match(text, last + 1)):
-                body = m[0].rstrip(".,;:!?)]}")
-                if "." in body.split("/")[0].strip("."):
-                    url_end = last + 1 + len(body)
-                    found.append((at, 4, url_end))
+            begin = last + 1
+            if at < url_end or begin < url_refused:
+                continue
+            if begin >= url_run:
+                m = _URL.match(text, begin)
+                url_run = url_body = m.end() if m else begin
+                while url_body > begin and text[url_body - 1] in _URL_TAIL:
+                    url_body -= 1
+            slash = text.find("/", begin, url_body)
+            host_end = slash if slash >= 0 else url_body
+            if "." in text[begin:host_end].strip("."):
+                url_end = url_body
+                found.append((at, 4, url_end))
+            else:                                # nor has any part of it a dot inside
+                url_refused = host_end
         elif at >= account_end and (at == 0 or not text[at - 1].isalnum()):
             begin = last + 1
             if (m := _AFTER_CUE.match(text, begin)):
