@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import functools
 import operator
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -299,7 +300,7 @@ def measure(docs: DataFrame) -> DataFrame:
     shared_symbol = sc.broadcast(symbol)
     levels, others = model(count_grams(docs, shared_symbol, top), n_units, top)
     shared_levels = sc.broadcast(levels)     # bounded by the alphabet of the expanded table
-    key = f"{sc.applicationId}-{id(shared_levels)}"
+    key = uuid.uuid4().hex                   # of these counts: another call has another table
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     out = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("lang", pa.string()), *((k, pa.int64()) for k in names),
                      ("n_grams", pa.int64()), ("nll", pa.float64()), ("odd", pa.list_(pa.int64())), ("odd_n", pa.list_(pa.int64()))])
