@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lessonlens.llm.common import batch_of, components, stored
@@ -57,17 +57,19 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """``doc_id``, ``fp`` (the fingerprint's 64 bits as a signed long), one row per row."""
-    out = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+def fingerprints(docs: DataFrame, shingle: int = 3, mark: Column | None = None) -> DataFrame:
+    """``doc_id``, ``fp`` (the fingerprint's 64 bits as a signed long) and, if given, the long ``mark``,
+    one row per row."""
+    out = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())] + [("mark", pa.int64())] * (mark is not None))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.array([fingerprint(t, shingle) for t in b.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], schema=out)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64)), *b.columns[2:]], schema=out)
 
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-            .mapInArrow(run, "doc_id long, fp long"))
+    marks = [] if mark is None else [mark.cast("long").alias("mark")]
+    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *marks)
+            .mapInArrow(run, "doc_id long, fp long" + ", mark long" * len(marks)))
 
 
 # ---------------------------------------------------------------- vantage-point tree
@@ -214,27 +216,38 @@ def close_links(fps: DataFrame, reach: int, shard_rows: int = SHARD_ROWS,
             .groupBy("shard").applyInArrow(compare, "a long, b long"))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """``doc_id``, ``fp``, ``component_id`` (smallest doc_id reachable over links of at most
-    ``max_bits`` differing bits), one row per row of ``docs``."""
-    prints = stored(fingerprints(docs, shingle))
+def classes(prints: DataFrame, max_bits: int = 2) -> DataFrame:
+    """The rows of ``prints`` (stored; ``doc_id``, ``fp``) with ``root``, which names the class that links of
+    at most ``max_bits`` differing bits make, and ``component_id``, the smallest doc_id in it."""
     distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("low")))
     star = components(close_links(distinct, max_bits))
     member = (distinct.join(star, distinct.fp == star.node, "left")
               .select("fp", "low", F.coalesce("root", "fp").alias("root")))
     lowest = member.groupBy("root").agg(F.min("low").alias("component_id"))
-    classes = member.join(lowest, "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(member.join(lowest, "root").select("fp", "root", "component_id"), "fp")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
+    """``doc_id``, ``fp``, ``component_id`` (smallest doc_id reachable over links of at most
+    ``max_bits`` differing bits), one row per row of ``docs``."""
+    return classes(stored(fingerprints(docs, shingle)), max_bits).select("doc_id", "fp", "component_id")
 
 
 def representatives(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """The rows of ``docs`` with one document kept of each class: the one with the smallest
-    doc_id (one row of it, if its id repeats).  Rows without doc_id all stay: they name no
+    """The rows of ``docs`` with one row kept of each class: the one with the class's smallest doc_id.  If
+    that id repeats within the class, the row with the least hash of its text stays; rows of one
+    doc_id in different classes are different documents.  Rows without doc_id all stay: they name no
     document that could be dropped for another."""
-    assigned = near_duplicates(docs, shingle, max_bits)
-    keep = (assigned.where("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct())
-    named = docs.join(keep, docs["doc_id"] == keep["__keep"], "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where(docs["doc_id"].isNull()))
+    mark = F.xxhash64("text")
+    assigned = classes(stored(fingerprints(docs, shingle, mark)), max_bits)
+    keep = (assigned.where("doc_id = component_id").groupBy("root")
+            .agg(F.min("doc_id").alias("__id"), F.min("mark").alias("__mark")).drop("root"))
+    named = docs.withColumn("__text", mark).join(
+        keep, (F.col("doc_id").cast("long") == keep["__id"]) & (F.col("__text") == keep["__mark"]), "left_semi")
+    # equal rows of one id share a mark: one of them stays
+    first = F.row_number().over(Window.partitionBy("doc_id", "__text").orderBy(F.lit(0)))
+    return (named.withColumn("__first", first).where("__first = 1").drop("__first", "__text")
+            .unionByName(docs.where(docs["doc_id"].isNull())))
 
 
 def query(docs: DataFrame) -> DataFrame:
