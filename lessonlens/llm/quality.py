@@ -182,13 +182,17 @@ def grow(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 4, rate: fl
     return Trees(base, depth, np.array(features), np.array(bounds), np.array(leaves))
 
 
-def fit(described: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Trees:
-    """Grows the trees from the labelled rows of ``described`` that are not held out."""
-    wanted = labels.where("quality is not null").where("doc_id is not null").where(~held_out(F.col("doc_id"))).select(
+def wanted(labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """``label_id``, ``quality``: the labels to learn from, none of a held-out document; of more than
+    ``sample_rows`` a share by the hash of the id."""
+    rows = labels.where("quality is not null").where("doc_id is not null").where(~held_out(F.col("doc_id"))).select(
         F.col("doc_id").cast("long").alias("label_id"), F.col("quality").cast("double").alias("quality"))
-    n = wanted.count()
-    share = int(min(1.0, sample_rows / max(1, n)) * 2 ** 32)
-    some = wanted.where(F.shiftrightunsigned(F.xxhash64("label_id"), 32) < share).limit(2 * sample_rows)
+    share = int(min(1.0, sample_rows / max(1, rows.count())) * 2 ** 32)
+    return rows.where(F.shiftrightunsigned(F.xxhash64("label_id"), 32) < share).limit(2 * sample_rows)
+
+
+def fit(described: DataFrame, some: DataFrame) -> Trees:
+    """Grows the trees from the rows of ``described`` that ``some`` (of ``wanted``) labels."""
     rows = (described.join(some, described["doc_id"] == some["label_id"])
             .select("doc_id", "x", "quality").toArrow().sort_by([("doc_id", "ascending"), ("quality", "ascending")]))
     x = np.array(rows.column("x").combine_chunks().flatten(), dtype=np.float32).reshape(-1, len(STATISTICS))
@@ -198,7 +202,7 @@ def fit(described: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS)
 def scores(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id``, ``held_out``, ``score``, ``predicted`` (1 if score >= threshold), per row."""
     described = stored(describe(docs))
-    trees = docs.sparkSession.sparkContext.broadcast(fit(described, labels, sample_rows))   # fixed size
+    trees = docs.sparkSession.sparkContext.broadcast(fit(described, wanted(labels, sample_rows)))   # fixed size
     out = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,7 +218,11 @@ def scores(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, t
 def keep(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that the classifier does not reject, scored where they are: the trees
     travel to the rows, so no text is shuffled."""
-    trees = docs.sparkSession.sparkContext.broadcast(fit(stored(describe(docs)), labels))
+    some = stored(wanted(labels))
+    ids = some.select("label_id").distinct()
+    # at most 2 * SAMPLE_ROWS ids: only labelled texts are described for the fit, each text once more for its score
+    labelled = docs.join(F.broadcast(ids), docs["doc_id"].cast("long") == ids["label_id"], "left_semi")
+    trees = docs.sparkSession.sparkContext.broadcast(fit(stored(describe(labelled)), some))
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
