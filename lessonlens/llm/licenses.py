@@ -5,16 +5,22 @@ one blank).  A map gives known sentences their identifiers; the identifiers of a
 their order, are matched against ordered rules.  All of it is one projection: no shuffle, no
 join, and a text without a cue word (every known sentence has one) is passed over cheaply.
 
-A text is cut in two ways, since notices are wrapped at any width: at line ends and sentence
-ends, and at sentence ends and blank lines.  The sentences recognised in either count, in the order
-of the text; one that both recognise at the same place counts once.  (The oracle's statement keeps only the
-cut that recognises more, so it has less where each cut recognises sentences of its own.)
+A text is cut in two ways, since notices are wrapped at any width: into sentences (at sentence ends
+and blank lines), and those into their lines.  A sentence that is known as a whole counts, and so does
+a known line within it, in the order of the text; where the sentence is one line it counts once.
+
+A rule's identifiers must follow one another; what stands between does not matter.  One fold over the
+identifiers counts, for all rules at once, how often each is met from its first identifier to
+its last.  A rule whose identifiers another one contains counts only as often as it is met
+beside that one: the text of a licence does not report the shorter licence inside it, two
+texts report both.  "All rights reserved" alone means proprietary; beside a licence it adds nothing.
 
 Defined cases
     null or empty text  no sentences, no rules, no licences
     repeated rows       one output row per input row
     null doc_id         passed through
-    repeated sentences  stay in the sequence; a rule matches once
+    repeated sentences  stay in the sequence; a rule is reported once
+    very long texts     time in proportion to the length, whatever repeats
     empty table         no rows
     further columns     not read
 """
@@ -54,6 +60,31 @@ SENTENCES: dict[str, str] = {
     "gpl-no-warranty": "without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
     "gpl-see": "See the GNU General Public License for more details.",
     "mpl-subject": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "apache-define": '"License" shall mean the terms and conditions for use, reproduction, and distribution as defined by Sections 1 through 9 of this document.',
+    "apache-grant": "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work and such Derivative Works in Source or Object form.",
+    "gnu-verbatim": "Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed.",
+    "gpl-title": "GNU GENERAL PUBLIC LICENSE",
+    "lgpl-title": "GNU LESSER GENERAL PUBLIC LICENSE",
+    "agpl-title": "GNU AFFERO GENERAL PUBLIC LICENSE",
+    "gnu-2": "Version 2, June 1991",
+    "gnu-2.1": "Version 2.1, February 1999",
+    "gnu-3": "Version 3, 29 June 2007",
+    "agpl-3": "Version 3, 19 November 2007",
+    "lgpl-share": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation;",
+    "lgpl-share-3": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "lgpl-later-2.1": "either version 2.1 of the License, or (at your option) any later version.",
+    "lgpl-see": "See the GNU Lesser General Public License for more details.",
+    "agpl-share-3": "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "agpl-see": "See the GNU Affero General Public License for more details.",
+    "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "isc-as-is": 'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.',
+    "zlib-as-is": "This software is provided 'as-is', without any express or implied warranty.",
+    "zlib-grant": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+    "zlib-altered": "Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.",
+    "cc0-dedicated": "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide.",
+    "epl-1": "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution, and is available at http://www.eclipse.org/legal/epl-v10.html",
+    "epl-2": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "boost-notice": "Distributed under the Boost Software License, Version 1.0.",
     "public-domain": "This is free and unencumbered software released into the public domain.",
     "rights": "All rights reserved.",
 }
@@ -61,6 +92,14 @@ SENTENCES |= {
     f"cc-{kind}-{version}": f"Licensed under CC {kind.upper()} {version}."
     for kind in ("by", "by-sa", "by-nc", "by-nd", "by-nc-sa", "by-nc-nd") for version in ("2.0", "3.0", "4.0")}
 
+# Names that follow "SPDX-License-Identifier:".
+SPDX = ("MIT", "MIT-0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "0BSD", "ISC", "Zlib", "BSL-1.0", "MPL-2.0",
+        "EPL-1.0", "EPL-2.0", "GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0", "GPL-3.0-only",
+        "GPL-3.0-or-later", "LGPL-2.1", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0", "LGPL-3.0-only",
+        "LGPL-3.0-or-later", "AGPL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0",
+        "Unlicense")
+SENTENCES |= {f"spdx-{name.lower()}": f"SPDX-License-Identifier {name}" for name in SPDX}
+
 # Ordered rules (rule, licence, identifiers in the order in which they must follow
 # one another; other known sentences may stand between).  ``mpl-subject`` ends in "v. 2.0", so it
 # is cut after "v.": the rule names the first half.
@@ -74,23 +113,44 @@ RULES: list[tuple[str, str, tuple[str, ...]]] = [
     ("mit-title-2", "MIT", ("mit-title-2",)),
     ("apache-2-header", "Apache-2.0", ("apache-header", "apache-comply", "apache-as-is", "apache-see")),
     ("apache-2-short", "Apache-2.0", ("apache-header", "apache-comply")),
+    ("apache-2-first", "Apache-2.0", ("apache-header",)),
     ("apache-2-notice", "Apache-2.0", ("apache-notice",)),
+    ("apache-2-text", "Apache-2.0", ("apache-define", "apache-grant")),
     ("bsd-3-text", "BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-names")),
     ("bsd-2-text", "BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary")),
     ("gpl-2-header", "GPL-2.0-or-later", ("gpl-share", "gpl-later-2", "gpl-no-warranty")),
     ("gpl-3-header", "GPL-3.0-or-later", ("gpl-share-3", "gpl-no-warranty", "gpl-see")),
+    ("gpl-2-text", "GPL-2.0", ("gpl-title", "gnu-2", "gnu-verbatim")),
+    ("gpl-3-text", "GPL-3.0", ("gpl-title", "gnu-3", "gnu-verbatim")),
+    ("lgpl-2.1-header", "LGPL-2.1-or-later", ("lgpl-share", "lgpl-later-2.1", "lgpl-see")),
+    ("lgpl-3-header", "LGPL-3.0-or-later", ("lgpl-share-3", "lgpl-see")),
+    ("lgpl-2.1-text", "LGPL-2.1", ("lgpl-title", "gnu-2.1", "gnu-verbatim")),
+    ("lgpl-3-text", "LGPL-3.0", ("lgpl-title", "gnu-3", "gnu-verbatim")),
+    ("agpl-3-header", "AGPL-3.0-or-later", ("agpl-share-3", "agpl-see")),
+    ("agpl-3-text", "AGPL-3.0", ("agpl-title", "agpl-3", "gnu-verbatim")),
+    ("isc-text", "ISC", ("isc-grant", "isc-as-is")),
+    ("isc-grant-only", "ISC", ("isc-grant",)),
+    ("zlib-text", "Zlib", ("zlib-as-is", "zlib-grant", "zlib-altered")),
+    ("cc0-dedication", "CC0-1.0", ("cc0-dedicated",)),
+    ("epl-1-notice", "EPL-1.0", ("epl-1",)),
+    ("epl-2-notice", "EPL-2.0", ("epl-2",)),
+    ("boost-notice", "BSL-1.0", ("boost-notice",)),
     ("gpl-2-notice", "GPL-2.0", ("gpl-notice-2",)),
     ("gpl-3-notice", "GPL-3.0", ("gpl-notice-3",)),
     ("mpl-2-notice", "MPL-2.0", ("mpl-subject",)),
     ("unlicense-notice", "Unlicense", ("public-domain",)),
     ("all-rights-reserved", "proprietary", ("rights",)),
-] + [(k, "CC-" + k[3:].upper(), (k,)) for k in SENTENCES if k.startswith("cc-")]
+] + [(k, "CC-" + k[3:].upper(), (k,)) for k in SENTENCES if k.startswith("cc-")] + [
+    (f"spdx-{name.lower()}", name, (f"spdx-{name.lower()}",)) for name in SPDX]
+ALONE = "proprietary"       # counts only where no other licence is found
 
 # Every known sentence has one of these, each within a word, so however it is wrapped.
 CUES = "licen|permission|warrant|redistribut|copyright|unencumbered|reserved|version"
 
 PARAGRAPH_END = r"\n[ \t\r]*\n"
 SENTENCE_END = r"([.;:!?])[ \t\r\n]+"
+SPDX_LINE = r"(?i)(spdx-license-identifier):[ \t]*"       # its colon does not end a sentence
+CUT = "\u0001"
 
 
 def normalised(sentence: str) -> str:
@@ -102,45 +162,70 @@ def identifiers() -> dict[str, str]:
     return {normalised(re.split(SENTENCE_END, text + "\n")[0]): k for k, text in SENTENCES.items()}
 
 
-def rule_pattern(sequence: tuple[str, ...]) -> str:
-    """Pattern over the joined identifiers ``,a,b,c,``."""
-    return "," + ",(?:[^ ]*,)?".join(k.replace(".", "[.]") for k in sequence) + ","
-
-
-HITS = "array<struct<at:bigint,id:string>>"
+def containing() -> list[list[int]]:
+    """For each rule, the rules whose identifiers contain all of its own in their order."""
+    def within(a: tuple[str, ...], b: tuple[str, ...]) -> bool:
+        rest = iter(b)
+        return len(a) < len(b) and all(x in rest for x in a)
+    return [[k for k, (_, _, b) in enumerate(RULES) if within(a, b)] for _, _, a in RULES]
 
 
 def recognised(text: Column) -> Column:
-    """Known sentences in ``text``: identifier, and letters and digits before it (which no cut changes)."""
+    """Identifiers of the known sentences and lines of ``text``, in their order."""
     known = F.create_map(*[F.lit(x) for pair in identifiers().items() for x in pair])
-    sentences = F.split(F.regexp_replace(text, SENTENCE_END, "$1\n"), "\n")
-    plain = F.transform(sentences, lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
-    named = F.transform(plain, lambda s: F.struct(
-        F.length(F.replace(s, F.lit(" "), F.lit(""))).cast("long").alias("n"), F.element_at(known, s).alias("id")))
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(HITS).alias("hits"))
-    return F.aggregate(named, start, lambda acc, s: F.struct(
-        (acc["at"] + s["n"]).alias("at"),
-        F.when(s["id"].isNull(), acc["hits"]).otherwise(F.concat(acc["hits"], F.array(F.struct(
-            acc["at"].alias("at"), s["id"].alias("id"))))).cast(HITS).alias("hits")), lambda acc: acc["hits"])
+    marked = F.regexp_replace(F.translate(text, CUT, " "), SPDX_LINE, "$1 ")
+    marked = F.regexp_replace(F.regexp_replace(marked, PARAGRAPH_END, CUT), SENTENCE_END, "$1" + CUT)
+    # what has no cue word is not known, nor is a line of it
+    sentences = F.filter(F.split(marked, CUT), lambda s: F.lower(s).rlike(CUES))
+    lines = F.transform(sentences, lambda s: F.filter(
+        F.transform(F.split(s, "\n"), lambda x: F.trim(F.regexp_replace(F.lower(x), "[^a-z0-9]+", " "))), lambda x: x != ""))
+
+    def hits(of: Column) -> Column:
+        each = F.transform(of, lambda x, j: F.struct(j.alias("at"), F.element_at(known, x).alias("id")))
+        whole = F.struct(F.lit(0).alias("at"), F.when(F.size(of) > 1, F.element_at(known, F.array_join(of, " "))).alias("id"))
+        return F.array_sort(F.filter(F.concat(F.array(whole), each), lambda h: h["id"].isNotNull()))["id"]
+
+    return F.flatten(F.transform(lines, hits))
+
+
+def counted(ids: Column) -> Column:
+    """How often each rule is met in ``ids``, one after the other (array in the order of the rules)."""
+    steps = F.array(*[F.array(*map(F.lit, seq)) for _, _, seq in RULES])
+    start = F.array(*[F.struct(F.lit(0).alias("met"), F.lit(0).alias("n"))] * len(RULES))
+
+    def moved(state: Column, found: Column) -> Column:
+        def step(s: Column, rule: Column) -> Column:
+            seq = F.get(steps, rule)
+            last = s["met"] + 1 == F.size(seq)
+            return F.when(F.get(seq, s["met"]) == found, F.struct(
+                F.when(last, 0).otherwise(s["met"] + 1).alias("met"), F.when(last, s["n"] + 1).otherwise(s["n"]).alias("n"))
+            ).otherwise(s)
+        return F.transform(state, step)
+
+    return F.aggregate(ids, start, moved, lambda state: state["n"])
 
 
 def licenses(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_sentences`` (known ones), ``sentence_ids``, ``rules``, ``licenses`` (joined by
     commas: in the order of the text, of the rules, of the alphabet), one row per row."""
-    nothing = F.array().cast(HITS)
+    none = F.array().cast("array<string>")
     cue = F.lower("text").rlike(CUES)
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.when(cue, recognised(F.col("text"))).otherwise(nothing).alias("by_line"),
-        F.when(cue, recognised(F.regexp_replace(F.regexp_replace("text", PARAGRAPH_END, ". \n"), "[\r\n]+", " ")))
-        .otherwise(nothing).alias("by_sentence"))
-    both = F.array_union(F.coalesce("by_line", nothing), F.coalesce("by_sentence", nothing))
-    rows = rows.select("doc_id", F.array_sort(both)["id"].alias("ids"))
-    line = F.concat(F.lit(","), F.array_join("ids", ","), F.lit(","))
-    hits = F.filter(F.array(*[F.when(line.rlike(rule_pattern(seq)), F.struct(
-        F.lit(rule).alias("rule"), F.lit(licence).alias("licence"))) for rule, licence, seq in RULES]),
-        lambda r: r.isNotNull())
-    return rows.select("doc_id", "ids", F.when(F.size("ids") > 0, hits).alias("hits")).select(
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                       F.coalesce(F.when(cue, recognised(F.col("text"))), none).alias("ids"))
+    rows = rows.withColumn("n", F.when(F.size("ids") > 0, counted(F.col("ids"))))
+    # met beside the rules that contain it: the longest first, each less what those around it have
+    around, alone = containing(), {}
+    for k in sorted(range(len(RULES)), key=lambda k: -len(RULES[k][2])):
+        n = F.col("n")[k]
+        for outer in around[k]:
+            n = n - alone[outer]
+        alone[k] = F.greatest(n, F.lit(0)) if around[k] else n
+    hits = F.filter(F.array(*[F.when(alone[k] > 0, F.struct(F.lit(rule).alias("rule"), F.lit(licence).alias("licence")))
+                              for k, (rule, licence, _) in enumerate(RULES)]), lambda r: r.isNotNull())
+    rows = rows.select("doc_id", "ids", F.when(F.col("n").isNotNull(), hits).alias("hits"))
+    named = F.filter("hits", lambda r: r["licence"] != ALONE)
+    rows = rows.withColumn("hits", F.when(F.size(named) > 0, named).otherwise(F.col("hits")))
+    return rows.select(
         "doc_id", F.size("ids").cast("long").alias("n_sentences"),
         F.array_join("ids", ",").alias("sentence_ids"),
         F.coalesce(F.array_join(F.col("hits.rule"), ","), F.lit("")).alias("rules"),
@@ -148,27 +233,40 @@ def licenses(docs: DataFrame) -> DataFrame:
 
 
 def oracle() -> str:
-    """The same rows in DuckDB SQL."""
+    """The same rows in DuckDB SQL; a rule is met as often as its pattern is found in the joined identifiers."""
     def quoted(s: str) -> str:
         return "'" + s.replace("'", "''") + "'"
 
     known = ", ".join(f"{quoted(a)}: {quoted(b)}" for a, b in identifiers().items())
-
-    def ids(text: str) -> str:
-        return (f"list_filter(list_transform(string_split(regexp_replace({text}, '{SENTENCE_END}', '\\1\n', 'g'), '\n'),"
-                f" lambda s: element_at(k.m, trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g')))[1]), lambda x: x IS NOT NULL)")
-
-    hits = ", ".join(f"CASE WHEN regexp_matches(line, {quoted(rule_pattern(seq))}) THEN [{quoted(rule)}, {quoted(lic)}] END"
-                     for rule, lic, seq in RULES)
+    met = ", ".join("len(regexp_extract_all(line, {}))".format(quoted(".*?".join("<" + re.escape(x) + ">" for x in seq)))
+                    for _, _, seq in RULES)
+    around, alone = containing(), {}
+    for k in sorted(range(len(RULES)), key=lambda k: -len(RULES[k][2])):
+        less = "".join(f" - {alone[outer]}" for outer in around[k])
+        alone[k] = f"greatest(met[{k + 1}]{less}, 0)"
+    hits = ", ".join(f"CASE WHEN {alone[k]} > 0 THEN [{quoted(rule)}, {quoted(lic)}] END" for k, (rule, lic, _) in enumerate(RULES))
+    marked = f"regexp_replace(translate(coalesce(text, ''), chr(1), ' '), '{SPDX_LINE}', '\\1 ', 'g')"
+    marked = f"regexp_replace(regexp_replace({marked}, '{PARAGRAPH_END}', chr(1), 'g'), '{SENTENCE_END}', '\\1' || chr(1), 'g')"
     return f"""
 WITH k AS (SELECT MAP {{{known}}} AS m),
 cut AS (
-  SELECT doc_id, {ids("coalesce(text, '')")} AS a, {ids(f"regexp_replace(regexp_replace(coalesce(text, ''), '{PARAGRAPH_END}', '. \n', 'g'), '[\r\n]+', ' ', 'g')")} AS b
-  FROM documents, k),
-seq AS (SELECT doc_id, CASE WHEN len(b) > len(a) THEN b ELSE a END AS ids FROM cut),
-lines AS (SELECT doc_id, ids, ',' || array_to_string(ids, ',') || ',' AS line FROM seq),
-hit AS (SELECT doc_id, ids, list_filter([{hits}], lambda x: x IS NOT NULL) AS h FROM lines)
+  SELECT row_number() OVER () AS r, doc_id, list_transform(string_split({marked}, chr(1)), lambda s: list_filter(list_transform(
+    string_split(s, chr(10)), lambda x: trim(regexp_replace(lower(x), '[^a-z0-9]+', ' ', 'g'))), lambda x: x <> '')) AS sentences
+  FROM documents),
+lines AS (SELECT r, doc_id, unnest(range(1, len(sentences) + 1)) AS s, unnest(sentences) AS parts FROM cut),
+named AS (
+  SELECT r, s, 0 AS j, array_to_string(parts, ' ') AS x FROM lines WHERE len(parts) > 1
+  UNION ALL
+  SELECT r, s, unnest(range(0, len(parts))) AS j, unnest(parts) AS x FROM lines),
+found AS (SELECT r, s, j, element_at(m, x)[1] AS id FROM named, k WHERE map_contains(m, x)),
+seq AS (SELECT r, doc_id, coalesce(ids, []) AS ids FROM cut LEFT JOIN (
+  SELECT r, list(id ORDER BY s, j, id) AS ids FROM found GROUP BY r) USING (r)),
+line AS (SELECT doc_id, ids, '<' || array_to_string(ids, '><') || '>' AS line FROM seq),
+met AS (SELECT doc_id, ids, [{met}] AS met FROM line),
+hit AS (SELECT doc_id, ids, list_filter([{hits}], lambda x: x IS NOT NULL) AS h FROM met),
+named_hit AS (SELECT *, list_filter(h, lambda x: x[2] <> '{ALONE}') AS others FROM hit),
+ranked AS (SELECT doc_id, ids, CASE WHEN len(others) > 0 THEN others ELSE h END AS h FROM named_hit)
 SELECT doc_id, len(ids)::BIGINT AS n_sentences, array_to_string(ids, ',') AS sentence_ids,
   array_to_string(list_transform(h, lambda x: x[1]), ',') AS rules,
   array_to_string(list_sort(list_distinct(list_transform(h, lambda x: x[2]))), ',') AS licenses
-FROM hit"""
+FROM ranked"""
