@@ -5,9 +5,9 @@ words (-1 for a word of no item).  How often each word of the items occurs in th
 counted.  An alignment that is similar enough matches a least number of an item's words, so it
 matches ``need`` of the rarest ones even if it matches all the others; those are the item's seeds.
 ``m`` matches within ``L`` words score at most ``2 m - (L - m)``: a document meets an item where its
-seeds lie close enough for the score that is asked for.  The bound follows from the scores alone, so
-no alignment that is similar enough is left out, however its copy was edited; counts only choose
-which words are seeds.  Local alignment (which forgives replaced, inserted and dropped words) then
+seeds, and then all its words that the item has, lie close enough for the score that is asked for.
+The bounds follow from the scores alone, so no alignment that is similar enough is left out, however
+its copy was edited; counts only choose which words are seeds.  Local alignment (which forgives replaced, inserted and dropped words) then
 scores the pair; its score over that of the whole item is the similarity.
 
 Items are taken in blocks of about ``BLOCK_ITEMS`` items and ``BLOCK_CHARS`` characters at most
@@ -35,6 +35,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,6 +51,8 @@ BLOCK_CHARS = 4_000_000  # of the items of a block, about
 MEMO_TOKENS = 500_000    # a worker remembers
 PAIRS = 128              # pairs aligned at a time, fewer if they are long
 CELLS = 1 << 21          # of a row of the pairs aligned at a time, about
+HITS = 1 << 18           # seeds met looked at together, about (those of one text at least)
+PAIR_COUNTS = 1 << 20    # pairs of text and item whose seeds are counted together (those of one text at least)
 
 _WORD = re.compile(r"[^\W_]+")
 
@@ -58,37 +61,63 @@ def words_of(text: str | None) -> list[str]:
     return _WORD.findall(text.lower()) if text else []
 
 
-class Numbers(dict):
-    """Word number of whatever stands between white space: -1 without a known word, ``-2 - k`` for
-    the k-th of those with more or less than one word."""
+def runs(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """``first[0]``, ``first[0] + 1`` ... (``n[0]`` of them), then those from ``first[1]``, and so on."""
+    return np.arange(int(n.sum())) + np.repeat(first - np.cumsum(n) + n, n)
+
+
+class Numbers:
+    """Word numbers of texts, a batch of them at a time.  What stands between white space is looked up at
+    once if it is of ASCII letters and digits, cut at other characters first if it is of ASCII, and
+    else read by ``words_of``, each different one once."""
 
     def __init__(self, known: dict[str, int]):
-        super().__init__()
-        self.known, self.many = known, []
-
-    def __missing__(self, token: str) -> int:
-        found = [self.known.get(w, -1) for w in words_of(token)]
-        n = found[0] if len(found) == 1 else -2 - len(self.many)
-        if len(found) != 1:
-            self.many.append(np.array(found, dtype=np.int64))
-        self[token] = n
-        return n
-
-    def of(self, text: str | None) -> np.ndarray:
-        """Numbers of all words of a text."""
-        if len(self) > MEMO_TOKENS:
-            self.clear()
-            self.many = []
-        tokens = text.split() if text else []
-        numbers = np.fromiter(map(self.__getitem__, tokens), dtype=np.int64, count=len(tokens))
-        odd = np.flatnonzero(numbers < -1)
-        if not len(odd):
-            return numbers
-        parts, at = [], 0
-        for k in odd.tolist():
-            parts += [numbers[at:k], self.many[-2 - numbers[k]]]
-            at = k + 1
-        return np.concatenate([*parts, numbers[at:]])
+        self.known = known
+        self.words = pa.array(list(known), pa.large_string())
+        self.number = np.append(np.fromiter(known.values(), np.int32, len(known)), np.int32(-1))
+        self.memo: dict[str, tuple[int, ...]] = {}
+
+    def found(self, token: str) -> tuple[int, ...]:
+        got = self.memo.get(token)
+        if got is None:
+            if len(self.memo) > MEMO_TOKENS:
+                self.memo.clear()
+            got = self.memo[token] = tuple(self.known.get(w, -1) for w in words_of(token))
+        return got
+
+    def look_up(self, words: pa.Array) -> np.ndarray:
+        """Numbers of lower-case words, -1 for a word of no item."""
+        return self.number[pc.index_in(words, value_set=self.words).fill_null(len(self.known)).to_numpy()]
+
+    def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of all words of the texts, one text after another, and where each text starts (and
+        the last one ends)."""
+        split = pc.utf8_split_whitespace(texts.cast(pa.large_string()))
+        tokens = split.flatten()
+        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(split).fill_null(0).to_numpy())]).astype(np.int64)
+        plain = pc.ascii_is_alnum(tokens)
+        mixed = pc.and_not(pc.string_is_ascii(tokens), plain)
+        other = pc.invert(pc.string_is_ascii(tokens))
+        plain_at, mixed_at, other_at = (np.flatnonzero(m.to_numpy(zero_copy_only=False)) for m in (plain, mixed, other))
+        n = np.ones(len(tokens), dtype=np.int64)
+        cut = pc.ascii_split_whitespace(pc.replace_substring_regex(
+            pc.ascii_lower(tokens.filter(mixed)), pattern="[^0-9a-z]+", replacement=" "))
+        parts = cut.flatten()
+        there = pc.not_equal(parts, "")
+        owner = pc.list_parent_indices(cut).to_numpy()[there.to_numpy(zero_copy_only=False)]
+        n[mixed_at] = np.bincount(owner, minlength=len(mixed_at))
+        rest = tokens.filter(other).dictionary_encode()
+        each = [self.found(t) for t in rest.dictionary.to_pylist()]
+        length = np.fromiter(map(len, each), dtype=np.int64, count=len(each))
+        code = rest.indices.to_numpy()
+        n[other_at] = length[code]
+        start = np.concatenate([[0], np.cumsum(n)])
+        numbers = np.empty(start[-1], dtype=np.int32)
+        numbers[start[plain_at]] = self.look_up(pc.ascii_lower(tokens.filter(plain)))
+        numbers[runs(start[mixed_at], n[mixed_at])] = self.look_up(parts.filter(there))
+        values = np.fromiter((k for x in each for k in x), dtype=np.int32, count=int(length.sum()))
+        numbers[runs(start[other_at], n[other_at])] = values[runs((np.cumsum(length) - length)[code], length[code])]
+        return numbers, start[ends]
 
 
 @dataclass
@@ -108,11 +137,11 @@ class Block:
                 items.append((item_id, np.array(found, dtype=np.int64)))
         return Block(items, numbers)
 
-    def read(self, text: str | None) -> np.ndarray:
-        """Word numbers of a text."""
+    def read(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Word numbers of the texts and where each text starts."""
         if self.memo is None:
             self.memo = Numbers(self.numbers)
-        return self.memo.of(text)
+        return self.memo.of(texts)
 
 
 def least_score(words: int) -> int:
@@ -130,6 +159,8 @@ class Seeds:
     need: np.ndarray
     reach: np.ndarray
     bound: np.ndarray
+    words: np.ndarray        # item and word as one number, sorted: all words of the items
+    least: np.ndarray        # least score of each item
 
     @staticmethod
     def of(block: Block, counts: np.ndarray) -> Seeds:
@@ -144,33 +175,82 @@ class Seeds:
         first = np.concatenate([[0], np.cumsum(np.bincount(word, minlength=len(block.numbers)))])
         # Edits cost 1 at least, so m matches in L words score 3 m - L at most, m <= n; of the
         # matches, all but the least - need most frequent words of the item are seeds.
-        return Seeds(first, owner[np.argsort(word, kind="stable")], need, 3 * n - score, score - 3 * (least - need))
+        every = np.unique(np.repeat(np.arange(len(n)), n) * len(block.numbers) + np.concatenate([x for _, x in block.items]))
+        return Seeds(first, owner[np.argsort(word, kind="stable")], need, 3 * n - score, score - 3 * (least - need), every, score)
 
-    def candidates(self, numbers: np.ndarray) -> list[tuple[int, int, int]]:
-        """Item, start and end of the parts of a word sequence to be aligned; parts that overlap are one."""
+    def candidates(self, numbers: np.ndarray, start: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """Text, item, start and end (in ``numbers``) of the parts to be aligned; parts that overlap are one.
+        Texts are taken together as far as their seeds and their pairs with items are few enough."""
         at = np.flatnonzero(numbers >= 0)
+        text = np.searchsorted(start, at, side="right") - 1
+        hits = np.concatenate([[0], np.cumsum(self.first[numbers[at] + 1] - self.first[numbers[at]])])
+        ends = np.searchsorted(at, start)                # of the texts, in ``at``
+        k, texts, most = 0, len(start) - 1, max(1, PAIR_COUNTS // max(1, len(self.need)))
+        while k < texts:
+            last = int(np.searchsorted(hits[ends], hits[ends[k]] + HITS, side="right")) - 1
+            last = min(max(last, k + 1), k + most, texts)
+            some = slice(ends[k], ends[last])
+            if ends[last] > ends[k]:
+                yield from self.together(numbers, start, at[some], text[some], k, last)
+            k = last
+
+    def together(self, numbers: np.ndarray, start: np.ndarray, at: np.ndarray, text: np.ndarray, low: int, high: int):
         first = self.first[numbers[at]]
         n = self.first[numbers[at] + 1] - first
         total = int(n.sum())
+        item = self.item[runs(first, n)]
+        text, at = np.repeat(text, n), np.repeat(at, n)
+        # an item that meets fewer seeds in all of a text than one alignment holds is not there
+        pair = (text - low) * len(self.need) + item
+        enough = np.bincount(pair, minlength=(high - low) * len(self.need)).reshape(high - low, -1) >= self.need
+        held = enough.ravel()[pair]
+        item, text, at = item[held], text[held], at[held]
+        total = len(item)
         if not total:
-            return []
-        item = self.item[np.arange(total) + np.repeat(first - np.cumsum(n) + n, n)]
-        order = np.argsort(item, kind="stable")
-        item, at = item[order].astype(np.int64), np.repeat(at, n)[order]
-        # 3 c - l of the best stretch that ends at each seed: a running minimum, anew for each item.
-        group = np.concatenate([[0], np.cumsum(item[1:] != item[:-1])])
+            return
+        order = np.argsort(item, kind="stable")          # by item, then by place in the texts
+        item, text, at = item[order].astype(np.int64), text[order], at[order]
+        # 3 c - l of the best stretch that ends at each seed: a running minimum, anew for each item and text.
+        group = np.concatenate([[0], np.cumsum((item[1:] != item[:-1]) | (text[1:] != text[:-1]))])
         level = 3 * np.arange(total) - at - group * (3 * total + len(numbers) + 1)
         best = level - np.minimum.accumulate(level) + 2
         back = np.arange(total) - self.need[item] + 1
         held = np.maximum(back, 0)
-        last = np.flatnonzero((best >= self.bound[item]) & (back >= 0) & (item[held] == item)
+        last = np.flatnonzero((best >= self.bound[item]) & (back >= 0) & (group[held] == group)
                               & (at - at[held] < self.reach[item]))
         if not len(last):
-            return []
-        item, at = item[last], at[last]
-        start, end = np.maximum(at - self.reach[item] + 1, 0), np.minimum(at + self.reach[item], len(numbers))
-        new = np.flatnonzero(np.concatenate([[True], (item[1:] != item[:-1]) | (start[1:] >= end[:-1])]))
-        return list(zip(item[new].tolist(), start[new].tolist(), end[np.append(new[1:], len(item)) - 1].tolist()))
+            return
+        item, text, at, group = item[last], text[last], at[last], group[last]
+        begin = np.maximum(at - self.reach[item] + 1, start[text])
+        end = np.minimum(at + self.reach[item], start[text + 1])
+        new = np.flatnonzero(np.concatenate([[True], (group[1:] != group[:-1]) | (begin[1:] >= end[:-1])]))
+        yield from zip(text[new].tolist(), item[new].tolist(), begin[new].tolist(),
+                       end[np.append(new[1:], len(item)) - 1].tolist())
+
+
+    def reaching(self, numbers: np.ndarray, todo: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
+        """Of the parts to be aligned those whose words, all of the item's that they hold taken for matches
+        in the right order, reach the score that is asked for: 2 for each, -1 for any other word between."""
+        kept, k = [], 0
+        while k < len(todo):
+            some, words = [], 0
+            while k < len(todo) and (not some or words + todo[k][3] - todo[k][2] <= HITS):
+                some.append(todo[k])
+                words += todo[k][3] - todo[k][2]
+                k += 1
+            _, item, begin, end = np.array(some, dtype=np.int64).T
+            n = end - begin
+            word = numbers[runs(begin, n)]
+            key = np.repeat(item, n) * (len(self.first) - 1) + word
+            at = np.minimum(np.searchsorted(self.words, key), len(self.words) - 1)
+            total = np.cumsum(np.where((word >= 0) & (self.words[at] == key), MATCH, -1))
+            # the best stretch of each part: its running sum less the least before, anew for each part
+            first = np.cumsum(n) - n
+            before = np.concatenate([[0], total])[:-1]
+            shift = np.repeat(np.arange(len(n)) * (3 * words + 1), n)
+            best = total - (np.minimum.accumulate(before - shift) + shift)
+            kept += [t for t, ok in zip(some, np.maximum.reduceat(best, first) >= self.least[item]) if ok]
+        return kept
 
 
 def align(items: list[np.ndarray], parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -198,23 +278,23 @@ def align(items: list[np.ndarray], parts: list[np.ndarray]) -> tuple[np.ndarray,
     return best, end
 
 
-def matches(block: Block, texts: list[np.ndarray], seeds: Seeds) -> list[tuple[int, int, int, int, int]]:
+def matches(block: Block, numbers: np.ndarray, starts: np.ndarray, seeds: Seeds) -> list[tuple[int, int, int, int, int]]:
     """Text, item, score, start and end word of the alignments that are similar enough."""
-    todo = [(r, i, a, b) for r, x in enumerate(texts) for i, a, b in seeds.candidates(x)]
-    todo.sort(key=lambda t: t[2] - t[3])
+    todo = sorted(seeds.reaching(numbers, list(seeds.candidates(numbers, starts))), key=lambda t: t[2] - t[3])
     found, k = [], 0
     while k < len(todo):
         some = todo[k:k + max(1, min(PAIRS, CELLS // (todo[k][3] - todo[k][2])))]
         k += len(some)
         items = [block.items[i][1] for _, i, _, _ in some]
-        parts = [texts[r][a:b] for r, _, a, b in some]
+        parts = [numbers[a:b] for _, _, a, b in some]
         score, end = align(items, parts)
         good = [n for n, x in enumerate(items) if score[n] >= least_score(len(x))]
         if good:        # the same alignment from its end shows where it starts
             _, back = align([items[n][::-1] for n in good], [parts[n][:end[n]][::-1] for n in good])
             for n, m in zip(good, back.tolist()):
                 r, i, a, _ = some[n]
-                found.append((r, i, int(score[n]), a + int(end[n]) - m, a + int(end[n])))
+                at = a - int(starts[r]) + int(end[n])
+                found.append((r, i, int(score[n]), at - m, at))
     return found
 
 
@@ -237,10 +317,10 @@ def word_rows(docs: DataFrame, block: Broadcast) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            read = ((d, block.value.read(t)) for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
-            found = [(d, x.astype(np.int32)) for d, x in read if (x >= 0).any()]
-            if found:
-                yield batch_of(out, list(zip(*found)))
+            numbers, start = block.value.read(b.column(1))
+            words = pa.ListArray.from_arrays(pa.array(start, pa.int32()), pa.array(numbers))
+            known = np.concatenate([[0], np.cumsum(numbers >= 0)])[start]
+            yield pa.RecordBatch.from_arrays([b.column(0), words], schema=out).filter(pa.array(known[1:] > known[:-1]))
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
             .mapInArrow(run, "doc_id long, words array<int>"))
@@ -255,11 +335,9 @@ def seeds_of(rows: DataFrame, block: Block, shared: Broadcast) -> Broadcast:
         for b in batches:
             if pa.types.is_list(b.column(0).type):
                 x = b.column(0).flatten().to_numpy()
-                total += np.bincount(x[x >= 0], minlength=len(total))
             else:
-                for t in b.column(0).to_pylist():
-                    x = shared.value.read(t)
-                    np.add.at(total, x[x >= 0], 1)
+                x = shared.value.read(b.column(0))[0]
+            total += np.bincount(x[x >= 0], minlength=len(total))
         some = np.flatnonzero(total)
         yield batch_of(out, [some, total[some]])
 
@@ -280,9 +358,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 block, ids = shared.value, b.column(0).to_pylist()
-                texts = [x.values.to_numpy() for x in b.column(1)]
-                found = [(ids[r], block.items[i][0], score, len(block.items[i][1]), start, end)
-                         for r, i, score, start, end in matches(block, texts, seeds.value)]
+                start = b.column(1).offsets.to_numpy().astype(np.int64)
+                found = [(ids[r], block.items[i][0], score, len(block.items[i][1]), begin, end)
+                         for r, i, score, begin, end in matches(
+                             block, b.column(1).flatten().to_numpy(), start - start[0], seeds.value)]
                 if found:
                     yield batch_of(out, list(zip(*found)))
         return run
@@ -300,20 +379,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that share no similar passage with any item, judged where they are."""
+    """The rows of ``docs`` that share no similar passage with any item, judged where they are: each block
+    counts its words in all rows, then one pass over the rows judges them by all blocks."""
+    texts = docs.select("text")
     at = docs.columns.index("text")
 
     def keep(shared: Broadcast, seeds: Broadcast):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 block = shared.value
-                bad = {m[0] for m in matches(block, [block.read(t) for t in b.column(at).to_pylist()], seeds.value)}
+                bad = {m[0] for m in matches(block, *block.read(b.column(at)), seeds.value)}
                 yield b.filter(pa.array([k not in bad for k in range(len(b))]))
         return run
 
     for block in blocks(benchmark):
         if block.items:
             shared = docs.sparkSession.sparkContext.broadcast(block)
-            seeds = seeds_of(docs.select("text"), block, shared)
+            seeds = seeds_of(texts, block, shared)
             docs = docs.mapInArrow(keep(shared, seeds), docs.schema)
     return docs

@@ -128,6 +128,22 @@ def test_decontamination(llm, documents, odd, monkeypatch):
     assert whole <= found and len(found) <= len(whole) + 2
 
 
+def test_word_numbers_of_batches(documents, odd):
+    """All ways to read a token give the words of the whole text."""
+    import pyarrow as pa
+
+    rng = random.Random(3)
+    signs = ["a", "B", "7", "_", ".", ",", "-", " ", "\n", "\u00a0", "\u2003", "\x1c", "ß", "É", "İ", "ſ", "Ⅷ", "٣", "你", "🙂", "é"]
+    texts = [r.text for r in documents.limit(60).collect()] + [r.text for r in odd.collect()] + [
+        "".join(rng.choice(signs) for _ in range(rng.randrange(30))) for _ in range(800)]
+    some = [w for t in texts for w in decontaminate.words_of(t)]
+    known = {w: k for k, w in enumerate(sorted(set(some))[::2])}
+    numbers, start = decontaminate.Numbers(known).of(pa.array(texts))
+    for k, t in enumerate(texts):
+        assert numbers[start[k]:start[k + 1]].tolist() == [known.get(w, -1) for w in decontaminate.words_of(t)], repr(t)
+    assert decontaminate.Numbers({}).of(pa.array([None, ""], pa.string()))[1].tolist() == [0, 0, 0]
+
+
 def test_alignment():
     def plain(x, y):
         h = np.zeros((len(x) + 1, len(y) + 1), dtype=int)
