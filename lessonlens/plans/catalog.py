@@ -6,6 +6,7 @@ sizes, and separate keys with the arrays inlined (one row per element).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -28,6 +29,7 @@ from lessonlens.operators.scope import Params
 from lessonlens.plans.products import SNAPSHOT_COLUMNS, Pipeline
 from lessonlens.session import tune
 from lessonlens.sources.fixtures import sources_for
+from lessonlens.sources.versions import VersionedTable
 from lessonlens.streaming import incremental as INC
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -568,6 +570,37 @@ def q_refresh_centres(spark, sf):
     return _flat(INC.refresh_centres(p.src, prev, INC.changed_centres(p.src, PINNED_CUTOFF)))
 
 
+def _versioned_target(p: Pipeline) -> VersionedTable:
+    """The previous snapshot as a stored table of its own, laid out by ``user_id``."""
+    target = VersionedTable(p.src.spark, f"ll_snapshot_{uuid.uuid4().hex[:12]}", "user_id", 64)
+    target.publish(previous_snapshot(p))
+    return target
+
+
+@register("refresh_users_stored")
+def q_refresh_users_stored(spark, sf):
+    p = pipeline(spark, sf)
+    target, prev = _versioned_target(p), previous_snapshot(p)
+    INC.refresh_users_in(target, p.src, INC.refresh_keys(p.src, prev, INC.watermark_value(prev)))
+    return _flat(target.table())
+
+
+@register("refresh_centres_stored")
+def q_refresh_centres_stored(spark, sf):
+    p = pipeline(spark, sf)
+    target = _versioned_target(p)
+    INC.refresh_centres_in(target, p.src, INC.changed_centres(p.src, PINNED_CUTOFF))
+    return _flat(target.table())
+
+
+@register("cleanup_stored")
+def q_cleanup_stored(spark, sf):
+    p = pipeline(spark, sf)
+    target = _versioned_target(p)
+    INC.cleanup_inactive_in(target, p.src)
+    return _flat(target.table())
+
+
 @register("replace_keys_user")
 def q_replace_keys_user(spark, sf):
     p = pipeline(spark, sf)

@@ -124,11 +124,6 @@ def write_replace(df: DataFrame, name: str, partition_by: tuple = (),
     return True
 
 
-def rebuild(df: DataFrame, name: str, partition_by: tuple = ()) -> bool:
-    """A full rebuild is one set-based replacement (no first-replace-then-append loop)."""
-    return write_replace(df, name, partition_by)
-
-
 def to_json_columns(df: DataFrame, columns: tuple) -> DataFrame:
     """Render nested array columns as JSON text at a sink, keeping NULL members."""
     out = df

@@ -21,28 +21,34 @@ from lessonlens.plans.products import Pipeline
 from lessonlens.session import ensure_checkpoint_dir
 from lessonlens.sources.fixtures import Sources
 from lessonlens.sources.sinks import choose_mode, stage_and_swap
-from lessonlens.streaming.incremental import refresh_users
+from lessonlens.sources.versions import VersionedTable
+from lessonlens.streaming.incremental import refresh_users, refresh_users_in
 
 
-def refresh_batch(spark: SparkSession, sources: Callable[[], Sources], target_table: str,
+def refresh_batch(spark: SparkSession, sources: Callable[[], Sources], target: str | VersionedTable,
                   batch: DataFrame) -> int:
     """Refresh the snapshot rows of the users named in one batch; returns 1 if written.
 
-    Without a target table the whole snapshot is built: the batch's users alone
-    would leave a partial table behind."""
+    A :class:`VersionedTable` has the buckets of those users rewritten, a plain table all its rows.
+    Without a target the whole snapshot is built: the batch's users alone would leave a partial
+    table behind."""
     keys = batch.select("user_id").where(F.col("user_id").isNotNull()).distinct()
     if keys.isEmpty():
         return 0
-    if choose_mode(spark, target_table) == "full":
+    if isinstance(target, VersionedTable):
+        refresh_users_in(target, sources(), keys)
+        target.vacuum()
+        return 1
+    if choose_mode(spark, target) == "full":
         fresh = Pipeline(sources()).user_snapshot()
     else:
-        fresh = refresh_users(sources(), spark.table(target_table), keys)
-    stage_and_swap(fresh, target_table)      # staged in full before the live table goes
+        fresh = refresh_users(sources(), spark.table(target), keys)
+    stage_and_swap(fresh, target)      # staged in full before the live table goes
     return 1
 
 
 def start_activity_refresh(spark: SparkSession, activity_path: str, schema: StructType,
-                           sources: Callable[[], Sources], target_table: str,
+                           sources: Callable[[], Sources], target_table: str | VersionedTable,
                            name: str = "activity_refresh", available_now: bool = True
                            ) -> StreamingQuery:
     """Start the stream over new activity files (``user_id`` column required)."""

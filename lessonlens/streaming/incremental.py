@@ -2,8 +2,10 @@
 
 The reference refreshes users or centres one query at a time; here the key
 set is one DataFrame, the recomputation is one plan restricted by a semi
-join, and the keyed replacement is an anti join + union written as a new
-table version (parquet tables cannot DELETE/MERGE).  "Watermark" is a batch
+join, and the keyed replacement is an anti join + union (parquet tables cannot
+DELETE/MERGE).  As a frame (``refresh_users``) it spans the whole target; on a
+stored target (``refresh_users_in``) only the touched buckets of a
+:class:`VersionedTable` are read and written.  "Watermark" is a batch
 high-water mark on the target, not a streaming watermark: the reference has
 no event stream (see ``lessonlens.streaming.feed`` for the optional
 Structured Streaming driver of the same refresh).
@@ -20,7 +22,9 @@ from pyspark.sql import functions as F
 from lessonlens import config as C
 from lessonlens.functions.columns import is_active, is_inactive
 from lessonlens.plans.products import Pipeline
+from lessonlens.session import ensure_checkpoint_dir
 from lessonlens.sources.fixtures import Sources
+from lessonlens.sources.versions import VersionedTable
 
 _DATE = re.compile(r"^\d{4}-\d{2}-\d{2}$")
 _DATETIME = re.compile(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$")
@@ -34,7 +38,7 @@ def watermark(target: DataFrame | None, overlap_minutes: int = C.DEFAULT_OVERLAP
     ``target=None`` (no table yet) gives the epoch itself.
     """
     if overlap_minutes < 0:
-        raise ValueError("overlap must be 0 or greater")
+        raise ValueError(f"the overlap may not be negative: {overlap_minutes} minutes")
     epoch = F.to_timestamp_ntz(F.lit(C.EPOCH))
     if target is None:
         from pyspark.sql import SparkSession
@@ -69,7 +73,7 @@ def cutoff_literal(since: str | None = None, days: int | None = None,
         return since
     if days is not None:
         if days < 0:
-            raise ValueError("days must be 0 or greater")
+            raise ValueError(f"cannot look back {days} days")
         return ((now or dt.datetime.now()) - dt.timedelta(days=days)).strftime("%Y-%m-%d %H:%M:%S")
     raise ValueError("since or days is required")
 
@@ -183,6 +187,40 @@ def refresh_centres(src: Sources, target: DataFrame | None, centres: DataFrame,
     return replace_keys(target, fresh, centres, "centre_id", also_key="user_id")
 
 
+def _stored_keys(keys: DataFrame, key: str) -> DataFrame:
+    """The distinct keys, computed once: a replacement reads them several times."""
+    ensure_checkpoint_dir(keys.sparkSession)
+    return keys.select(key).where(F.col(key).isNotNull()).distinct().checkpoint(eager=True)
+
+
+def refresh_users_in(target: VersionedTable, src: Sources, keys: DataFrame, **kw) -> list[int]:
+    """``refresh_users`` on a stored target: rewrites the buckets of the keys and switches to the
+    new version; returns those buckets.  Without a target the whole snapshot is built."""
+    if not target.exists():
+        target.publish(Pipeline(src, **kw).user_snapshot())
+        return sorted(target.locations())
+    scope = _stored_keys(keys, "user_id")
+    return target.replace(scope, Pipeline(src, user_keys=scope, **kw).user_snapshot())
+
+
+def refresh_centres_in(target: VersionedTable, src: Sources, centres: DataFrame, **kw) -> list[int]:
+    """``refresh_centres`` on a stored target: rewrites the buckets of the centres' former and
+    present users."""
+    scope = _stored_keys(centres, "centre_id")
+    users = (src.users.select(F.col("id").alias("user_id"), "centre_id")
+             .join(scope, "centre_id", "left_semi").select("user_id"))
+    fresh = Pipeline(src, user_keys=_stored_keys(users, "user_id"), **kw).user_snapshot()
+    return target.replace(scope, fresh, by="centre_id", also="user_id")
+
+
+def cleanup_inactive_in(target: VersionedTable, src: Sources) -> list[int]:
+    """``cleanup_inactive`` on a stored target: rewrites the buckets that lose a row."""
+    rows = target.table().select("user_id", "centre_id")
+    gone = (rows.join(inactive_users(src), "user_id", "left_semi").select("user_id")
+            .unionByName(rows.join(inactive_centres(src), "centre_id", "left_semi").select("user_id")))
+    return target.replace(_stored_keys(gone, "user_id"), target.table().limit(0))
+
+
 # -- B15 / C14 / I9 / I10 ------------------------------------------------------------------
 def inactive_users(src: Sources) -> DataFrame:
     return src.users.where(is_inactive()).select(F.col("id").alias("user_id"))
