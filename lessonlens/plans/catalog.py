@@ -6,6 +6,7 @@ sizes, and separate keys with the arrays inlined (one row per element).
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lessonlens.functions import ids as IDS
+from lessonlens.functions import json_text as JT
 from lessonlens.functions.columns import (batch_status_label, first_slot, is_active, is_inactive,
                                           user_type_label, year_gate, yes_no_label)
 from lessonlens.operators import addon as AD
@@ -28,6 +30,9 @@ from lessonlens.operators import rollup as R
 from lessonlens.operators.scope import Params
 from lessonlens.plans.products import SNAPSHOT_COLUMNS, Pipeline
 from lessonlens.session import tune
+from lessonlens.sources import history as HIST
+from lessonlens.sources import registry as REG
+from lessonlens.sources import sinks as SINKS
 from lessonlens.sources.fixtures import sources_for
 from lessonlens.sources.versions import VersionedTable
 from lessonlens.streaming import incremental as INC
@@ -61,7 +66,7 @@ def pipeline(spark: SparkSession, sf_dir: str, **kw) -> Pipeline:
     src = sources_for(spark, sf_dir)
     if "user_keys" in kw:
         return Pipeline(src, **kw)
-    key = (spark.sparkContext.applicationId, sf_dir, tuple(sorted(kw.items(), key=lambda x: x[0])))
+    key = (src.run, tuple(sorted(kw.items(), key=lambda x: x[0])))
     p = _PIPELINES.get(key)
     if p is None:
         p = _PIPELINES[key] = Pipeline(src, **kw)
@@ -260,22 +265,18 @@ def q_one_user_row(spark, sf):
     return R.one_user_row(pipeline(spark, sf).users)
 
 
-_SNAPSHOTS: dict[tuple, DataFrame] = {}
+_SNAPSHOTS: dict[str, DataFrame] = {}
 
 
 def stored_snapshot(p: Pipeline) -> DataFrame:
-    """The snapshot as a stored table: built once per session beside the source tables and read
-    back, column-pruned, by the products that start from it."""
+    """The snapshot as a stored table: built once for its sources and read back, column-pruned, by the
+    products that start from it.  Other sources (a later state of the tables) have their own."""
     src = p.src
-    root = getattr(src, "materialized_at", None)
-    if root is None:
-        return p.user_snapshot()
-    key = (src.spark.sparkContext.applicationId, src.sf_dir)
-    if key not in _SNAPSHOTS:
-        path = f"{root}/user_snapshot"
+    if src.run not in _SNAPSHOTS:
+        path = src.derived_at("user_snapshot")
         p.user_snapshot().write.mode("overwrite").parquet(path)
-        _SNAPSHOTS[key] = src.spark.read.parquet(path)
-    return _SNAPSHOTS[key]
+        _SNAPSHOTS[src.run] = src.spark.read.parquet(path)
+    return _SNAPSHOTS[src.run]
 
 
 def _snapshot_flat(p: Pipeline) -> DataFrame:
@@ -454,7 +455,7 @@ PINNED_CUTOFF = "2001-07-15 00:00:00"
 SNAP_SCALARS = [c for c in SNAPSHOT_COLUMNS if not c.endswith("_combos")]
 
 
-_PREVIOUS: dict[tuple, DataFrame] = {}
+_PREVIOUS: dict[str, DataFrame] = {}
 
 
 def previous_snapshot(p: Pipeline) -> DataFrame:
@@ -464,15 +465,11 @@ def previous_snapshot(p: Pipeline) -> DataFrame:
     snapshot table already stored in the warehouse); later calls read it back.
     """
     src = p.src
-    key = (src.spark.sparkContext.applicationId, src.sf_dir)
-    root = getattr(src, "materialized_at", None)
-    if root is None:
-        return _derive_previous_snapshot(p)
-    if key not in _PREVIOUS:
-        path = f"{root}/previous_snapshot"
+    if src.run not in _PREVIOUS:
+        path = src.derived_at("previous_snapshot")
         _derive_previous_snapshot(Pipeline(src)).write.mode("overwrite").parquet(path)
-        _PREVIOUS[key] = src.spark.read.parquet(path)
-    return _PREVIOUS[key]
+        _PREVIOUS[src.run] = src.spark.read.parquet(path)
+    return _PREVIOUS[src.run]
 
 
 def _derive_previous_snapshot(p: Pipeline) -> DataFrame:
@@ -496,13 +493,14 @@ def _flat(df: DataFrame) -> DataFrame:
                      _size("subject_combos").alias("n_subject_combos"))
 
 
-def _raw_ids(src) -> DataFrame:
-    """A4 fixture: UUID text per customer, blank / NULL / malformed for key % 50 in 0, 1, 2."""
+def _raw_ids(src, number: str | None = None) -> DataFrame:
+    """A4 fixture: UUID text per customer, blank / NULL / malformed for key % 50 in 0, 1, 2; ``number`` names a
+    column for the customer's own id."""
     c = F.col("c_custkey")
     uuid = F.concat(F.lit("00000000-0000-4000-8000-"), F.lpad(c.cast("string"), 12, "0"))
     return src.base("customer", "c_custkey").select(
         F.when(c % 50 == 0, F.lit("  ")).when(c % 50 == 1, F.lit(None).cast("string"))
-         .when(c % 50 == 2, F.concat(F.lit("bad-"), c.cast("string"))).otherwise(uuid).alias("id"))
+         .when(c % 50 == 2, F.concat(F.lit("bad-"), c.cast("string"))).otherwise(uuid).alias("id"), *([c.cast("bigint").alias(number)] if number else []))
 
 
 @register("watermark")
@@ -537,6 +535,14 @@ def q_refresh_keys(spark, sf):
     return _refresh_keys(pipeline(spark, sf))
 
 
+@register("refresh_keys_valid")
+def q_refresh_keys_valid(spark, sf):
+    p = pipeline(spark, sf)
+    text = _raw_ids(p.src, "user_id").join(_refresh_keys(p), "user_id", "left_semi").select(F.col("id").alias("user_id"))
+    valid, rejected = INC.valid_keys(text)
+    return valid.withColumn("valid", F.lit(1)).unionByName(rejected.withColumn("valid", F.lit(0)))
+
+
 @register("changed_users_centre")
 def q_changed_users_centre(spark, sf):
     return _refresh_keys(pipeline(spark, sf), SCOPE_VALUES["centre_id"])
@@ -911,6 +917,85 @@ def q_audit_rows(spark, sf):
     return DQ.audit_rows(stored_snapshot(pipeline(spark, sf)), "fixture-run")
 
 
+@register("run_drift")
+def q_run_drift(spark, sf):
+    """Two runs of the snapshot product: the second has lost a column, widened another and cleaned up."""
+    p = pipeline(spark, sf)
+    first = previous_snapshot(p).select(*SNAP_SCALARS)
+    second = (INC.cleanup_inactive(p.src, first).drop("trade_id")
+              .withColumn("user_type", F.col("user_type").cast("bigint")))
+    history = f"ll_history_{uuid.uuid4().hex[:12]}"
+    for run_id, day, df in (("run-1", 1, first), ("run-2", 2, second)):
+        HIST.record_run(history, "user_snapshot", run_id, dt.datetime(2001, 7, day), df)
+    return HIST.drift(spark.table(history), "user_snapshot", "run-2")
+
+
+@register("schema_drift")
+def q_schema_drift(spark, sf):
+    """The learner log read under a declaration that it does not meet in three ways."""
+    from pyspark.sql.types import StructType
+
+    logs = pipeline(spark, sf).src.learning_activities
+    met = REG.SCHEMAS["learning_activities"].replace("score decimal(10,2)", "score double").replace("completed int, ", "")
+    return HIST.declared_drift(logs, StructType.fromDDL(met + ", device string"))
+
+
+@register("choose_mode")
+def q_choose_mode(spark, sf):
+    """The mode of a run before and after its target is written, with the rows the target then has."""
+    p = pipeline(spark, sf)
+    name = f"ll_mode_{uuid.uuid4().hex[:12]}"
+    modes = [SINKS.choose_mode(spark, name)]
+    SINKS.write_replace(previous_snapshot(p).select("user_id"), name)
+    modes.append(SINKS.choose_mode(spark, name))
+    return spark.table(name).agg(F.count(F.lit(1)).alias("rows"), F.lit(modes[0]).alias("before"), F.lit(modes[1]).alias("after"))
+
+
+@register("null_normalise")
+def q_null_normalise(spark, sf):
+    """Learner logs with a ratio that is NaN where nothing was scored."""
+    logs = pipeline(spark, sf).src.learning_activities
+    ratio = (F.col("rating").cast("double") / F.when(F.col("score") == 0, float("nan")).otherwise(F.col("score").cast("double")))
+    return (SINKS.null_normalise(logs.where(F.col("score").isNotNull()).select("completed", ratio.alias("ratio")))
+            .groupBy("completed").agg(F.count(F.lit(1)).alias("rows"), F.count("ratio").alias("with_ratio")))
+
+
+# -- H15 / H18 / H21 --------------------------------------------------------------------------
+def _combos_text(p: Pipeline) -> DataFrame:
+    """Snapshot users with their subjects as JSON text: cut short for ids % 13 = 0, NULL for % 17 = 0."""
+    text = F.to_json("subject_combos", {"ignoreNullFields": "false"})
+    u = F.col("user_id")
+    return stored_snapshot(p).select("user_id", F.when(u % 17 == 0, None).when(u % 13 == 0, F.regexp_replace(text, ".{2}$", ""))
+                                     .otherwise(text).alias("combos"))
+
+
+@register("json_valid")
+def q_json_valid(spark, sf):
+    return _combos_text(pipeline(spark, sf)).select("user_id", JT.json_valid("combos").alias("valid"))
+
+
+@register("json_table")
+def q_json_table(spark, sf):
+    p = pipeline(spark, sf)
+    element = stored_snapshot(p).schema["subject_combos"].dataType.elementType.simpleString()
+    return JT.inline_json(_combos_text(p), "combos", element, "user_id")[0]
+
+
+@register("collated_join")
+def q_collated_join(spark, sf):
+    """Customers by nation, joined by a name that differs in case, accents and trailing blanks."""
+    src = pipeline(spark, sf).src
+    k, name = F.col("c_custkey") % 4, F.col("n_name")
+    spelt = (F.when(k == 0, F.lower(name)).when(k == 1, F.translate(name, "AEI", "ÁÈÏ"))
+             .when(k == 2, F.concat(F.initcap(name), F.lit("  "))).otherwise(name))
+    nation = src.spark.read.parquet(f"{src.sf_dir.rstrip('/')}/nation.parquet").select("n_nationkey", "n_name")
+    people = src.base("customer", "c_custkey", "c_nationkey").join(
+        F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))      # 25 nations
+    said = people.select(F.collate(spelt, REG.LOOSE).alias("code"))
+    codes = nation.select(F.col("n_nationkey").cast("bigint").alias("nation_id"), F.collate("n_name", REG.LOOSE).alias("code"))
+    return said.join(F.broadcast(codes), "code").groupBy("nation_id").agg(F.count(F.lit(1)).alias("customers"))
+
+
 def _appended(p: Pipeline) -> DataFrame:
     """What an append-only refresh would leave: previous rows plus fresh rows of the keys."""
     prev = previous_snapshot(p)

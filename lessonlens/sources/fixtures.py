@@ -59,6 +59,11 @@ class Sources:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.run = uuid.uuid4().hex         # what is derived from these sources is theirs alone
+
+    def derived_at(self, name: str) -> str:
+        """Folder for a product of these sources, beside the session's checkpoints."""
+        return f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/lessonlens_sources/{self.run}/{name}"
 
     def base(self, name: str, *cols: str) -> DataFrame:
         return read_base(self.spark, self.sf_dir, name, *cols)
@@ -481,20 +486,31 @@ def materialize(src: Sources) -> Sources:
     so queries read plain parquet tables, as they would read the real source
     tables, and survive executor loss.  Returns a new :class:`Sources`.
     """
-    root = ensure_checkpoint_dir(src.spark).rstrip("/")
-    run = f"{uuid.uuid4().hex}"
     out = Sources(src.spark, src.sf_dir)
     for name in TABLES:
-        path = f"{root}/lessonlens_sources/{run}/{name}"
+        path = out.derived_at(name)
         df = getattr(src, name)
         if name not in GROWING_TABLES:
             df = df.repartition(1)      # dimension-sized: one file; the scan above stays parallel
         df.write.mode("overwrite").parquet(path)
         out.__dict__[name] = src.spark.read.parquet(path)
-    out.materialized_at = f"{root}/lessonlens_sources/{run}"
     return out
 
 
+def use_sources(spark: SparkSession, sf_dir: str, src: Sources) -> None:
+    """From now on ``sf_dir`` means ``src``; what was derived from other sources is not used again."""
+    with _SOURCES_LOCK:
+        for materialized in (True, False):
+            _SOURCES[(spark.sparkContext.applicationId, sf_dir, materialized)] = src
+
+
+def forget_sources(spark: SparkSession, sf_dir: str) -> None:
+    """The next run over ``sf_dir`` reads its tables anew (they have changed)."""
+    with _SOURCES_LOCK:
+        for materialized in (True, False):
+            _SOURCES.pop((spark.sparkContext.applicationId, sf_dir, materialized), None)
+
+
 def sources_for(spark: SparkSession, sf_dir: str, materialized: bool | None = None) -> Sources:
     """The memoised :class:`Sources` of one session and directory.
 

@@ -8,10 +8,12 @@ new version is written beside the live table and swapped in by rename
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructType
 
+from lessonlens import config as C
+
 
 def table_exists(spark: SparkSession, name: str) -> bool:
     """Decides full or incremental mode."""
@@ -132,6 +134,35 @@ def to_json_columns(df: DataFrame, columns: tuple) -> DataFrame:
     return out
 
 
+# Output orders (F1): by user; then subject and lesson, with ids to settle ties.
+ORDERS: dict[str, tuple[str, ...]] = {
+    "user_snapshot": ("user_id",),
+    "lesson_progress": ("user_id", "subject_order", "subject_id", "lesson_order", "lesson_id"),
+    "subject_progress": ("user_id", "subject_order", "subject_id"),
+    "be_responses": ("user_id", "stage", "question_position"),
+}
+
+
+def stage_rank(stage: str = "stage") -> Column:
+    """the stages in their own order, anything else after them."""
+    rank = F.lit(len(C.STAGES))
+    for k, name in reversed(list(enumerate(C.STAGES))):
+        rank = F.when(F.col(stage) == name, k).otherwise(rank)
+    return rank
+
+
+def write_ordered(df: DataFrame, path: str, order: tuple, files: int | None = None, fmt: str = "parquet",
+                  **options) -> None:
+    """F1 / F2: a sorted result, written in parallel.  Ranges of the order go to one file each and are sorted
+    within, and files are named by range: read in the order of their names they give the whole order.
+    NULLs come first.  ``order``: columns or expressions; a complete order (ending in a key) also splits a
+    user who holds a large share of the rows over several files."""
+    by = [F.col(c) if isinstance(c, str) else c for c in order]
+    n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartitionByRange(n, *by).sortWithinPartitions(*by)
+     .write.mode("overwrite").format(fmt).options(**options).save(path))
+
+
 def write_csv(df: DataFrame, path: str, gzip: bool = False, nested: tuple = ()) -> None:
     """A10: CSV with header, optional gzip; nested columns are written as JSON text."""
     w = to_json_columns(df, nested).write.mode("overwrite").option("header", True)

@@ -118,13 +118,23 @@ def gap_users(src: Sources, target: DataFrame | None) -> DataFrame:
 
 
 # -- I5 / G7 ------------------------------------------------------------------------
+def valid_keys(keys: DataFrame, pattern: str = C.UUID_PATTERN, key: str = "user_id") -> tuple[DataFrame, DataFrame]:
+    """Keys kept as text, split into (well-formed, rejected), each trimmed and once; blank and NULL ones are in
+    neither.  Numeric keys need no such check: their type is it."""
+    text = F.trim(F.col(key).cast("string"))
+    named = keys.select(text.alias(key)).where(F.length(key) > 0).distinct()
+    return named.where(F.col(key).rlike(pattern)), named.where(~F.col(key).rlike(pattern))
+
+
 def refresh_keys(src: Sources, target: DataFrame | None, cutoff,
                  centre_id=None) -> DataFrame:
     """(changed since cutoff) UNION (gap), optionally intersected with one centre's
-    active users; NULL keys dropped."""
+    active users; NULL keys dropped, and where ids are text those that ``valid_keys`` rejects."""
     keys = changed_users(src, cutoff).unionByName(gap_users(src, target)).distinct()
     if centre_id is not None:
         keys = changed_users_centre(keys, src, centre_id)
+    if keys.schema["user_id"].dataType.typeName() == "string":
+        keys = valid_keys(keys)[0]
     return keys.where(F.col("user_id").isNotNull())
 
 
