@@ -150,24 +150,41 @@ def user_status(attempts: DataFrame) -> DataFrame:
                         .otherwise("endline_only")))
 
 
+def attempt_pairs(cands: DataFrame) -> DataFrame:
+    """One row per user with both selected attempts as structs (``fb`` first baseline, ``fe`` first endline
+    after it), NULL where there is none: E5, E6 and C19 in one pass.
+
+    A window over the user's attempts tells each the time of the first baseline; one aggregate
+    then takes both minima.  On candidates partitioned by user nothing is shuffled."""
+    stage, at = F.col("assessment_stage"), F.col("completed_at")
+    after = F.min(F.when(stage == BASELINE, at)).over(Window.partitionBy("user_id"))
+    attempt = F.struct("completed_at", "assessment_response_id",
+                       *[c for c in _ATTEMPT if c not in ("completed_at", "assessment_response_id")])
+    later = F.col("_after").isNull() | (at > F.col("_after"))
+    return (cands.withColumn("_after", after).groupBy("user_id")
+            .agg(F.min(F.when(stage == BASELINE, attempt)).alias("fb"),
+                 F.min(F.when((stage == ENDLINE) & later, attempt)).alias("fe"))
+            .where(F.col("fb").isNotNull() | F.col("fe").isNotNull()))
+
+
 def paired_attempts(cands: DataFrame, paired_only: bool = False) -> DataFrame:
-    fb = first_baseline(cands)
-    fe = first_endline(cands, fb)
-    att = stage_attempts(fb, fe)
-    status = user_status(att)
+    """One row per selected attempt, with the user's status and both sides beside it."""
+    pairs = attempt_pairs(cands)
+    has_b, has_e = F.col("fb").isNotNull(), F.col("fe").isNotNull()
     if paired_only:
-        status = status.where(F.col("attempt_status") == "baseline_and_endline")
-
-    def side(df, prefix):
-        return df.select("user_id", F.col("pathway").alias(f"{prefix}_pathway"),
-                         F.col("response_created_at").alias(f"{prefix}_response_created_at"),
-                         F.col("completed_at").alias(f"{prefix}_completed_at"),
-                         F.col("final_score").alias(f"{prefix}_final_score"),
-                         F.col("rating").alias(f"{prefix}_rating"))
-
-    return (att.join(status, "user_id")
-            .join(side(fb, "baseline"), "user_id", "left")
-            .join(side(fe, "endline"), "user_id", "left")
+        pairs = pairs.where(has_b & has_e)
+    status = (F.when(has_b & has_e, "baseline_and_endline").when(has_b, "baseline_only").otherwise("endline_only"))
+    sides = [F.col(f"{side}.{c}").alias(f"{name}_{c}") for side, name in (("fb", "baseline"), ("fe", "endline"))
+             for c in ("pathway", "response_created_at", "completed_at", "final_score", "rating")]
+    chosen = F.filter(F.array(F.struct(F.lit(BASELINE).alias("assessment_stage"), F.col("fb").alias("a")),
+                              F.struct(F.lit(ENDLINE).alias("assessment_stage"), F.col("fe").alias("a"))),
+                      lambda x: x["a"].isNotNull())
+    return (pairs.select("user_id", has_b.cast("int").alias("has_baseline"), has_e.cast("int").alias("has_endline"),
+                         status.alias("attempt_status"), *sides, F.explode(chosen).alias("c"))
+            .select("user_id", *[F.col(f"c.a.{c}").alias(c) for c in _ATTEMPT], F.col("c.assessment_stage"),
+                    "has_baseline", "has_endline", "attempt_status",
+                    *[f"{name}_{c}" for name in ("baseline", "endline")
+                      for c in ("pathway", "response_created_at", "completed_at", "final_score", "rating")])
             .withColumnRenamed("response_created_at", "assessment_response_created_at"))
 
 
@@ -208,6 +225,14 @@ def answer_keys(src: Sources, attempts: DataFrame) -> DataFrame:
             .distinct())
 
 
+def duplicate_option_orders(src: Sources) -> DataFrame:
+    """Live options that share their question's ``sort_order`` with another: an answer that is translated
+    through them counts once for each (``question_id``, ``sort_order``, ``options``)."""
+    return (src.ple_assessment_options.where(F.col("deleted_at").isNull())
+            .groupBy(F.col("assessment_question_id").alias("question_id"), "sort_order")
+            .agg(F.count(F.lit(1)).cast("bigint").alias("options")).where(F.col("options") > 1))
+
+
 RESPONSE_COLUMNS = [
     "user_id", "name", "email", "mobile", "gender", "user_registered_at", "centre_id",
     "centre_name", "state_id", "state_name", "centre_type_id", "centre_type_name",
@@ -232,9 +257,9 @@ def responses(src: Sources, pop: Population = DEFAULT_POPULATION, consts: Consta
               user_ids: DataFrame | None = None) -> DataFrame:
     """One row per user x selected attempt x answered question, in English.
 
-    Grouped by (attempt, question); every other column depends on that pair.
-    Duplicate English ``sort_order`` values fan out and inflate the sums, as
-    in the reference (kept on purpose, flagged by the quality checks).
+    Answers are aggregated by (attempt, question), three numbers wide; the names and texts
+    that depend on the pair are joined to the aggregated rows.  Duplicate English ``sort_order`` values fan out
+    and inflate the sums, as in the reference; ``duplicate_option_orders`` lists them.
     """
     # partitioned by user once and checkpointed: the first-attempt aggregates,
     # the status and the pairing joins are all per user and reuse it
@@ -250,10 +275,12 @@ def responses(src: Sources, pop: Population = DEFAULT_POPULATION, consts: Consta
     langs = src.languages.select(F.col("id").alias("language_id"),
                                  F.col("name").alias("selected_language"))
     cat = bounded_broadcast(cat.join(langs, "language_id"), _key(src, "be_catalog"))
-    keys = answer_keys(src, pa).select(
-        F.col("assessment_responses_id").alias("assessment_response_id"),
-        F.col("assessment_question_id").alias("question_id"), "assessment_option_id",
-        "response_text")
+    # one exchange by attempt serves the join, the de-duplication and the aggregate
+    keys = (src.ple_assessment_response_keys.where(F.col("deleted_at").isNull())
+            .select(F.col("assessment_responses_id").alias("assessment_response_id"),
+                    F.col("assessment_question_id").alias("question_id"), "assessment_option_id",
+                    null_if_blank("response_text").alias("response_text"))
+            .join(pa.select("assessment_response_id", "assessment_id"), "assessment_response_id").distinct())
     opts = src.ple_assessment_options.where(F.col("deleted_at").isNull())
     so = opts.select(F.col("id").alias("assessment_option_id"),
                      F.col("assessment_question_id").alias("question_id"),
@@ -262,29 +289,21 @@ def responses(src: Sources, pop: Population = DEFAULT_POPULATION, consts: Consta
     eo = opts.select(F.col("assessment_question_id").alias("english_question_id"),
                      F.col("sort_order").alias("_so_sort"), F.col("sort_order").alias("_eo_sort"),
                      F.col("opt").alias("_eo_opt"))
-    rows = (pa.join(users, "user_id").join(centres, "centre_id").join(titles, "assessment_id")
-            .join(keys, "assessment_response_id")
-            .join(cat, ["question_id", "assessment_id"])
+    rows = (keys.join(cat.select("question_id", "assessment_id", "english_question_id"), ["question_id", "assessment_id"])
             .join(bounded_broadcast(so, _key(src, "be_options")), ["assessment_option_id", "question_id"], "left")
             .join(bounded_broadcast(eo, _key(src, "be_en_options")), ["english_question_id", "_so_sort"], "left"))
-    carry = [c for c in RESPONSE_COLUMNS
-             if c not in ("selected_options_english", "free_text_response", "response_english",
-                          "is_correct_option", "score", "rounded_score", "assessment_response_id",
-                          "selected_language_question_id")]
-    rows = rows.withColumnRenamed("language_id", "selected_language_id")
     opt_pair = F.when(F.col("_eo_opt").isNotNull(),
                       F.struct(F.col("_eo_sort").alias("k"), F.col("_eo_opt").alias("v")))
     txt_pair = F.when(F.col("response_text").isNotNull(),
                       F.struct(F.col("response_text").alias("k"), F.col("response_text").alias("v")))
-    # the carried columns depend on (attempt, question): grouping by them gives the
-    # same groups and keeps fixed-width aggregation buffers (no string ``first``),
-    # so the aggregate stays hash-based
-    g = (rows.groupBy("assessment_response_id",
-                      F.col("question_id").alias("selected_language_question_id"), *carry)
+    g = (rows.groupBy("assessment_response_id", "question_id")
          .agg(F.collect_list(opt_pair).alias("_opts"), F.collect_list(txt_pair).alias("_txt"),
               F.count("_so_id").alias("_n"), F.min("_so_correct").alias("_min_correct"),
               F.sum("_so_score").alias("score"),
               F.sum(F.ceil("_so_score")).cast("bigint").alias("rounded_score")))
+    g = (g.join(pa, "assessment_response_id").join(cat, ["question_id", "assessment_id"])
+         .join(users, "user_id").join(centres, "centre_id").join(titles, "assessment_id")
+         .withColumnsRenamed({"question_id": "selected_language_question_id", "language_id": "selected_language_id"}))
     sel = _ordered_distinct_join(F.col("_opts"), C.LIST_SEPARATOR)
     free = _ordered_distinct_join(F.col("_txt"), C.LIST_SEPARATOR)
     return (g.withColumn("selected_options_english", sel)
@@ -302,28 +321,31 @@ def responses(src: Sources, pop: Population = DEFAULT_POPULATION, consts: Consta
 def user_status_report(src: Sources, requested: DataFrame, consts: Constants = DEFAULT) -> DataFrame:
     """Every requested user with first baseline / first later endline and a status.
     No centre-type or population filter, on purpose."""
+    wanted = requested.select("user_id").distinct()
+    is_b = F.col("assessment_id").isin(*consts.baseline_assessment_ids)
+    is_e = F.col("assessment_id").isin(*consts.endline_assessment_ids)
+    done = F.coalesce("updated_at", "created_at")
+    # one pass over the requested users' responses: a window tells each when the first baseline was done
     r = (src.ple_assessment_responses
-         .where((F.col("is_complete") == 1) & F.col("deleted_at").isNull())
-         .select("user_id", "assessment_id",
-                 F.coalesce("updated_at", "created_at").alias("done_at")))
-    base = (r.where(F.col("assessment_id").isin(*consts.baseline_assessment_ids))
-            .groupBy("user_id").agg(F.min("done_at").alias("first_baseline_at")))
-    end = r.where(F.col("assessment_id").isin(*consts.endline_assessment_ids))
-    any_end = end.groupBy("user_id").agg(F.lit(1).alias("_any_end"))
-    later = (end.join(base, "user_id", "left")
-             .where(F.col("first_baseline_at").isNull() | (F.col("done_at") > F.col("first_baseline_at")))
-             .groupBy("user_id").agg(F.min("done_at").alias("first_endline_at")))
+         .where((F.col("is_complete") == 1) & F.col("deleted_at").isNull() & (is_b | is_e))
+         .join(wanted, "user_id", "left_semi")
+         .select("user_id", F.when(is_b, done).alias("_b"), F.when(is_e, done).alias("_e"), is_e.alias("_is_e"))
+         .withColumn("_after", F.min("_b").over(Window.partitionBy("user_id"))))
+    attempts = (r.groupBy("user_id").agg(
+        F.min("_b").alias("first_baseline_at"),
+        F.min(F.when(F.col("_after").isNull() | (F.col("_e") > F.col("_after")), F.col("_e"))).alias("first_endline_at"),
+        F.max("_is_e").alias("_any_end")))
     ct = src.centre_types.select(F.col("id").alias("centre_type_id"), F.col("type").alias("centre_type_code"))
     centres = (src.centres.select(F.col("id").alias("centre_id"), F.col("name").alias("centre_name"),
                                   "centre_type_id").join(ct, "centre_type_id", "left"))
-    u = (src.users.join(requested.select(F.col("user_id").alias("id")).distinct(), "id", "left_semi")
+    u = (src.users.join(wanted.withColumnRenamed("user_id", "id"), "id", "left_semi")
          .select(F.col("id").alias("user_id"), "name", "email", "mobile", "gender",
                  F.col("created_at").alias("user_registered_at"), "centre_id"))
     out = (u.join(bounded_broadcast(centres, _key(src, "status_centres")), "centre_id", "left")
-           .join(base, "user_id", "left").join(later, "user_id", "left").join(any_end, "user_id", "left"))
+           .join(attempts, "user_id", "left"))
     has_b, has_e = F.col("first_baseline_at").isNotNull(), F.col("first_endline_at").isNotNull()
     status = (F.when(has_b & has_e, "baseline_and_endline").when(has_b, "baseline_only")
-              .when(F.col("_any_end").isNotNull(), "endline_only").otherwise("no_completed_attempt"))
+              .when(F.col("_any_end"), "endline_only").otherwise("no_completed_attempt"))
     return out.select("user_id", "name", "email", "mobile", "gender", "user_registered_at",
                       "centre_name", "centre_type_code", "first_baseline_at", "first_endline_at",
                       status.alias("attempt_status"))

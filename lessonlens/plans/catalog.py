@@ -759,6 +759,11 @@ def q_be_paired_only(spark, sf):
     return AS.responses(p.src, AS.Population(paired_only=True), p.consts)
 
 
+@register("duplicate_option_orders")
+def q_duplicate_option_orders(spark, sf):
+    return AS.duplicate_option_orders(pipeline(spark, sf).src)
+
+
 @register("population_window")
 def q_population_window(spark, sf):
     return AS.population_window(pipeline(spark, sf).src, POPULATION_WINDOW)
