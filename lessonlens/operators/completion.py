@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lessonlens import config as C
+from lessonlens.operators.joins import bitmap_semi_join, may_broadcast
 from lessonlens.sources.fixtures import Sources
 
 LEARNER, STAFF = "learner", "staff"
@@ -14,8 +15,10 @@ LEARNER, STAFF = "learner", "staff"
 def _aggregate(activity: DataFrame, keys: tuple[DataFrame, ...] = ()) -> DataFrame:
     """Completed activity per (user, lesson): max score, max rating, summed duration.
 
-    ``keys``: bounded one-column relations (``user_id``, ``lesson_id``) that restrict a
-    scoped run's log below the aggregate, so what is out of scope is never shuffled.
+    ``keys``: one-column relations (``user_id``, ``lesson_id``) that restrict a scoped run's log
+    below the aggregate, so what is out of scope is never shuffled: by a broadcast semi join where
+    the keys are proven few, else by a bitmap of fixed size (which lets a small share of other
+    rows pass; the join with the allocation drops them).
 
     A plain hash aggregate: partial aggregation runs map-side, so even a user
     holding a third of all activity rows reaches the shuffle as at most one
@@ -23,7 +26,10 @@ def _aggregate(activity: DataFrame, keys: tuple[DataFrame, ...] = ()) -> DataFra
     """
     activity = activity.where(F.col("completed") == 1)
     for k in keys:
-        activity = activity.join(F.broadcast(k), k.columns, "left_semi")
+        if may_broadcast(k, ("log_keys",)):
+            activity = activity.join(F.broadcast(k), k.columns, "left_semi")
+        else:
+            activity = bitmap_semi_join(activity, k, k.columns[0])
     return (activity.groupBy("user_id", "lesson_id")
             .agg(F.max("score").alias("score"), F.max("rating").alias("rating"),
                  F.sum("duration").cast("bigint").alias("duration")))

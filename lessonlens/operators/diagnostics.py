@@ -99,10 +99,14 @@ def ple_paths(p: Pipeline) -> DataFrame:
 
 
 def activity_by_centre(p: Pipeline) -> DataFrame:
-    """K7: learner activity records per centre and completed flag (active users)."""
+    """K7: learner activity records per centre and completed flag (active users).
+
+    The log is counted by user before the centre is looked up: the join sees one row per user and
+    flag instead of every record, and a very active user is combined map-side."""
     u = p.src.users.where(is_active()).select(F.col("id").alias("user_id"), "centre_id")
-    return (p.src.learning_activities.select("user_id", "completed").join(u, "user_id")
-            .groupBy("centre_id", "completed").agg(_COUNT().alias("records")))
+    by_user = p.src.learning_activities.groupBy("user_id", "completed").agg(_COUNT().alias("n"))
+    return (by_user.join(u, "user_id").groupBy("centre_id", "completed")
+            .agg(F.sum("n").cast("bigint").alias("records")))
 
 
 def matched_completions(p: Pipeline) -> DataFrame:
@@ -121,31 +125,51 @@ def centre_totals(snapshot: DataFrame) -> DataFrame:
         .alias("avg_pct"))
 
 
+def user_funnel(p: Pipeline) -> DataFrame:
+    """One row per active user with all that K1 and K4-K9 count of them: type, PLE flag, live career path, and the
+    user's allocated, PLE-allocated and completed rows.  The user x lesson rows are built once and
+    aggregated where they lie (partitioned by user)."""
+    from lessonlens.operators.allocation import latest_career_path
+    from lessonlens.operators.rollup import one_user_row
+
+    fan = p.merged.groupBy("user_id").agg(
+        _COUNT().alias("allocated"), F.sum("completed").cast("bigint").alias("completed"),
+        F.count_if(F.col("allocation_path") == C.PATH_PLE).cast("bigint").alias("ple_allocated"))
+    live = p.src.ple_career_paths.where(F.col("deleted_at").isNull()).select(F.col("id").alias("job_type_id"))
+    paths = latest_career_path(p.src).join(live, "job_type_id", "left_semi").select("user_id", F.lit(1).alias("with_path"))
+    return (one_user_row(p.users).select("user_id", "centre_id", "user_type", "is_ple")
+            .join(fan, "user_id", "left").join(paths, "user_id", "left"))
+
+
+def centre_funnel(p: Pipeline) -> DataFrame:
+    """K1, K5, K8 and K9 per centre in one aggregate of the user funnel."""
+    learner = F.col("user_type").isin(*C.LEARNER_TYPES)
+    ple = learner & (F.col("is_ple") == 1)
+    def number(cond):
+        return F.count_if(cond).cast("bigint")
+    return user_funnel(p).groupBy("centre_id").agg(
+        _COUNT().alias("n_users"), number(learner).alias("n_learners"), number(ple).alias("ple_learners"),
+        number(ple & F.col("with_path").isNotNull()).alias("with_career_path"),
+        number(ple & (F.col("ple_allocated") > 0)).alias("with_subject_mapping"),
+        F.coalesce(F.sum("allocated"), F.lit(0)).alias("sum_allocated"),
+        F.coalesce(F.sum("completed"), F.lit(0)).alias("sum_completed"))
+
+
 def centre_flags(p: Pipeline) -> DataFrame:
     """One row per centre with the list of warnings raised by K0-K9."""
     c = centre_status(p).select("centre_id", "centre_state")
-    au = (active_users_by_type(p).groupBy("centre_id")
-          .agg(F.sum("user_count").alias("n_users"),
-               F.sum(F.when(F.col("user_type").isin(*C.LEARNER_TYPES), F.col("user_count")))
-               .alias("n_learners"),
-               F.sum(F.when(F.col("user_type").isin(*C.LEARNER_TYPES) & (F.col("is_ple") == 1),
-                            F.col("user_count"))).alias("n_ple")))
     subj = centre_subjects(p)
     les = (centre_lessons(p).groupBy("centre_id")
            .agg(F.sum("lessons").alias("n_lessons"), F.sum("after_type_filter").alias("n_after")))
-    ple = ple_reach(p)
     act = (activity_by_centre(p).where(F.col("completed") == 1)
            .groupBy("centre_id").agg(F.sum("records").alias("n_done")))
-    mat = matched_completions(p)
-    tot = centre_totals(p.user_snapshot())
-    j = (c.join(au, "centre_id", "left").join(subj, "centre_id", "left").join(les, "centre_id", "left")
-         .join(ple, "centre_id", "left").join(act, "centre_id", "left").join(mat, "centre_id", "left")
-         .join(tot, "centre_id", "left"))
+    j = (c.join(centre_funnel(p), "centre_id", "left").join(subj, "centre_id", "left").join(les, "centre_id", "left")
+         .join(act, "centre_id", "left"))
     z = lambda n: F.coalesce(F.col(n), F.lit(0))
     rules = [
         (F.col("centre_state") != "active", "centre not active"),
         (z("n_users") == 0, "no active users"),
-        ((z("n_learners") > 0) & (z("n_ple") == z("n_learners")), "all learners are PLE"),
+        ((z("n_learners") > 0) & (z("ple_learners") == z("n_learners")), "all learners are PLE"),
         (z("mapped") == 0, "no subjects mapped"),
         ((z("mapped") > 0) & (z("active") == 0), "all mapped subjects inactive"),
         ((z("n_lessons") > 0) & (z("n_after") == 0), "all eligible lessons excluded by type"),
@@ -153,9 +177,9 @@ def centre_flags(p: Pipeline) -> DataFrame:
         ((z("with_career_path") > 0) & (z("with_subject_mapping") == 0),
          "career paths without subject mapping"),
         (z("n_done") == 0, "no completed activity"),
-        ((z("n_done") > 0) & (z("matched_completions") == 0), "completions not matching allocation"),
-        (z("row_count") == 0, "no snapshot rows"),
-        ((z("row_count") > 0) & (z("sum_completed") == 0), "snapshot rows without completions"),
+        ((z("n_done") > 0) & (z("sum_completed") == 0), "completions not matching allocation"),
+        (z("n_users") == 0, "no snapshot rows"),
+        ((z("n_users") > 0) & (z("sum_completed") == 0), "snapshot rows without completions"),
     ]
     flags = F.array_compact(F.array(*[F.when(cond, F.lit(text)) for cond, text in rules]))
     return j.select("centre_id", flags.alias("flags"))

@@ -86,3 +86,26 @@ def gate_join(df: DataFrame, mapping: DataFrame, keys: list[str], flag: str,
     """
     m = mapping.select(*keys).distinct().withColumn(flag, F.lit(1))
     return df.join(bounded_broadcast(m, size_key), keys, "left")
+
+
+BITMAP_BITS = 1 << 27      # 16 MB broadcast, whatever the number of keys
+_WORD_BITS = 1 << 15       # of one bitmap as Spark aggregates them (4 KB)
+
+
+def bitmap_semi_join(df: DataFrame, keys: DataFrame, column: str, bits: int = BITMAP_BITS) -> DataFrame:
+    """The rows of ``df`` whose ``column`` may be among ``keys`` (which has that column), without a shuffle of
+    ``df``: a Bloom filter of one hash.  The keys, however many, become a bitmap of a fixed size that is
+    broadcast; a row passes if its hash's bit is set.  No row of a key is lost; with ``n`` keys a
+    share of about ``n / bits`` of the other rows passes too, which an exact join after the aggregate
+    removes.  NULLs do not pass."""
+    spot = F.pmod(F.xxhash64(F.col(column)), F.lit(bits))
+    maps = (keys.where(F.col(column).isNotNull()).select(spot.alias("_spot"))
+            .groupBy(F.bitmap_bucket_number("_spot").alias("_part"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_spot")).alias("_map")))
+    place = F.bitmap_bit_position("_spot")
+    byte = F.conv(F.hex(F.substring(F.col("_map"), (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    hit = F.expr("shiftright(_byte, cast(_place % 8 as int))").bitwiseAND(F.lit(1)) == 1
+    return (df.where(F.col(column).isNotNull()).withColumn("_spot", spot)
+            .withColumn("_part", F.bitmap_bucket_number("_spot"))
+            .join(F.broadcast(maps), "_part")       # at most bits / 32768 rows of 4 KB
+            .withColumn("_byte", byte).withColumn("_place", place).where(hit).select(*df.columns))

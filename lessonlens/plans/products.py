@@ -69,26 +69,29 @@ class Pipeline:
                                       "user_id")
 
     @cached_property
-    def scope_ids(self) -> DataFrame | None:
-        """The users of a restricted run, if they are proven few enough to broadcast; None
-        for a full run, or where the scope is too large to pay off before the aggregates."""
+    def scoped_users(self) -> DataFrame | None:
+        """The users of a restricted run; None for a full run."""
         p = self.params
         if self.user_keys is None and p.user_id is None and p.centre_id is None \
                 and p.batch_id is None and p.trade_id is None:
             return None
-        ids = self.users.select("user_id").distinct()
-        return ids if may_broadcast(ids) else None
+        return self.users.select("user_id").distinct()
+
+    @cached_property
+    def scope_ids(self) -> DataFrame | None:
+        """The users of a restricted run, if they are proven few enough to broadcast; None
+        for a full run, or where the scope is larger."""
+        ids = self.scoped_users
+        return ids if ids is not None and may_broadcast(ids, ("log_keys",)) else None
 
     @cached_property
     def log_keys(self) -> tuple[DataFrame, ...]:
-        """What restricts both activity logs below their aggregates: the scope's users and
-        the lessons of a scoped subject."""
-        keys = () if self.scope_ids is None else (self.scope_ids,)
+        """What restricts both activity logs below their aggregates: the scope's users, however many,
+        and the lessons of a scoped subject."""
+        keys = () if self.scoped_users is None else (self.scoped_users,)
         if self.params.subject_id is not None:
-            lessons = (self.src.lessons.where(F.col("subject_id") == self.params.subject_id)
-                       .select(F.col("id").alias("lesson_id")).distinct())
-            if may_broadcast(lessons):
-                keys += (lessons,)
+            keys += (self.src.lessons.where(F.col("subject_id") == self.params.subject_id)
+                     .select(F.col("id").alias("lesson_id")).distinct(),)
         return keys
 
     @cached_property

@@ -76,3 +76,26 @@ def test_scope_reaches_the_logs(spark):
     assert semi_joins(Pipeline(full.src, user_keys=keys)) == 3
     assert semi_joins(Pipeline(full.src, Params(centre_id=7))) == 3
     assert semi_joins(Pipeline(full.src, Params(subject_id=12))) == 2
+
+
+def test_large_scopes_filter_the_logs_by_a_bitmap(spark, sources, monkeypatch):
+    """Beyond the broadcast bound a scope still restricts the logs, and gives the same rows."""
+    from lessonlens.operators import completion, joins
+
+    keys = sources.users.select(F.col("id").alias("user_id")).where("user_id % 3 = 0")
+    expected = _rows(Pipeline(sources, user_keys=keys).user_snapshot())
+    for module in (completion, __import__("lessonlens.plans.products", fromlist=["x"])):
+        monkeypatch.setattr(module, "may_broadcast", lambda df, key=None, limit=None: False)
+    p = Pipeline(sources, user_keys=keys)
+    assert p.scope_ids is None and len(p.log_keys) == 1
+    plan = p.merged._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("bitmap_construct_agg") == 2 and "Join LeftSemi" not in plan
+    assert _rows(p.user_snapshot()) == expected
+    # what reaches the aggregate: all rows of the scope, few others
+    log = sources.learning_activities
+    near = joins.bitmap_semi_join(log, keys, "user_id")
+    exact = log.join(keys, "user_id", "left_semi")
+    assert near.columns == log.columns
+    assert near.exceptAll(exact).count() == 0 and near.count() == exact.count()
+    tight = joins.bitmap_semi_join(log, keys, "user_id", bits=64)
+    assert exact.exceptAll(tight).count() == 0
