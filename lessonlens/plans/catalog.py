@@ -241,7 +241,7 @@ def q_subject_output(spark, sf):
             .select("user_id", "subject_id", "subject_name", "year_to_map",
                     "subj_total_allocated", "subj_lessons_allocated", "subj_assessments_allocated",
                     "subj_total_completed", "subj_lessons_completed", "subj_assessments_completed",
-                    "avg_score", "avg_rating", "total_duration"))
+                    "avg_score", "avg_rating", F.round("avg_duration", 4).alias("avg_duration"), "total_duration"))
 
 
 def _combos_inline(merged: DataFrame) -> DataFrame:
@@ -307,6 +307,18 @@ def q_subject_progress(spark, sf):
     return sp.select(*[c for c in sp.columns if c != "lessons"], _size("lessons").alias("n_lessons"))
 
 
+@register("subject_lessons")
+def q_subject_lessons(spark, sf):
+    """The nested lessons of the subject product, one row each."""
+    sp = pipeline(spark, sf).subject_progress()
+    return sp.select("user_id", "subject_id", "batch_id", F.inline("lessons"))
+
+
+@register("subject_combos_loose")
+def q_subject_combos_loose(spark, sf):
+    return _combos_inline(pipeline(spark, sf, ple_rule="loose").merged)
+
+
 @register("no_allocation_users")
 def q_no_allocation_users(spark, sf):
     p = pipeline(spark, sf)
@@ -362,7 +374,7 @@ for _f in ("project_id", "program_id", "phase_id"):
 
 # -- P5 / P6 / P7 / J11 -----------------------------------------------------------------
 
-DASH_COLUMN_FILTERS = {"state_name": ["AMERICA", "EUROPE", "ASIA"], "gender": ["Male", "Female"],
+DASH_COLUMN_FILTERS = {"state_name": ["AFRICA", "EUROPE", "ASIA"], "gender": ["Male", "Female"],
                        "user_type": ["Learner", "Alumni"]}
 DASH_SLOT_FILTERS = {"phase": ["Phase_2", "Phase_4"], "sub_name": ["Brand#12", "Brand#23", "Brand#34"],
                      "year_category": [1, 2]}
@@ -422,6 +434,22 @@ def q_dash_column_filters(spark, sf):
     return _dash(spark, sf, DASH_COLUMN_FILTERS)
 
 
+# every filter of the dashboard, each leaving some users out
+DASH_ALL_FILTERS = {
+    "state_name": ["AFRICA", "MIDDLE EAST"], "district_name": [f"NATION_{k}" for k in range(20)],
+    "centre_type": ["Type 0", "Type 1"], "trade": [f"Trade {k}" for k in range(6)],
+    "centre_name": [f"NATION_{k}" for k in range(1, 21)], "org_name": ["AFRICA", "MIDDLE EAST"],
+    "user_type": ["Learner", "Alumni", "Admin"], "gender": ["Female", "Other"],
+    "ple_enabled": ["PLE Centre", "Non-PLE Centre"], "is_ple": ["Non-PLE", "PLE"], "prog_name": ["Program A", "Program B"],
+    "proj_name": [f"Project NATION_{k}" for k in range(1, 19)], "phase": [f"Phase_{k}" for k in range(1, 5)],
+    "sub_name": [f"Brand#{k}" for k in range(11, 56)], "year_category": [0, 1, 2, 3]}
+
+
+@register("dash_all_filters")
+def q_dash_all_filters(spark, sf):
+    return _dash(spark, sf, DASH_ALL_FILTERS)
+
+
 @register("dash_any_slot")
 def q_dash_any_slot(spark, sf):
     return _dash(spark, sf, DASH_SLOT_FILTERS)
@@ -473,9 +501,10 @@ def previous_snapshot(p: Pipeline) -> DataFrame:
 
 
 def _derive_previous_snapshot(p: Pipeline) -> DataFrame:
-    """The snapshot without users ``id % 10 = 7`` (gap hits) plus stale zero rows for
-    every inactive user (cleanup hits)."""
-    snap = stored_snapshot(p).where(F.col("user_id") % 10 != 7)
+    """The snapshot without users ``id % 10 = 7`` (gap hits), with users ``id % 4 = 1`` still in their former
+    centre (moved users), plus stale zero rows for every inactive user (cleanup hits)."""
+    snap = stored_snapshot(p).where(F.col("user_id") % 10 != 7).withColumn(
+        "centre_id", F.when(F.col("user_id") % 4 == 1, (F.col("centre_id") + 1) % 25).otherwise(F.col("centre_id")))
     u = (p.src.users.where(F.col("type").isin(1, 2, 3, 4) & is_inactive())
          .select(F.col("id").alias("user_id"), F.col("type").alias("user_type"), "centre_id",
                  "organisation_id", "is_ple", "created_at"))

@@ -112,11 +112,13 @@ class Sources:
     def student_details(self) -> DataFrame:
         c = F.col("c_custkey")
         cust = (self.base("customer", "c_custkey", "c_nationkey")
-                .where((F.col("c_custkey") % 20 >= 3) & (F.col("c_custkey") % 11 != 0)))
+                .where((F.col("c_custkey") % 20 >= 3) & (F.col("c_custkey") % 11 != 0))
+                # some learners have a second profile, in the centre's other batch
+                .withColumn("twin", F.explode(F.when(c % 50 == 8, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))))
         return (cust.join(self._order_span, cust.c_custkey == F.col("o_custkey"), "left")
                 .select(
                     _big(c).alias("user_id"),
-                    F.when(c % 3 == 2, None).otherwise(F.col("c_nationkey") * 10 + c % 2)
+                    F.when(c % 3 == 2, None).otherwise(F.col("c_nationkey") * 10 + (c + F.col("twin")) % 2)
                      .cast("bigint").alias("batch_id"),
                     F.when(c % 5 == 0, c % 6).cast("bigint").alias("trade_id"),
                     F.when(c % 7 == 0, F.lit("Female")).alias("gender"),
@@ -423,12 +425,13 @@ class Sources:
     @cached_property
     def ple_assessment_options(self) -> DataFrame:
         q = self.ple_assessment_questions.select(F.col("id").alias("qid"))
-        n = self.folded("nation", "n_nationkey", 3)
+        n = self.folded("nation", "n_nationkey", 4)
         k = F.col("n")
         return q.crossJoin(n).select(
             _big(F.col("qid") * 10 + k).alias("id"),
             F.col("qid").alias("assessment_question_id"),
-            k.cast("int").alias("sort_order"),
+            # the last option of every fifth question stands where another does
+            F.when((k == 3) & (F.col("qid") % 5 == 0), 1).otherwise(k).cast("int").alias("sort_order"),
             F.concat(F.lit("Option "), k.cast("string")).alias("opt"),
             _flag(k == 1).alias("is_correct_option"),
             (k.cast("decimal(10,2)") / 2).cast("decimal(10,2)").alias("score"),

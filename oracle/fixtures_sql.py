@@ -34,7 +34,7 @@ SELECT CAST(c_custkey AS BIGINT) AS id, c_name AS name,
 FROM customer LEFT JOIN {_ORDER_SPAN} o ON o.o_custkey = c_custkey""",
     "student_details": f"""
 SELECT CAST(c_custkey AS BIGINT) AS user_id,
-       CAST(CASE WHEN c_custkey % 3 = 2 THEN NULL ELSE c_nationkey * 10 + c_custkey % 2 END AS BIGINT) AS batch_id,
+       CAST(CASE WHEN c_custkey % 3 = 2 THEN NULL ELSE c_nationkey * 10 + (c_custkey + twin) % 2 END AS BIGINT) AS batch_id,
        CAST(CASE WHEN c_custkey % 5 = 0 THEN c_custkey % 6 END AS BIGINT) AS trade_id,
        CASE WHEN c_custkey % 7 = 0 THEN 'Female' END AS gender,
        CAST(c_custkey % 9 AS BIGINT) AS educational_qualification_id,
@@ -42,7 +42,8 @@ SELECT CAST(c_custkey AS BIGINT) AS user_id,
        CAST(2000 + c_custkey % 2 AS INTEGER) AS active_year,
        CAST(1998 + c_custkey % 3 AS INTEGER) AS year_of_admission,
        o.created_at, o.updated_at
-FROM customer LEFT JOIN {_ORDER_SPAN} o ON o.o_custkey = c_custkey
+FROM customer JOIN (VALUES (0), (1)) AS t(twin) ON twin = 0 OR c_custkey % 50 = 8
+LEFT JOIN {_ORDER_SPAN} o ON o.o_custkey = c_custkey
 WHERE c_custkey % 20 >= 3 AND c_custkey % 11 <> 0""",
     "login_logs": "SELECT CAST(user_id AS BIGINT) AS user_id, ts AS created_at FROM events",
     "centres": f"""
@@ -191,12 +192,12 @@ CROSS JOIN (SELECT DISTINCT n_nationkey % 4 AS n_nationkey FROM nation) folded
 WHERE pg.sort_order = n_nationkey % 2""",
     "ple_assessment_options": """
 SELECT CAST(q.id * 10 + n_nationkey AS BIGINT) AS id, q.id AS assessment_question_id,
-       CAST(n_nationkey AS INTEGER) AS sort_order,
+       CAST(CASE WHEN n_nationkey = 3 AND q.id % 5 = 0 THEN 1 ELSE n_nationkey END AS INTEGER) AS sort_order,
        CONCAT('Option ', CAST(n_nationkey AS VARCHAR)) AS opt,
        CAST(CASE WHEN n_nationkey = 1 THEN 1 ELSE 0 END AS INTEGER) AS is_correct_option,
        CAST(CAST(n_nationkey AS DECIMAL(10,2)) / 2 AS DECIMAL(10,2)) AS score,
        CAST(NULL AS TIMESTAMP) AS deleted_at
-FROM ple_assessment_questions q CROSS JOIN (SELECT DISTINCT n_nationkey % 3 AS n_nationkey FROM nation) folded""",
+FROM ple_assessment_questions q CROSS JOIN (SELECT DISTINCT n_nationkey % 4 AS n_nationkey FROM nation) folded""",
     "ple_assessment_responses": f"""
 SELECT CAST(event_id AS BIGINT) AS id, CAST(user_id AS BIGINT) AS user_id,
        CAST(CASE WHEN event_type = 'signup' THEN user_id % 3 ELSE 3 + event_id % 3 END AS BIGINT) AS assessment_id,
