@@ -9,7 +9,8 @@ conv_id stays.  Texts are not moved for any of this, only hashes; the turns of t
 stay are then gathered and rendered.  DataFrame functions only.
 
 Defined cases
-    null conv_id        the rows without conv_id are one log
+    null conv_id        each such row is a log of one turn (no window or group holds them together); equal
+                        ones are copies, of which one is shown, with a null id if no log with an id equals it
     null or tied turn   null turns come first; ties are ordered by the hashes of role and text
     null role, text     differ from empty ones when logs are compared; rendered as empty
     repeated rows       are turns like any other
@@ -34,25 +35,34 @@ def turn_hash(seed: int) -> Column:
 
 def prefixes(conversations: DataFrame) -> DataFrame:
     """``conv_id``, ``n``, ``p``, ``q``: the rolling hash of the first ``n`` turns, for each turn."""
-    turns = conversations.select("conv_id", "turn", turn_hash(1).alias("a"), turn_hash(2).alias("b"))
+    every = conversations.select("conv_id", "turn", turn_hash(1).alias("a"), turn_hash(2).alias("b"))
+    turns, lone = every.where(F.col("conv_id").isNotNull()), every.where(F.col("conv_id").isNull())
     order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "a", "b")
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = turns.select("conv_id", "turn", "a", "b", F.row_number().over(order).cast("long").alias("n"))
-    return placed.select("conv_id", "n", F.bit_xor(F.xxhash64("n", "a")).over(upto).alias("p"),
+    logs = placed.select("conv_id", "n", F.bit_xor(F.xxhash64("n", "a")).over(upto).alias("p"),
                          F.bit_xor(F.xxhash64(F.lit(3), "n", "b")).over(upto).alias("q"))
+    return logs.unionByName(lone.select("conv_id", F.lit(1).cast("long").alias("n"), *alone()))
+
+
+def alone() -> tuple[Column, Column]:
+    """The rolling hash of a log of one turn."""
+    one = F.lit(1).cast("long")
+    return F.xxhash64(one, F.col("a")).alias("p"), F.xxhash64(F.lit(3), one, F.col("b")).alias("q")
 
 
 def maximal(conversations: DataFrame) -> DataFrame:
-    """``conv_id``, ``n_turns``, ``n_copies`` of the logs that no other log continues."""
+    """``conv_id``, ``n_turns``, ``n_copies`` of the logs that no other log continues, and their hash (``p``, ``q``)."""
     steps = stored(prefixes(conversations))
-    ends = (steps.groupBy("conv_id").agg(F.max(F.struct("n", "p", "q")).alias("end"))
-            .select("conv_id", "end.n", "end.p", "end.q"))
+    ends = (steps.where(F.col("conv_id").isNotNull()).groupBy("conv_id").agg(F.max(F.struct("n", "p", "q")).alias("end"))
+            .select("conv_id", "end.n", "end.p", "end.q")
+            .unionByName(steps.where(F.col("conv_id").isNull())))
     classes = ends.groupBy("n", "p", "q").agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n_copies"))
     first = classes.select(F.col("conv_id").alias("c"), F.col("n").alias("whole"))
-    begun = (steps.join(first, steps["conv_id"].eqNullSafe(first["c"]) & (steps["n"] < first["whole"]), "left_semi")
+    begun = (steps.join(first, (steps["conv_id"] == first["c"]) & (steps["n"] < first["whole"]), "left_semi")
              .select("n", "p", "q").distinct())
     return (classes.join(begun, ["n", "p", "q"], "left_anti")
-            .select("conv_id", F.col("n").alias("n_turns"), "n_copies"))
+            .select("conv_id", F.col("n").alias("n_turns"), "n_copies", "p", "q"))
 
 
 def safe(text: Column) -> Column:
@@ -64,9 +74,16 @@ def rendered(conversations: DataFrame) -> DataFrame:
     """``conv_id``, ``n_turns``, ``n_copies``, ``chat`` of every maximal log."""
     kept = maximal(conversations).withColumnRenamed("conv_id", "kept_id")
     turns = conversations.select("conv_id", "turn", turn_hash(1).alias("a"), turn_hash(2).alias("b"), "role", "text")
-    chats = (turns.join(kept, turns["conv_id"].eqNullSafe(kept["kept_id"]))
+    chats = (turns.join(kept.drop("p", "q"), turns["conv_id"] == kept["kept_id"])
              .groupBy("conv_id", "n_turns", "n_copies")
              .agg(F.sort_array(F.collect_list(F.struct("turn", "a", "b", "role", "text"))).alias("turns")))
+    # rows without a log are found again by their hash; equal ones are one
+    lone = (turns.where(F.col("conv_id").isNull()).groupBy("a", "b")
+            .agg(F.any_value("role").alias("role"), F.any_value("text").alias("text")).select("a", "b", "role", "text", *alone()))
+    lone = lone.join(kept.where(F.col("kept_id").isNull()), ["p", "q"]).select(
+        F.col("kept_id").alias("conv_id"), "n_turns", "n_copies",
+        F.array(F.struct(F.lit(None).cast(turns.schema["turn"].dataType).alias("turn"), "a", "b", "role", "text")).alias("turns"))
+    chats = chats.unionByName(lone)
     block = F.transform("turns", lambda t: F.concat(F.lit(START), safe(t["role"]), F.lit("\n"), safe(t["text"]), F.lit(END)))
     return chats.select("conv_id", "n_turns", "n_copies", F.array_join(block, "\n").alias("chat"))
 
@@ -74,7 +91,8 @@ def rendered(conversations: DataFrame) -> DataFrame:
 ORACLE = f"""
 WITH logs AS (
   SELECT conv_id, list({{'r': role, 't': text}} ORDER BY turn NULLS FIRST) AS l, count(*) AS n
-  FROM conversations GROUP BY conv_id),
+  FROM (SELECT *, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS lone FROM conversations)
+  GROUP BY conv_id, lone),
 classes AS (SELECT l, n, min(conv_id) AS conv_id, count(*) AS n_copies FROM logs GROUP BY l, n)
 SELECT a.conv_id, a.n::BIGINT AS n_turns, a.n_copies::BIGINT AS n_copies,
   array_to_string(list_transform(a.l, lambda x: '{START}' || replace(coalesce(x.r, ''), '<|', '< |') || chr(10)

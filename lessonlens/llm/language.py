@@ -53,7 +53,7 @@ def letters() -> np.ndarray:
     """For every code point: 1 if it is a letter."""
     if not _CLASS:
         _CLASS.append(np.array([chr(c).isalpha() if not 0xD800 <= c < 0xE000 else False
-                                for c in range(0x30000)], dtype=bool))
+                                for c in range(0x110000)], dtype=bool))
     return _CLASS[0]
 
 
@@ -62,7 +62,7 @@ def grams(text: str | None) -> np.ndarray:
     if not text:
         return np.zeros(0, dtype=np.int64)
     points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    is_letter = letters()[np.minimum(points, 0x2FFFF)]
+    is_letter = letters()[points]
     if not is_letter.any():
         return np.zeros(0, dtype=np.int64)
     keep = is_letter.copy()

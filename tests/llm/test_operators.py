@@ -318,6 +318,13 @@ def test_repeated_partial_rules_in_linear_time(llm):
 
 # ---- language
 
+def test_letters_of_all_planes():
+    for text in ("\U00030000", "\U000323AF", "\U0002A6D6", "ß", "你"):
+        assert text.isalpha() and len(language.grams(text))
+    for text in ("\U000E0001", "\U0010FFFD", "123 !", "\U0001F600"):
+        assert not len(language.grams(text))
+
+
 def test_language(documents, odd):
     got = language.identify(documents).collect()
     lang = {r.doc_id: r.lang for r in documents.collect()}
@@ -421,6 +428,43 @@ def test_chat(llm):
     assert chat.rendered(frame.limit(0)).collect() == []
 
 
+def plain_chats(turns):
+    """Every log against every other; equal turns in the order of their hashes do not matter here."""
+    logs = defaultdict(list)
+    for k, (c, t, role, text) in enumerate(turns):
+        logs[(c, None) if c is not None else (None, k)].append((t is not None, t, role, text))
+    whole = {k: tuple(x[2:] for x in sorted(v, key=lambda x: x[:2])) for k, v in logs.items()}
+    out = []
+    for chat_ in set(whole.values()):
+        if not any(len(o) > len(chat_) and o[:len(chat_)] == chat_ for o in whole.values()):
+            ids = [k[0] for k, v in whole.items() if v == chat_]
+            out.append((min((i for i in ids if i is not None), default=None), len(chat_), len(ids)))
+    return sorted(out, key=repr)
+
+
+def test_chats_without_an_id_repeated_rows_and_ties(llm):
+    rng = random.Random(6)
+    turns = [(c, t, "user" if t % 2 == 0 else "bot", rng.choice("abc")) for c in range(60) for t in range(rng.randrange(1, 5))]
+    turns += [(None, rng.choice([0, None, 3]), rng.choice(["user", "bot", None]), rng.choice(["a", "b", None, "lone"])) for _ in range(80)]
+    turns += [(90, 0, "user", "same"), (90, 0, "user", "same"), (91, 0, "user", "same"), (91, 0, "user", "same"), (91, 1, "bot", "x")]
+    frame = llm.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    got = chat.rendered(frame).collect()
+    assert sorted(((r.conv_id, r.n_turns, r.n_copies) for r in got), key=repr) == plain_chats(turns)
+    lone = [r.chat for r in got if r.conv_id is None]
+    assert len(set(lone)) == len(lone) and all(x.count("<|im_start|>") == 1 for x in lone)
+    import duckdb
+
+    conversations = frame.toArrow()  # noqa: F841  read by DuckDB
+    assert rows(chat.rendered(frame), "conv_id", "n_turns", "n_copies", "chat") == sorted(duckdb.sql(chat.ORACLE).fetchall(), key=repr)
+
+
+def test_repeated_conversations_of_tied_turns(llm):
+    """Ties of one turn are ordered alike in equal logs."""
+    turns = [(c, 0, "user", x) for c in (1, 2) for x in (("p", "q") if c == 1 else ("q", "p"))]
+    got = chat.rendered(llm.createDataFrame(turns, "conv_id long, turn long, role string, text string")).collect()
+    assert [(r.conv_id, r.n_turns, r.n_copies) for r in got] == [(1, 2, 2)]
+
+
 # ---- perplexity
 
 def plain_counts(text):
