@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
 import tempfile
 import uuid
 from pathlib import Path
@@ -25,7 +28,10 @@ def prepare(spark: SparkSession) -> SparkSession:
     shared_dir(spark)
     # Python workers of a local session import the package from where the driver has it; on a
     # cluster it is installed or sent along (--py-files).
-    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
     return spark
 
 
@@ -36,6 +42,7 @@ def shared_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder")
         named = tempfile.mkdtemp(prefix="llm-checkpoints-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)      # ours alone: a local run's scratch
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(named)
     return named or sc.getCheckpointDir()

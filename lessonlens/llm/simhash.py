@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from lessonlens.llm.common import batch_of, components, stored
 
 SEED = 42
-SAMPLE_ROWS = 1 << 16   # most fingerprints the driver reads to fit the tree's upper levels
+SAMPLE_ROWS = 1 << 20   # most fingerprints the driver reads (8 MB) to fit the tree's upper levels, 16 a shard
 SHARD_ROWS = 4096       # fingerprints a shard should be home to
 LEAF_ROWS = 96          # below this, compare all
 
