@@ -30,6 +30,8 @@ from lessonlens.sources.base import read_base
 
 SOFT_DELETE_TS = "2002-01-01 00:00:00"
 QUESTION_CREATED_TS = "2001-01-01 00:00:00"
+# Day of a row's last change, in tables that are laid out by it.
+CHANGED_DAY = "changed_day"
 
 
 def _ts(text: str) -> Column:

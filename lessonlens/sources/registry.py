@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ByteType, DataType, DateType, DecimalType, DoubleType, FloatType, IntegerType,
                                LongType, ShortType, StringType, StructType, TimestampNTZType, TimestampType)
 
-from lessonlens.sources.fixtures import TABLES, Sources
+from lessonlens.sources.fixtures import CHANGED_DAY, TABLES, Sources
 
 # Declared schemas of the source tables.
 SCHEMAS: dict[str, str] = {
@@ -105,7 +105,9 @@ class SourceError(ValueError):
 class Location:
     """``table`` (of the catalogue) or ``path`` with ``format`` and reader ``options``; ``columns``: stored name by
     declared name, where they differ; ``absent``: declared columns the store does not have (read as NULL);
-    ``collate``: collation by declared text column, with which it then compares and joins."""
+    ``collate``: collation by declared text column, with which it then compares and joins; ``day``: stored column
+    (a partition column, for it to help) with the day of a row's last change, neither before its
+    ``created_at`` nor its ``updated_at``: change scans then read the days from their cutoff on."""
     table: str | None = None
     path: str | None = None
     format: str = "parquet"
@@ -113,6 +115,7 @@ class Location:
     columns: dict[str, str] = field(default_factory=dict)
     absent: tuple[str, ...] = ()
     collate: dict[str, str] = field(default_factory=dict)
+    day: str | None = None
 
 
 def declared(name: str) -> StructType:
@@ -149,6 +152,8 @@ def load(spark: SparkSession, name: str, at: Location) -> DataFrame:
     raw = spark.table(at.table) if at.table else spark.read.format(at.format).options(**at.options).load(at.path)
     there = {f.name.lower(): f for f in raw.schema.fields}
     stored = {c: at.columns.get(c, c) for c in schema.fieldNames() if c not in at.absent}
+    if at.day is not None and at.day.lower() not in there:
+        raise SourceError(f"{name}: {where} has no {at.day}; it has {', '.join(raw.columns)}")
     missing = [f"{c} (as {s})" if s != c else c for c, s in stored.items() if s.lower() not in there]
     if missing:
         raise SourceError(f"{name}: {where} has no {', '.join(missing)}; it has {', '.join(raw.columns)}")
@@ -163,9 +168,20 @@ def load(spark: SparkSession, name: str, at: Location) -> DataFrame:
         if f.name in at.collate:
             value = F.collate(value, at.collate[f.name])
         out.append(value.alias(f.name))
+    if at.day is not None:
+        out.append(raw[there[at.day.lower()].name].cast("date").alias(CHANGED_DAY))
     return raw.select(*out)
 
 
+def write_by_day(df: DataFrame, path: str) -> Location:
+    """Files of ``df`` (with ``created_at`` and ``updated_at``) laid out by the day of the last change, one directory a
+    day; days that hold much are split over files."""
+    changed = F.greatest("created_at", "updated_at").cast("date")        # of one alone if the other is NULL
+    (df.withColumn("day", changed).hint("rebalance", "day")
+     .write.mode("overwrite").partitionBy("day").parquet(path))
+    return Location(path=path, day="day")
+
+
 def locations(spark: SparkSession, path: str) -> dict[str, Location]:
     """Locations from a JSON file, by table: the fields of :class:`Location`.  Read by Spark, so the file may
     lie wherever the tables lie."""

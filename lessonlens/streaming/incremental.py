@@ -23,7 +23,7 @@ from lessonlens import config as C
 from lessonlens.functions.columns import is_active, is_inactive
 from lessonlens.plans.products import Pipeline
 from lessonlens.session import ensure_checkpoint_dir
-from lessonlens.sources.fixtures import Sources
+from lessonlens.sources.fixtures import CHANGED_DAY, Sources
 from lessonlens.sources.versions import VersionedTable
 
 _DATE = re.compile(r"^\d{4}-\d{2}-\d{2}$")
@@ -79,8 +79,12 @@ def cutoff_literal(since: str | None = None, days: int | None = None,
 
 
 def _since(df: DataFrame, cutoff: str, *cols: str) -> DataFrame:
-    """Rows with any of ``cols`` >= cutoff (a literal, pushed into the scan)."""
+    """Rows with any of ``cols`` >= cutoff (a literal, pushed into the scan).  A table laid out by the day of
+    the last change is read from the cutoff's day on: earlier directories are not listed."""
     cut = F.to_timestamp_ntz(F.lit(cutoff))
+    if CHANGED_DAY in df.columns:
+        # a row without any time has no day and cannot pass
+        df = df.where(F.col(CHANGED_DAY) >= F.lit(cutoff[:10]).cast("date"))
     cond = None
     for name in cols:
         term = F.col(name) >= cut

@@ -130,6 +130,24 @@ def test_changed_tables_are_read_anew(spark):
     assert catalog.stored_snapshot(catalog.pipeline(spark, SF_SMALL)).count() == old
 
 
+def test_change_scans_read_the_days_from_their_cutoff_on(spark, sources):
+    from lessonlens.streaming import incremental as INC
+
+    root = tempfile.mkdtemp(prefix="ll-days-")
+    src, plain = fixtures.Sources(spark, SF_SMALL), fixtures.Sources(spark, SF_SMALL)
+    for name in fixtures.TABLES:
+        src.__dict__[name] = plain.__dict__[name] = getattr(sources, name)
+    log = sources.learning_activities.where("greatest(created_at, updated_at) > '2001-06-20' or created_at is null").coalesce(1)
+    plain.__dict__["learning_activities"] = log
+    src.__dict__["learning_activities"] = registry.load(spark, "learning_activities", registry.write_by_day(log, f"{root}/log"))
+    assert src.learning_activities.select(fixtures.CHANGED_DAY).distinct().count() > 5
+    for cutoff in ("1970-01-01 00:00:00", "2001-07-15 12:30:00", "2100-01-01 00:00:00"):
+        assert rows(INC.changed_users(src, cutoff)) == rows(INC.changed_users(plain, cutoff))
+    late = INC._since(src.learning_activities, "2001-07-15 00:00:00", "created_at", "updated_at")
+    assert "PartitionFilters: [isnotnull(day" in late._jdf.queryExecution().executedPlan().toString()
+    assert rows(src.learning_activities.drop(fixtures.CHANGED_DAY)) == rows(log)
+
+
 # ---- JSON text
 
 def test_json_text(spark):
