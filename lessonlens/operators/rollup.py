@@ -83,24 +83,49 @@ def subject_stats(merged: DataFrame) -> DataFrame:
                  F.sum(done("duration")).cast("bigint").alias("total_duration")))
 
 
+_LESSON_COLUMNS = {"lesson_id": "bigint", "lesson_name": "string", "lesson_order": "int",
+                   "lesson_type": "string", "is_assessment": "int", "toolkit_type": "string",
+                   "score": "decimal(10,2)", "rating": "decimal(10,2)", "duration": "bigint"}
+
+
+def _first_of_subject():
+    """Rank of a row within its user and subject, by subject order, then lesson id."""
+    return F.row_number().over(Window.partitionBy("user_id", "subject_id").orderBy(
+        F.col("subject_order").asc_nulls_first(), F.col("lesson_id").asc_nulls_first()))
+
+
+def _with_totals(rows: DataFrame) -> DataFrame:
+    """Every row with its user's and subject's totals.
+
+    The subject's sums come first: rows sorted by user and subject serve the user's sums as they
+    are, so both windows share one sort of the fan-out.
+    """
+    def sums(w, conditions):
+        return {name: F.sum(F.when(c, 1).otherwise(0)).over(w).cast("bigint") for name, c in conditions.items()}
+
+    kinds = {"allocated": F.lit(True), "lessons_allocated": _lesson(), "assessments_allocated": _assess(),
+             "completed": _done(), "lessons_completed": _done() & _lesson(),
+             "assessments_completed": _done() & _assess()}
+    of_subject = {"subj_total_" + k if "_" not in k else "subj_" + k: c for k, c in kinds.items()}
+    of_user = {"total_" + k: c for k, c in kinds.items()}
+    return (rows.withColumns(sums(Window.partitionBy("user_id", "subject_id"), of_subject))
+            .withColumns(sums(Window.partitionBy("user_id"), of_user))
+            .withColumn("completion_pct", pct("total_completed", "total_allocated")))
+
+
 def completed_rows(merged: DataFrame) -> DataFrame:
-    """J4 (C16): completed rows with user and subject totals attached (window sums)."""
-    wu = Window.partitionBy("user_id")
-    ws = Window.partitionBy("user_id", "subject_id")
-    m = merged
-    for name, cond, w in [
-        ("total_allocated", F.lit(True), wu), ("total_lessons_allocated", _lesson(), wu),
-        ("total_assessments_allocated", _assess(), wu), ("total_completed", _done(), wu),
-        ("total_lessons_completed", _done() & _lesson(), wu),
-        ("total_assessments_completed", _done() & _assess(), wu),
-        ("subj_total_allocated", F.lit(True), ws), ("subj_lessons_allocated", _lesson(), ws),
-        ("subj_assessments_allocated", _assess(), ws), ("subj_total_completed", _done(), ws),
-        ("subj_lessons_completed", _done() & _lesson(), ws),
-        ("subj_assessments_completed", _done() & _assess(), ws),
-    ]:
-        m = m.withColumn(name, F.sum(F.when(cond, 1).otherwise(0)).over(w).cast("bigint"))
-    m = m.withColumn("completion_pct", pct("total_completed", "total_allocated"))
-    return m.where(_done())
+    """J4 (C16): completed rows with user and subject totals attached."""
+    return _with_totals(merged).where(_done())
+
+
+def lesson_output(merged: DataFrame) -> DataFrame:
+    """The completed rows, and for users with nothing completed one placeholder row per
+    subject, in one pass over the user x lesson rows."""
+    rows = _with_totals(merged.withColumn("_rank", _first_of_subject()))
+    placeholder = (F.col("total_completed") == 0) & (F.col("_rank") == 1)
+    return (rows.where(_done() | placeholder)
+            .withColumns({c: F.when(_done(), F.col(c).cast(t)) for c, t in _LESSON_COLUMNS.items()})
+            .drop("_rank"))
 
 
 def zero_completion_rows(merged: DataFrame) -> DataFrame:
@@ -109,19 +134,12 @@ def zero_completion_rows(merged: DataFrame) -> DataFrame:
     The first row by subject order (then lesson id) carries the subject's
     attributes; lesson-level columns are NULL.
     """
-    wu = Window.partitionBy("user_id")
-    w = Window.partitionBy("user_id", "subject_id").orderBy(
-        F.col("subject_order").asc_nulls_first(), F.col("lesson_id").asc_nulls_first())
-    z = (merged.withColumn("_done", F.sum("completed").over(wu))
+    z = (merged.withColumn("_done", F.sum("completed").over(Window.partitionBy("user_id")))
          .where(F.col("_done") == 0)
-         .withColumn("_rn", F.row_number().over(w)))
-    lesson_cols = {"lesson_id": "bigint", "lesson_name": "string", "lesson_order": "int",
-                   "lesson_type": "string", "is_assessment": "int", "toolkit_type": "string",
-                   "score": "decimal(10,2)", "rating": "decimal(10,2)", "duration": "bigint"}
-    z = z.where(F.col("_rn") == 1)
-    for c, t in lesson_cols.items():
-        z = z.withColumn(c, F.lit(None).cast(t))
-    return z.drop("_done", "_rn")
+         .withColumn("_rank", _first_of_subject())
+         .where(F.col("_rank") == 1))
+    return (z.withColumns({c: F.lit(None).cast(t) for c, t in _LESSON_COLUMNS.items()})
+            .drop("_done", "_rank"))
 
 
 def subject_combos(merged: DataFrame) -> DataFrame:

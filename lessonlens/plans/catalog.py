@@ -226,10 +226,7 @@ def q_zero_completion_rows(spark, sf):
 
 @register("lesson_output")
 def q_lesson_output(spark, sf):
-    m = pipeline(spark, sf).merged
-    return (R.completed_rows(m).select("user_id", "subject_id", "lesson_id", "completed")
-            .unionByName(R.zero_completion_rows(m).select("user_id", "subject_id", "lesson_id",
-                                                          "completed")))
+    return R.lesson_output(pipeline(spark, sf).merged).select("user_id", "subject_id", "lesson_id", "completed")
 
 
 @register("subject_output")
