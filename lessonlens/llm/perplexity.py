@@ -2,11 +2,14 @@
 
 A character model of order ``ORDER`` with modified Kneser-Ney smoothing is counted by Spark
 over all documents, over every character (UTF-16 unit: a code point beyond 0xFFFF counts as its
-two).  An n-gram is the 64 bits of its four units; each order is a table of n-grams with their counts
-and those of their contexts, in the shared folder, and grows with the corpus.  Scoring is in two
-parts, with the same probabilities: n-grams of the ``ALPHABET - 2`` most frequent units and the
-ends of texts, of which there are at most ``ALPHABET ** ORDER``, are read from a table that each worker
-expands once; a text's other n-grams are counted and joined to the table of all of them.
+two).  An n-gram is the 64 bits of its four units; each order is a table of n-grams with their
+counts and those of their contexts, in the shared folder, and grows with the corpus.
+
+For scoring, the n-grams of the highest order lie in arrays sorted by a one-to-one hash of their bits, with
+their negative log-probabilities beside them; the leading bits of a hash give the place where to look.
+Every worker holds those of the most frequent n-grams, ``BROADCAST_GRAMS`` of them at most.  A text's n-grams
+that are not among them are counted and joined to the table of all the others: every n-gram of a text
+has its probability of the one model, wherever it is kept.
 
 A document is rejected by the base rules, or if its log-perplexity leaves the band of its
 language.  A band reaches ``REACH`` interquartile ranges beyond the quartiles of the documents
@@ -28,29 +31,27 @@ Defined cases
 
 from __future__ import annotations
 
-import functools
-import operator
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast, TaskContext
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lessonlens.llm.common import batch_of, stored
+from lessonlens.llm.suffixes import mixed
 
 ORDER = 4
-ALPHABET = 48            # of the expanded table
-END, OTHER = 0, 1        # symbols of the ends of a text and of units outside the expanded table; END is a unit too
+END = 0                  # the unit that stands before and after every text
 REACH = 3.0
 LEAST = 0.12
 NOISE = 1.0              # added: this over the root of the number of characters, for short texts
-CHUNK = 1 << 21          # n-grams counted at a time
+CHUNK = 1 << 20          # n-grams looked at together
+HELD_COUNTS = 1 << 22    # different n-grams a task counts before it sends them
 UNITS = 1 << 16
-BROADCAST_GRAMS = 500_000
+BROADCAST_GRAMS = 1_000_000      # 12 bytes each and 8 to 16 for their places
 
 # Fixed values of the base rules.
 SYMBOLS = np.frombuffer(b"#*$%&|<>", dtype=np.uint8)
@@ -72,97 +73,61 @@ def folded(point: np.ndarray) -> np.ndarray:
 FOLD = folded(np.arange(UNITS)).astype(np.uint16)
 
 
-def alphabet(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
-    """Symbol of every folded unit, the unit of every symbol (by frequency in the whole corpus), and how
-    many different units there are, the end with them."""
-    out = pa.schema([("point", pa.int64()), ("n", pa.int64())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(UNITS, dtype=np.int64)
-        for b in batches:
-            for t in b.column(0).to_pylist():
-                if t:
-                    n = np.bincount(units(t))
-                    total[:len(n)] += n
-        some = np.flatnonzero(total)
-        yield batch_of(out, [FOLD[some], total[some]])
-
-    found = (docs.select("text").mapInArrow(run, "point long, n long").groupBy("point").agg(F.sum("n").alias("n"))
-             .orderBy(F.desc("n"), "point").collect())       # at most UNITS rows
-    top = np.array([END, END, *(r["point"] for r in found[:ALPHABET - 2])], dtype=np.uint16)
-    symbol = np.full(UNITS, OTHER, dtype=np.uint8)
-    symbol[top] = np.arange(len(top))
-    symbol[END] = END
-    return symbol, top, len(found) + 1
-
-
-def codes(text: str | None, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The n-grams that end at each character of a text and at its end: codes of those in the
-    expanded table, and the units of the others."""
-    if not text:
-        return np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.uint64)
-    u = np.concatenate([np.full(ORDER - 1, END, np.uint16), FOLD[units(text)], np.full(1, END, np.uint16)])
-    s = symbol[u].astype(np.uint32)
-    n = len(s) - ORDER + 1
-    code = s[:n].copy()
-    for k in range(1, ORDER):
-        code *= ALPHABET
-        code += s[k:k + n]
-    rare = s == OTHER
-    if not rare.any():
-        return code, np.zeros(0, dtype=np.uint64)
-    odd = np.logical_or.reduce([rare[k:k + n] for k in range(ORDER)])
-    at = np.flatnonzero(odd)
-    return code[~odd], packed([u[at + k] for k in range(ORDER)])
-
-
-def packed(parts: list[np.ndarray]) -> np.ndarray:
-    code = np.zeros(len(parts[0]), dtype=np.uint64)
-    for x in parts:
-        code = (code << np.uint64(16)) | x.astype(np.uint64)
-    return code
-
-
-def count_grams(docs: DataFrame, symbol: Broadcast, top: np.ndarray) -> DataFrame:
+def packed(u: np.ndarray) -> np.ndarray:
+    """The n-grams of neighbouring units, 64 bits each."""
+    pairs = u[:-1].astype(np.uint64) << np.uint64(16) | u[1:]
+    return pairs[:-2] << np.uint64(32) | pairs[2:]
+
+
+def gram_chunks(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The n-grams that end at each character of the texts and at their ends, in chunks: the place of the
+    text of each part, the part's number of n-grams, and the n-grams of all parts.  A long text is cut into
+    parts from its beginning, whatever stands before it."""
+    of, size, parts, waiting = [], [], [], 0
+    for k, t in enumerate(texts):
+        if not t:
+            continue
+        u = np.concatenate([np.full(ORDER - 1, END, np.uint16), FOLD[units(t)], np.full(1, END, np.uint16)])
+        for at in range(0, len(u) - ORDER + 1, CHUNK):
+            part = packed(u[at:at + CHUNK + ORDER - 1])
+            of.append(k)
+            size.append(len(part))
+            parts.append(part)
+            waiting += len(part)
+            if waiting >= CHUNK:
+                yield np.array(of), np.array(size), np.concatenate(parts)
+                of, size, parts, waiting = [], [], [], 0
+    if parts:
+        yield np.array(of), np.array(size), np.concatenate(parts)
+
+
+def added(code: np.ndarray, n: np.ndarray, more: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two lists of counts, each in ascending order, as one."""
+    both, counts = np.concatenate([code, more]), np.concatenate([n, k])
+    order = np.argsort(both, kind="stable")
+    both, counts = both[order], counts[order]
+    new = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
+    return both[new], np.add.reduceat(counts, new)
+
+
+def count_grams(docs: DataFrame) -> DataFrame:
     """``code`` (64 bits), ``n`` of every n-gram of the corpus."""
     out = pa.schema([("code", pa.int64()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(ALPHABET ** ORDER, dtype=np.int64)
-        waiting, size = [], 0
-
-        def count() -> pa.RecordBatch:
-            nonlocal total
-            total += np.bincount(np.concatenate([x for x, _ in waiting]), minlength=len(total))
-            odd, n = np.unique(np.concatenate([x for _, x in waiting]), return_counts=True)
-            return batch_of(out, [odd.view(np.int64), n])
-
+        nothing = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        code, n = nothing
         for b in batches:
-            for t in b.column(0).to_pylist():
-                waiting.append(codes(t, symbol.value))
-                size += len(waiting[-1][0]) + len(waiting[-1][1])
-                if size >= CHUNK:
-                    yield count()
-                    waiting, size = [], 0
-        if waiting:
-            yield count()
-        some = np.flatnonzero(total)
-        parts = [top[some // ALPHABET ** k % ALPHABET] for k in range(ORDER - 1, -1, -1)]
-        yield batch_of(out, [packed(parts).view(np.int64), total[some]])
+            for _, _, some in gram_chunks(b.column(0).to_pylist()):
+                code, n = added(code, n, *np.unique(some, return_counts=True))
+                if len(code) >= HELD_COUNTS:
+                    yield batch_of(out, [code.view(np.int64), n])
+                    code, n = nothing
+        yield batch_of(out, [code.view(np.int64), n])
 
     return docs.select("text").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
 
-@dataclass
-class Level:
-    """One order of the model: n-gram codes in ascending order with the discounted share of each,
-    and context codes in ascending order with the weight of the next lower order."""
-    gram: np.ndarray
-    share: np.ndarray
-    context: np.ndarray
-    backoff: np.ndarray
-
-
 def discounts(n: np.ndarray) -> np.ndarray:
     """Modified Kneser-Ney discounts of counts 1, 2 and 3 or more."""
     return discounts_of([int((n == k).sum()) for k in (1, 2, 3, 4)])
@@ -177,79 +142,88 @@ def discounts_of(have: list[int]) -> np.ndarray:
     return np.array([0.0, *(min(max(x, 0.05), k - 0.05) for k, x in zip((1, 2, 3), d))])
 
 
-def smoothed(code: np.ndarray, n: np.ndarray) -> list[Level]:
-    """Levels from the highest order down, of n-grams ``code`` (ascending) counted ``n`` times.
-    Lower orders count in how many contexts an n-gram was seen.  In memory, what ``model`` does in tables."""
-    levels = []
-    for order in range(ORDER, 0, -1):
-        d = discounts(n)
-        cut = d[np.minimum(n, 3)]
-        context, where = np.unique(code // ALPHABET, return_inverse=True)
-        total = np.bincount(where, n)
-        levels.append(Level(code.astype(np.uint32), ((n - cut) / total[where]).astype(np.float32),
-                            context.astype(np.uint32), (np.bincount(where, cut) / total).astype(np.float32)))
-        code, n = np.unique(code % ALPHABET ** (order - 1), return_counts=True)
-    return levels
-
-
-def model(grams: DataFrame, n_units: int, top: np.ndarray) -> tuple[list[Level], DataFrame]:
-    """Levels of the n-grams of the ``top`` units only, and ``code``, ``nll`` (negative log-probability
-    of the last unit) of all other n-grams, from the whole table of counts."""
-    def all_top(code, order: int):
-        units_of = [F.shiftrightunsigned(code, 16 * k).bitwiseAND(F.lit(UNITS - 1)) for k in range(order)]
-        return functools.reduce(operator.and_, [u.isin(*sorted({END, *top.tolist()})) for u in units_of], F.lit(True))
+def suffix_of(code, order: int):
+    """The n-gram without its first unit."""
+    return F.col(code).bitwiseAND(F.lit((1 << 16 * (order - 1)) - 1))
 
-    def dense(code: np.ndarray, order: int) -> np.ndarray:
-        symbol = np.zeros(UNITS, dtype=np.uint32)
-        symbol[top] = np.arange(len(top))
-        symbol[END] = END
-        x = np.zeros(len(code), dtype=np.uint32)
-        for k in range(order - 1, -1, -1):
-            x = x * ALPHABET + symbol[(code.view(np.uint64) >> np.uint64(16 * k)).astype(np.uint64) & np.uint64(UNITS - 1)]
-        return x
 
-    tables, levels, counted = [], [], grams
+def smoothed(grams: DataFrame) -> list[DataFrame]:
+    """The model's orders from the highest down: ``code``, ``n``, the discounted ``share`` of the n-gram in
+    its context, and the context's ``backoff``, the weight of the next lower order.  Lower orders count in
+    how many contexts an n-gram was seen."""
+    levels, counted = [], grams
     for order in range(ORDER, 0, -1):
         counted = stored(counted)
         d = discounts_of(list(counted.agg(*[F.count_if(F.col("n") == k) for k in (1, 2, 3, 4)]).first())).tolist()
         cut = F.element_at(F.array(*map(F.lit, d[1:])), F.least(F.col("n"), F.lit(3)).cast("int"))
         rows = counted.withColumns({"context": F.shiftrightunsigned("code", 16), "cut": cut})
-        context = stored(rows.groupBy("context").agg(F.sum("n").alias("total"), F.sum("cut").alias("left")))
-        rows = stored(rows.join(context, "context").select(
-            "code", "context", ((F.col("n") - F.col("cut")) / F.col("total")).alias("share"),
-            (F.col("left") / F.col("total")).alias("backoff")))
-        tables.append(rows)
-        g = rows.where(all_top(F.col("code"), order)).select("code", "share").toArrow()
-        c = context.where(all_top(F.col("context"), order - 1)).select(
-            "context", (F.col("left") / F.col("total")).alias("backoff")).toArrow()
-        levels.append(Level(dense(g.column(0).to_numpy(), order), g.column(1).to_numpy().astype(np.float32),
-                            dense(c.column(0).to_numpy(), order - 1), c.column(1).to_numpy().astype(np.float32)))
-        suffix = F.col("code").bitwiseAND(F.lit((1 << 16 * (order - 1)) - 1))
-        counted = counted.groupBy(suffix.alias("code")).agg(F.count("*").alias("n"))
+        context = rows.groupBy("context").agg(F.sum("n").alias("total"), F.sum("cut").alias("left"))
+        levels.append(stored(rows.join(context, "context").select(
+            "code", "n", ((F.col("n") - F.col("cut")) / F.col("total")).alias("share"),
+            (F.col("left") / F.col("total")).alias("backoff"))))
+        counted = counted.groupBy(suffix_of("code", order).alias("code")).agg(F.count("*").alias("n"))
+    return levels
+
+
+def model(grams: DataFrame) -> DataFrame:
+    """``code``, ``n``, ``nll`` (negative log-probability of the last unit) of every n-gram.  The lowest order
+    leaves the rest to an even share of all units."""
+    levels = smoothed(grams)
     p = None
-    for order, rows in enumerate(reversed(tables), start=1):
-        if order == ORDER:
-            rows = rows.where(~all_top(F.col("code"), order))
-        lower = F.lit(1.0 / n_units)
-        if p is not None:
-            rows = rows.withColumn("suffix", F.col("code").bitwiseAND(F.lit((1 << 16 * (order - 1)) - 1))).join(p, "suffix")
+    for order, rows in enumerate(reversed(levels), start=1):
+        if p is None:
+            lower = F.lit(1.0 / max(1, rows.count()))        # a row for each unit
+        else:
+            rows = rows.withColumn("suffix", suffix_of("code", order)).join(p.drop("n"), "suffix")
             lower = F.col("p")
-        p = rows.select(F.col("code").alias("suffix"), (F.col("share") + F.col("backoff") * lower).alias("p"))
-    return levels, stored(p.select(F.col("suffix").alias("code"), (-F.log(F.greatest("p", F.lit(1e-12)))).alias("nll")))
+        p = rows.select(F.col("code").alias("suffix"), "n", (F.col("share") + F.col("backoff") * lower).alias("p"))
+    return stored(p.select(F.col("suffix").alias("code"), "n", (-F.log(F.greatest("p", F.lit(1e-12)))).alias("nll")))
 
 
-def expanded(levels: list[Level], n_units: int = ALPHABET) -> np.ndarray:
-    """Negative log-probability of the last symbol, by n-gram code.  A context never seen leaves
-    all to the next lower order, the lowest to an even share of ``n_units``."""
-    p = np.full(1, 1.0 / n_units, dtype=np.float32)
-    for order, level in enumerate(reversed(levels), start=1):
-        weight = np.ones(ALPHABET ** (order - 1), dtype=np.float32)
-        weight[level.context] = level.backoff
-        lower = p if order > 1 else np.full(ALPHABET, p[0], dtype=np.float32)
-        suffixes = len(lower) // ALPHABET                     # contexts of the next lower order
-        p = (weight.reshape(-1, suffixes, 1) * lower.reshape(1, suffixes, ALPHABET)).ravel()
-        p[level.gram] += level.share
-    return -np.log(np.maximum(p, 1e-12))
+@dataclass
+class HashArrays:
+    """N-grams as ascending hashes (the last stands for none) with their values; ``first`` is the place of
+    the first hash that is not below the given leading bits."""
+    key: np.ndarray
+    value: np.ndarray
+    first: np.ndarray
+    shift: int
+
+    @classmethod
+    def of(cls, code: np.ndarray, value: np.ndarray) -> HashArrays:
+        h = mixed(code)                 # one to one: different n-grams have different hashes
+        o = np.argsort(h)
+        bits = max(1, int(len(h)).bit_length())
+        shift = 64 - bits
+        leading = np.arange(1 << bits, dtype=np.uint64) << np.uint64(shift)
+        key = np.append(h[o], np.uint64(2 ** 64 - 1))
+        return cls(key, np.append(value[o], 0).astype(np.float32), np.searchsorted(key, leading).astype(np.int32), shift)
+
+    def find(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Value of each n-gram (0 if it is not here), and whether it is here."""
+        h = mixed(code)
+        at = self.first[h >> np.uint64(self.shift)]
+        later = np.flatnonzero(self.key[at] < h)
+        while len(later):
+            at[later] += 1
+            later = later[self.key[at[later]] < h[later]]
+        here = (self.key[at] == h) & (at < len(self.key) - 1)
+        return np.where(here, self.value[at], np.float32(0)), here
+
+
+def divided(table: DataFrame) -> tuple[HashArrays, DataFrame]:
+    """The most frequent n-grams as arrays, at most ``BROADCAST_GRAMS``, and the table of all others."""
+    digits = F.length(F.bin("n"))       # binary digits of the count
+    sizes = table.groupBy(digits.alias("digits")).count().orderBy(F.desc("digits")).collect()      # 64 rows at most
+    least, total = 65, 0
+    for digit, count in sizes:
+        total += count
+        if total > BROADCAST_GRAMS:
+            break
+        least = digit
+    held = table.where(digits >= least).select("code", "nll").toArrow()
+    arrays = HashArrays.of(held.column(0).to_numpy().view(np.uint64), held.column(1).to_numpy())
+    return arrays, table.where(digits < least).select("code", "nll")
 
 
 def base_counts(text: str | None) -> tuple[int, int, int, int, int]:
@@ -282,50 +256,50 @@ def repeated(words: list[bytes]) -> int:
     return int(covered.sum())
 
 
-_TABLE: dict[str, np.ndarray] = {}     # a worker's expanded table
+def lists(row: np.ndarray, values: np.ndarray, rows: int) -> pa.ListArray:
+    """Values with their rows (ascending) as a list for each of so many rows."""
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(rows + 1)).astype(np.int32)), pa.array(values))
 
 
-def table_of(key: str, levels: Broadcast, n_units: int) -> np.ndarray:
-    if key not in _TABLE:
-        _TABLE.clear()
-        _TABLE[key] = expanded(levels.value, n_units)
-    return _TABLE[key]
+def score(texts: list[str | None], held: HashArrays) -> list:
+    """For each text: how many n-grams it has, the sum of the values of those in ``held``, and the others
+    with their counts."""
+    n_grams, nll = np.zeros(len(texts), np.int64), np.zeros(len(texts))
+    rest = [(np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+    for of, size, code in gram_chunks(texts):
+        value, here = held.find(code)
+        np.add.at(n_grams, of, size)
+        np.add.at(nll, of, np.add.reduceat(value.astype(np.float64), np.cumsum(size) - size))
+        if not here.all():
+            row, code = np.repeat(of, size)[~here], code[~here]
+            o = np.lexsort((code, row))
+            row, code = row[o], code[o]
+            new = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (code[1:] != code[:-1])]))
+            rest.append((row[new], code[new], np.diff(np.append(new, len(row)))))
+    row, code, n = (np.concatenate(x) for x in zip(*rest))
+    return [n_grams, nll, lists(row, code.view(np.int64), len(texts)), lists(row, n, len(texts))]
 
 
 def measure(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``lang``, the base counts, ``log_ppl`` (null without text) of every row, by the model
     of all of them."""
-    sc = docs.sparkSession.sparkContext
-    symbol, top, n_units = alphabet(docs)
-    shared_symbol = sc.broadcast(symbol)
-    levels, others = model(count_grams(docs, shared_symbol, top), n_units, top)
-    shared_levels = sc.broadcast(levels)     # bounded by the alphabet of the expanded table
-    key = uuid.uuid4().hex                   # of these counts: another call has another table
+    arrays, others = divided(model(count_grams(docs)))
+    held = docs.sparkSession.sparkContext.broadcast(arrays)     # at most BROADCAST_GRAMS n-grams
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     out = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("lang", pa.string()), *((k, pa.int64()) for k in names),
                      ("n_grams", pa.int64()), ("nll", pa.float64()), ("odd", pa.list_(pa.int64())), ("odd_n", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, row = table_of(key, shared_levels, n_units), TaskContext.get().partitionId() << 40
+        row = TaskContext.get().partitionId() << 40
         for b in batches:
             texts = b.column(1).to_pylist()
             counts = np.array([base_counts(t) for t in texts], dtype=np.int64).reshape(-1, len(names))
-            n_grams, nll, odd, odd_n = [], [], [], []
-            for t in texts:
-                code, others = codes(t, shared_symbol.value)
-                n_grams.append(len(code) + len(others))
-                nll.append(float(table[code].sum(dtype=np.float64)))
-                unique, n = np.unique(others, return_counts=True)
-                odd.append(unique.view(np.int64))
-                odd_n.append(n)
-            yield batch_of(out, [np.arange(row, row + len(b)), b.column(0), b.column(2), *counts.T, n_grams, nll, odd, odd_n])
+            yield batch_of(out, [np.arange(row, row + len(b)), b.column(0), b.column(2), *counts.T, *score(texts, held.value)])
             row += len(b)
 
     measured = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").mapInArrow(
         run, "row long, doc_id long, lang string, " + ", ".join(f"{k} long" for k in names)
         + ", n_grams long, nll double, odd array<long>, odd_n array<long>"))
-    if others.count() <= BROADCAST_GRAMS:
-        others = F.broadcast(others)
     odd = (measured.where(F.size("odd") > 0).select("row", F.explode(F.arrays_zip("odd", "odd_n")).alias("g"))
            .select("row", F.col("g.odd").alias("code"), F.col("g.odd_n").alias("k")))
     odd = odd.join(others.withColumnRenamed("nll", "each"), "code").groupBy("row").agg(F.sum(F.col("k") * F.col("each")).alias("more"))

@@ -486,11 +486,51 @@ def test_base_rules(documents, odd):
     assert perplexity.rules(odd).count() == odd.count()
 
 
-def test_kneser_ney_sums_to_one():
-    rng = np.random.default_rng(1)
-    code = np.unique(rng.integers(0, perplexity.ALPHABET ** perplexity.ORDER, 4000))
-    p = np.exp(-perplexity.expanded(perplexity.smoothed(code, rng.integers(1, 9, len(code)))).astype(np.float64))
-    assert np.allclose(p.reshape(-1, perplexity.ALPHABET).sum(axis=1), 1, atol=1e-3)
+def test_kneser_ney_sums_to_one(llm):
+    """Over all units, in every context the model knows, of the tables that give the scores."""
+    rng = random.Random(1)
+    frame = llm.createDataFrame([(k, "".join(rng.choice("abcde ") for _ in range(300))) for k in range(8)], "doc_id long, text string")
+    levels = [{r.code % 2 ** 64: r for r in level.collect()} for level in reversed(perplexity.smoothed(perplexity.count_grams(frame)))]
+    all_units = sorted(levels[0])
+    backoff = [{code >> 16: r.backoff for code, r in level.items()} for level in levels]
+
+    def p(code, order):
+        lower = 1 / len(all_units) if order == 1 else p(code % 2 ** (16 * (order - 1)), order - 1)
+        seen = levels[order - 1].get(code)
+        return (seen.share if seen else 0) + backoff[order - 1].get(code >> 16, 1) * lower
+    for order in range(1, perplexity.ORDER + 1):
+        for context in backoff[order - 1]:
+            assert abs(sum(p(context << 16 | u, order) for u in all_units) - 1) < 1e-9
+    nll = {r.code % 2 ** 64: r.nll for r in perplexity.model(perplexity.count_grams(frame)).collect()}
+    assert all(abs(np.exp(-x) - p(code, perplexity.ORDER)) < 1e-9 for code, x in nll.items())
+
+
+def test_hash_arrays_find_what_they_hold():
+    rng = np.random.default_rng(2)
+    for size in (0, 1, 2, 3, 1000, 100_000):
+        code = np.unique(rng.integers(0, 2 ** 63, size).astype(np.uint64))
+        arrays = perplexity.HashArrays.of(code, np.arange(len(code)))
+        value, here = arrays.find(np.concatenate([code, code + np.uint64(2 ** 63)]))
+        assert here[:len(code)].all() and (value[:len(code)] == np.arange(len(code))).all()
+        assert not here[len(code):].any() and not value[len(code):].any()
+
+
+def test_grams_of_long_texts_in_parts(monkeypatch):
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abc \u0436\U00010000") for _ in range(n)) for n in (1, 7, 64, 65, 200, 3)] + [None, ""]
+    whole = {k: Counter(perplexity.packed(np.concatenate([np.zeros(3, np.uint16), perplexity.FOLD[perplexity.units(t)],
+                                                          np.zeros(1, np.uint16)])).tolist()) for k, t in enumerate(texts) if t}
+    monkeypatch.setattr(perplexity, "CHUNK", 64)
+    got = {}
+    for of, size, code in perplexity.gram_chunks(texts):
+        for k, part in zip(of.tolist(), np.split(code, np.cumsum(size)[:-1])):
+            got[k] = got.get(k, Counter()) + Counter(part.tolist())
+    assert got == whole
+    held = perplexity.HashArrays.of(np.array(sorted(whole[4])[::2], dtype=np.uint64), np.ones((len(whole[4]) + 1) // 2))
+    n_grams, nll, odd, odd_n = perplexity.score(texts, held)
+    assert n_grams.tolist() == [sum(whole.get(k, Counter()).values()) for k in range(len(texts))]
+    assert [x + sum(n) for x, n in zip(nll.tolist(), odd_n.to_pylist())] == n_grams.tolist()
+    assert all(set(codes) <= {np.uint64(c).astype(np.int64) for c in whole.get(k, ())} for k, codes in enumerate(odd.to_pylist()))
 
 
 def plain_log_ppl(texts):
