@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lessonlens import config as C
 from lessonlens.functions.columns import gender_label, is_active
-from lessonlens.operators.joins import bounded_broadcast
+from lessonlens.operators.joins import bounded_broadcast, one_plan
 from lessonlens.sources.fixtures import Sources
 
 ADDON_COLUMNS = ["user_id", "username", "gender", "centre_name", "org_name", "state_name",
@@ -44,6 +44,7 @@ def centre_attributes(src: Sources) -> DataFrame:
             .join(ct, "centre_type_id", "left"))
 
 
+@one_plan
 def user_addon(src: Sources) -> DataFrame:
     """One row per active user (x profile rows) at an active centre.
 
@@ -81,6 +82,7 @@ def batch_names(src: Sources) -> DataFrame:
             .agg(F.min("name").alias("batch_name")))
 
 
+@one_plan
 def lesson_export(progress: DataFrame, src: Sources, addon: DataFrame) -> DataFrame:
     """Lesson progress + batch name + readable addon columns in front.
 

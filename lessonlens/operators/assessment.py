@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from lessonlens import config as C
 from lessonlens.config import DEFAULT, Constants
 from lessonlens.functions.columns import null_if_blank
-from lessonlens.operators.joins import bounded_broadcast
+from lessonlens.operators.joins import bounded_broadcast, one_plan
 from lessonlens.session import checkpoint_partitioned
 from lessonlens.sources.fixtures import Sources
 
@@ -86,6 +86,7 @@ def population_window(src: Sources, window: tuple) -> DataFrame:
 
 
 # -- J14 ----------------------------------------------------------------------------
+@one_plan
 def candidates(src: Sources, pop: Population = DEFAULT_POPULATION, consts: Constants = DEFAULT,
                user_ids: DataFrame | None = None) -> DataFrame:
     """Completed, live responses to a configured assessment by a live user whose
@@ -253,6 +254,7 @@ def _ordered_distinct_join(pairs: F.Column, sep: str) -> F.Column:
     return F.when(F.size(vals) > 0, F.array_join(vals, sep))
 
 
+@one_plan
 def responses(src: Sources, pop: Population = DEFAULT_POPULATION, consts: Constants = DEFAULT,
               user_ids: DataFrame | None = None) -> DataFrame:
     """One row per user x selected attempt x answered question, in English.
@@ -318,6 +320,7 @@ def responses(src: Sources, pop: Population = DEFAULT_POPULATION, consts: Consta
 
 
 # -- J16 ---------------------------------------------------------------------------------
+@one_plan
 def user_status_report(src: Sources, requested: DataFrame, consts: Constants = DEFAULT) -> DataFrame:
     """Every requested user with first baseline / first later endline and a status.
     No centre-type or population filter, on purpose."""
@@ -352,6 +355,7 @@ def user_status_report(src: Sources, requested: DataFrame, consts: Constants = D
 
 
 # -- J17 ---------------------------------------------------------------------------------
+@one_plan
 def population_check(src: Sources, requested: DataFrame, window: tuple,
                      centre_types: tuple | None = DEFAULT.default_centre_types) -> DataFrame:
     """One row of survivor counts per predicate for the requested users."""
@@ -382,6 +386,7 @@ def centre_type_distribution(src: Sources, requested: DataFrame) -> DataFrame:
             .select(F.coalesce("code", F.lit("(no centre type)")).alias("centre_type"), "users"))
 
 
+@one_plan
 def attempt_counts(src: Sources, requested: DataFrame, consts: Constants = DEFAULT) -> DataFrame:
     """Per configured assessment, distinct users and completed attempts."""
     aset = assessment_set(src, consts)

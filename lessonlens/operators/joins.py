@@ -2,22 +2,70 @@
 
 from __future__ import annotations
 
+import functools
 import threading
+import time
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lessonlens.config import DEFAULT
 
-# Most bytes of one broadcast relation, whatever its row count.
+# Most bytes of one broadcast relation, whatever its row count, and of all those of one plan together.
 BROADCAST_BYTES = 64 * 1024 * 1024
+PLAN_BROADCAST_BYTES = 256 * 1024 * 1024
+SIZE_SECONDS = 600       # a size measured longer ago is measured anew (a stream's session lives long)
 
-_SIZE_CACHE: dict[tuple, int] = {}
+_SIZE_CACHE: dict[tuple, tuple[float, int, int]] = {}
 _LOCK = threading.Lock()
 
 
-def row_count(df: DataFrame, key: tuple | None = None) -> int:
-    """Row count of a dimension, memoised if ``key`` is given.
+class BroadcastBudget:
+    """Bytes that the broadcasts of one plan take together.  They are granted in the order in which
+    the plan is declared; a relation that the plan uses again costs nothing more."""
+
+    def __init__(self, limit: int | None = None):
+        self.limit = PLAN_BROADCAST_BYTES if limit is None else limit
+        self.spent: dict[int, int] = {}
+        self._lock = threading.Lock()
+
+    def grants(self, relation: int, size: int) -> bool:
+        with self._lock:
+            if relation not in self.spent:
+                if sum(self.spent.values()) + size > self.limit:
+                    return False
+                self.spent[relation] = size
+            return True
+
+
+_BUDGET: ContextVar[BroadcastBudget | None] = ContextVar("broadcast budget", default=None)
+
+
+@contextmanager
+def within(budget: BroadcastBudget) -> Iterator[None]:
+    """Joins declared here draw on ``budget``."""
+    token = _BUDGET.set(budget)
+    try:
+        yield
+    finally:
+        _BUDGET.reset(token)
+
+
+def one_plan(build):
+    """The joins that the function declares share one budget: that of the plan it is part of, or a new one."""
+    @functools.wraps(build)
+    def declared(*args, **kw):
+        with within(_BUDGET.get() or BroadcastBudget()):
+            return build(*args, **kw)
+    return declared
+
+
+def measured(df: DataFrame, key: tuple | None = None) -> tuple[int, int]:
+    """Rows and bytes of a dimension, memoised for a while if ``key`` is given: texts by their length, 8 bytes
+    for a fixed-width column, 1024 for a nested one, 16 for a row and for a text's place.
 
     The memo is looked up by the session and by the plan itself, so a scoped
     or otherwise filtered frame never answers for a full one of the same name.
@@ -25,34 +73,40 @@ def row_count(df: DataFrame, key: tuple | None = None) -> int:
     if key is not None:
         key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), *key)
         with _LOCK:
-            n = _SIZE_CACHE.get(key)
-        if n is not None:
-            return n
-    n = df.count()
+            at, *known = _SIZE_CACHE.get(key, (None,))
+        if at is not None and time.monotonic() - at < SIZE_SECONDS:
+            return known[0], known[1]
+    kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
+    texts = [c for c, k in kinds.items() if k in ("string", "binary", "varchar", "char")]
+    nested = sum(k in ("array", "map", "struct", "variant") for k in kinds.values())
+    width = 16 + 16 * len(texts) + 1024 * nested + 8 * (len(kinds) - len(texts) - nested)
+    n, *lengths = df.agg(F.count(F.lit(1)), *[F.sum(F.octet_length(F.col(f"`{c}`"))) for c in texts]).first()
+    size = n * width + sum(x or 0 for x in lengths)
     if key is not None:
         with _LOCK:
-            _SIZE_CACHE[key] = n
-    return n
+            _SIZE_CACHE[key] = (time.monotonic(), n, size)
+    return n, size
 
 
-def row_width(df: DataFrame) -> int:
-    """Bytes to expect of one row: 8 a fixed-width column, 64 a text, 1024 a nested one."""
-    kinds = [f.dataType.typeName() for f in df.schema.fields]
-    return 16 + sum(64 if k in ("string", "binary") else 1024 if k in ("array", "map", "struct") else 8 for k in kinds)
+def row_count(df: DataFrame, key: tuple | None = None) -> int:
+    """Row count of a dimension (``measured``)."""
+    return measured(df, key)[0]
 
 
 def may_broadcast(df: DataFrame, key: tuple | None = None, limit_rows: int | None = None) -> bool:
-    """Whether ``df`` is proven to stay under the row and byte bounds of a broadcast."""
+    """Whether ``df`` is proven to stay under the row and byte bounds of a broadcast, and the plan being
+    declared has that much left."""
     limit = DEFAULT.broadcast_row_limit if limit_rows is None else limit_rows
-    n = row_count(df, key)
-    return n <= limit and n * row_width(df) <= BROADCAST_BYTES
+    n, size = measured(df, key)
+    budget = _BUDGET.get()
+    return n <= limit and size <= BROADCAST_BYTES and (budget is None or budget.grants(df.semanticHash(), size))
 
 
 def bounded_broadcast(df: DataFrame, key: tuple | None = None,
                       limit_rows: int | None = None) -> DataFrame:
     """Broadcast ``df`` only when its size is proven (``may_broadcast``).
 
-    The count is one cheap job on a dimension-sized input.  Above the bounds the
+    The measure is one cheap job on a dimension-sized input.  Above the bounds the
     plain DataFrame is returned and Spark plans a shuffle join (AQE may still
     switch to broadcast at run time from real sizes, and splits skewed partitions).
     """

@@ -7,7 +7,7 @@ plan is declared once and reused by every product built from it.
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, wraps
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ from lessonlens.operators import allocation as A
 from lessonlens.operators import completion as CMP
 from lessonlens.operators import programme as PG
 from lessonlens.operators import rollup as R
-from lessonlens.operators.joins import may_broadcast
+from lessonlens.operators.joins import BroadcastBudget, may_broadcast, within
 from lessonlens.operators.scope import NO_SCOPE, Params, active_users
 from lessonlens.session import checkpoint_partitioned, user_partitions
 from lessonlens.sources.fixtures import Sources
@@ -37,6 +37,15 @@ SUBJECT_KEYS = ["user_id", "organisation_id", "user_type", "centre_id", "is_ple"
                 "subject_is_ple", "year_category", "subject_order", "allocation_path"]
 
 
+def _within_budget(build):
+    """The broadcasts of all products of a pipeline share its budget."""
+    @wraps(build)
+    def declared(self):
+        with within(self.budget):
+            return build(self)
+    return declared
+
+
 class Pipeline:
     def __init__(self, src: Sources, params: Params = NO_SCOPE, consts: Constants = DEFAULT,
                  ple_rule: str = "strict", excluded_types=None,
@@ -47,8 +56,10 @@ class Pipeline:
         self.ple_rule = ple_rule
         self.excluded_types = excluded_types
         self.user_keys = user_keys
+        self.budget = BroadcastBudget()
 
     @cached_property
+    @_within_budget
     def users(self) -> DataFrame:
         """Active users (with profile), hash-partitioned on ``user_id``.
 
@@ -78,6 +89,7 @@ class Pipeline:
         return self.users.select("user_id").distinct()
 
     @cached_property
+    @_within_budget
     def scope_ids(self) -> DataFrame | None:
         """The users of a restricted run, if they are proven few enough to broadcast; None
         for a full run, or where the scope is larger."""
@@ -95,15 +107,18 @@ class Pipeline:
         return keys
 
     @cached_property
+    @_within_budget
     def allocation(self) -> DataFrame:
         return A.allocation(self.src, self.users, self.params, self.consts, self.ple_rule,
                             self.excluded_types, self.scope_ids)
 
     @cached_property
+    @_within_budget
     def merged(self) -> DataFrame:
         return CMP.merge(self.allocation, self.src, user_partitions(self.src.spark), self.log_keys)
 
     # -- P1 / P2 ------------------------------------------------------------
+    @_within_budget
     def user_snapshot(self) -> DataFrame:
         """One row per active user with totals and the two nested arrays."""
         base = R.one_user_row(self.users)
@@ -117,6 +132,7 @@ class Pipeline:
         return out.select(*SNAPSHOT_COLUMNS)
 
     # -- P3 ---------------------------------------------------------------
+    @_within_budget
     def lesson_progress(self) -> DataFrame:
         """One row per user x allocated lesson (re-joined to the profile rows)."""
         prof = self.users.select("user_id", "organisation_id", "is_ple")
@@ -125,6 +141,7 @@ class Pipeline:
                 .select(*LESSON_PROGRESS_COLUMNS))
 
     # -- P4 ---------------------------------------------------------------
+    @_within_budget
     def subject_progress(self) -> DataFrame:
         """J9 (D8 + D9): one row per user x subject with a nested lessons array."""
         lp = self.lesson_progress()
