@@ -24,7 +24,7 @@ from lessonlens import config as C
 from lessonlens.config import DEFAULT, Constants
 from lessonlens.functions.columns import (assessment_flag, is_active, staff_access,
                                           toolkit_type, type_not_excluded, year_gate)
-from lessonlens.operators.joins import bounded_broadcast, dimension_join, gate_join
+from lessonlens.operators.joins import bounded_broadcast, dimension_join, gate_join, row_count
 from lessonlens.operators.scope import NO_SCOPE, Params
 from lessonlens.sources.fixtures import Sources
 
@@ -82,6 +82,11 @@ def eligible_lessons(src: Sources, learner: bool, consts: Constants = DEFAULT,
                     "student_access", "facilitator_access", "mastertrainer_access"))
 
 
+def catalogue_rows(src: Sources, consts: Constants = DEFAULT, excluded_types=None) -> int:
+    """Number of lessons that one user can be allocated."""
+    return row_count(eligible_lessons(src, False, consts, excluded_types), _key(src, ("lessons_any", excluded_types)))
+
+
 def _user_subjects(src: Sources, users: DataFrame, params: Params,
                    consts: Constants = DEFAULT) -> DataFrame:
     """Active users x their centre's active subjects (+ trade duration).

@@ -45,6 +45,12 @@ def scope_filter(df: DataFrame, params: Params, mapping: dict[str, str]) -> Data
     return df
 
 
+def scope_rows(src: Sources, params: Params = NO_SCOPE) -> DataFrame:
+    """Rows of the active users of types 1-4, as far as the scope is known from the user row."""
+    return scope_filter(src.users.where(F.col("type").isin(*C.USER_TYPES) & is_active()), params,
+                        {"user_id": "id", "centre_id": "centre_id"})
+
+
 def active_users(src: Sources, params: Params = NO_SCOPE, user_keys: DataFrame | None = None
                  ) -> DataFrame:
     """B2: active users of types 1-4 with their profile (left join).
@@ -52,12 +58,10 @@ def active_users(src: Sources, params: Params = NO_SCOPE, user_keys: DataFrame |
     ``user_keys`` (one column ``user_id``) restricts the population with a
     semi join — the set-based form of the per-user refresh loop.
     """
-    u = (src.users
-         .where(F.col("type").isin(*C.USER_TYPES) & is_active())
+    u = (scope_rows(src, params)
          .select(F.col("id").alias("user_id"), F.col("name").alias("user_name"),
                  "email", "mobile", F.col("type").alias("user_type"), "is_master_trainer",
                  "centre_id", "project_id", "organisation_id", "is_ple", "created_at"))
-    u = scope_filter(u, params, {"user_id": "user_id", "centre_id": "centre_id"})
     if user_keys is not None:
         u = u.join(user_keys.select("user_id").distinct(), "user_id", "left_semi")
     sd = src.student_details.select(

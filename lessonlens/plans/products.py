@@ -18,7 +18,7 @@ from lessonlens.operators import completion as CMP
 from lessonlens.operators import programme as PG
 from lessonlens.operators import rollup as R
 from lessonlens.operators.joins import BroadcastBudget, may_broadcast, within
-from lessonlens.operators.scope import NO_SCOPE, Params, active_users
+from lessonlens.operators.scope import NO_SCOPE, Params, active_users, scope_rows
 from lessonlens.session import checkpoint_partitioned, user_partitions
 from lessonlens.sources.fixtures import Sources
 
@@ -77,7 +77,17 @@ class Pipeline:
         all branches, and cuts the lineage.
         """
         return checkpoint_partitioned(active_users(self.src, self.params, self.user_keys),
-                                      "user_id")
+                                      "user_id", self.partitions)
+
+    @cached_property
+    def partitions(self) -> int:
+        """Partitions of the users and of all that is joined to them, by the most rows these can come to:
+        every user of the scope with every lesson of the catalogue, and in a full run the logs."""
+        users = scope_rows(self.src, self.params).count()
+        fan_out = users * A.catalogue_rows(self.src, self.consts, self.excluded_types)
+        if self.user_keys is None and self.params.is_empty():
+            fan_out += self.src.learning_activities.count() + self.src.facilitator_learning_activities.count()
+        return user_partitions(self.src.spark, fan_out)
 
     @cached_property
     def scoped_users(self) -> DataFrame | None:
@@ -115,7 +125,7 @@ class Pipeline:
     @cached_property
     @_within_budget
     def merged(self) -> DataFrame:
-        return CMP.merge(self.allocation, self.src, user_partitions(self.src.spark), self.log_keys)
+        return CMP.merge(self.allocation, self.src, self.partitions, self.log_keys)
 
     # -- P1 / P2 ------------------------------------------------------------
     @_within_budget

@@ -20,12 +20,13 @@ from __future__ import annotations
 import os
 import threading
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lessonlens.session import ensure_checkpoint_dir
+from lessonlens.session import deal, ensure_checkpoint_dir
 from lessonlens.sources.base import read_base
 
 SOFT_DELETE_TS = "2002-01-01 00:00:00"
@@ -70,6 +71,11 @@ class Sources:
     def base(self, name: str, *cols: str) -> DataFrame:
         return read_base(self.spark, self.sf_dir, name, *cols)
 
+    @cached_property
+    def log_rows(self) -> int:
+        """Rows of the largest log, by which exchanges are sized."""
+        return self.learning_activities.count()
+
     # -- helpers -----------------------------------------------------------
     def folded(self, table: str, key: str, k: int) -> DataFrame:
         """The distinct values ``n`` of ``key % k`` over all rows of a table."""
@@ -489,16 +495,23 @@ def materialize(src: Sources) -> Sources:
     The tables go to ``<spark.checkpoint.dir>/lessonlens_sources/<run>/`` — the
     shared folder the cluster names (a scratch folder only in local tests) —
     so queries read plain parquet tables, as they would read the real source
-    tables, and survive executor loss.  Returns a new :class:`Sources`.
+    tables, and survive executor loss.  A table derived from another is read from it.  Returns a
+    new :class:`Sources`.
     """
     out = Sources(src.spark, src.sf_dir)
-    for name in TABLES:
+    deal(src.spark, src.base("lineitem", "l_orderkey").count())
+
+    def store(name: str) -> None:
         path = out.derived_at(name)
-        df = getattr(src, name)
+        df = getattr(out, name)
         if name not in GROWING_TABLES:
             df = df.repartition(1)      # dimension-sized: one file; the scan above stays parallel
         df.write.mode("overwrite").parquet(path)
         out.__dict__[name] = src.spark.read.parquet(path)
+
+    with ThreadPoolExecutor(4) as some:     # most tables are small: their jobs fill the cluster together
+        for names in ([t for t in TABLES if t not in OF_STORED], OF_STORED):
+            list(some.map(store, names))
     return out
 
 
@@ -532,6 +545,7 @@ def sources_for(spark: SparkSession, sf_dir: str, materialized: bool | None = No
             if materialized:
                 src = materialize(src)
             _SOURCES[key] = src
+    deal(spark, src.log_rows)
     return src
 
 
@@ -541,6 +555,9 @@ GROWING_TABLES = frozenset({
     "facilitator_learning_activities", "ple_career_path_user", "phase_users",
     "ple_assessment_responses", "ple_assessment_response_keys"})
 
+# Growing tables that are derived from another one.
+OF_STORED = ("facilitator_learning_activities", "ple_assessment_response_keys")
+
 TABLES = (
     "users", "student_details", "login_logs", "centres", "organisations", "states",
     "districts", "centre_types", "subjects", "lessons", "lesson_types", "centre_subject",
