@@ -91,7 +91,8 @@ def lesson_export(progress: DataFrame, src: Sources, addon: DataFrame) -> DataFr
     """
     a = (addon.groupBy("user_id")
          .agg(F.min(F.struct(*EXPORT_FRONT)).alias("_a"))
-         .select("user_id", *[F.col("_a." + c).alias(c) for c in EXPORT_FRONT]))
+         .select("user_id", *[F.col("_a." + c).alias(c) for c in EXPORT_FRONT])
+         .hint("shuffle_hash"))        # the progress rows pass it unsorted
     out = (progress.join(bounded_broadcast(batch_names(src), _key(src, "batch_names")),
                          "batch_id", "left")
            .join(a, "user_id", "left"))

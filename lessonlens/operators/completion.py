@@ -68,8 +68,9 @@ def merge(allocation: DataFrame, src: Sources, partitions: int | None = None,
     the semi-join-restricted completion above without joining users again.
     The aggregated completion is hash-partitioned on ``user_id`` so the join
     reuses the allocation's partitioning and the per-user roll-ups downstream
-    need no further shuffle of the user x lesson rows.  ``keys`` restrict both
-    logs of a scoped run before they are aggregated.
+    need no further shuffle of the user x lesson rows.  The join hashes a partition's
+    completion (one row per user and lesson) and lets the allocation, the far larger
+    side, pass unsorted.  ``keys`` restrict both logs of a scoped run before they are aggregated.
     """
     comp = (_aggregate(src.learning_activities, keys).withColumn("_src", F.lit(LEARNER))
             .unionByName(_aggregate(src.facilitator_learning_activities, keys)
@@ -78,6 +79,6 @@ def merge(allocation: DataFrame, src: Sources, partitions: int | None = None,
     comp = comp.repartition(partitions, "user_id") if partitions else comp.repartition("user_id")
     alloc = allocation.withColumn(
         "_src", F.when(F.col("user_type").isin(*C.LEARNER_TYPES), LEARNER).otherwise(STAFF))
-    return (alloc.join(comp, ["user_id", "lesson_id", "_src"], "left")
+    return (alloc.join(comp.hint("shuffle_hash"), ["user_id", "lesson_id", "_src"], "left")
             .withColumn("completed", F.when(F.col("_hit").isNull(), 0).otherwise(1).cast("int"))
             .drop("_src", "_hit"))

@@ -145,7 +145,8 @@ class Pipeline:
     @_within_budget
     def lesson_progress(self) -> DataFrame:
         """One row per user x allocated lesson (re-joined to the profile rows)."""
-        prof = self.users.select("user_id", "organisation_id", "is_ple")
+        # a partition's users fit in memory: the user x lesson rows pass them unsorted
+        prof = self.users.select("user_id", "organisation_id", "is_ple").hint("shuffle_hash")
         return (self.merged.drop("is_ple").join(prof, "user_id")
                 .withColumnRenamed("year_to_map", "year_category")
                 .select(*LESSON_PROGRESS_COLUMNS))

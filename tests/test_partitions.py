@@ -21,6 +21,10 @@ def dealt(spark):
         spark.conf.set(DEALT, before)
 
 
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_partitions_grow_with_users_and_catalogue(spark, sources, monkeypatch):
     monkeypatch.setattr(session, "FAN_OUT_ROWS", 1000)
 
@@ -58,6 +62,12 @@ def test_settings_are_as_before_after_a_checkpoint(spark):
     assert df.rdd.getNumPartitions() == 31 and [spark.conf.get(n) for n in names] == before
 
 
+def test_fan_out_passes_the_completion_unsorted(sources):
+    plan = _plan(Pipeline(sources).merged)
+    assert any("ShuffledHashJoin [user_id" in x and "LeftOuter, BuildRight" in x for x in plan.splitlines())
+    assert not any("SortMergeJoin [user_id" in x and "_src" in x for x in plan.splitlines())
+
+
 def test_stored_tables_hold_the_derived_rows(spark, sources):
     lazy = fixtures.Sources(spark, sources.sf_dir)
     for name in (*fixtures.OF_STORED, "batches", "ple_assessment_options", "centre_subject"):
