@@ -139,7 +139,7 @@ def alloc_paths(src: Sources, users: DataFrame, params: Params = NO_SCOPE,
               .join(bounded_broadcast(paths, _key(src, "ple_career_paths")), "job_type_id", "left")
               .select("user_id", "career_path_id", "career_path_name", "career_path_updated_at"))
     u = users.withColumn("allocation_path", _path()).where(path.isNotNull())
-    u = u.join(latest, "user_id", "left")
+    u = u.join(latest.hint("shuffle_hash"), "user_id", "left")     # one row per user: hashed at any size
     us = _user_subjects(src, u, params, consts)
     spcp = src.subject_ple_career_path.select(F.col("ple_career_path_id").alias("career_path_id"),
                                               "subject_id")

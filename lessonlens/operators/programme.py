@@ -96,6 +96,7 @@ def phase_rows(src: Sources, users: DataFrame, params: Params = NO_SCOPE) -> Dat
     sized), then left-joined to their phase rows on (user, centre, project)
     with the NULL-tolerant batch condition as a residual predicate: a direct
     phase row (no batch) matches any user, a batch row only the same batch.
+    The phase rows of a partition's users (bounded by the phase catalogue) are hashed.
     """
     phases = phase_batch(src, users, params).unionByName(phase_direct(src, users, params))
     cp = centre_programme(src, params)
@@ -104,7 +105,7 @@ def phase_rows(src: Sources, users: DataFrame, params: Params = NO_SCOPE) -> Dat
     cond = ((F.col("p_user_id") == F.col("user_id")) & (F.col("p_centre_id") == F.col("centre_id"))
             & (F.col("p_project_id") == F.col("project_id"))
             & (F.col("p_batch_id").isNull() | (F.col("p_batch_id") == F.col("batch_id"))))
-    return (u.join(phases, cond, "left")
+    return (u.join(phases.hint("shuffle_hash"), cond, "left")
             .select("user_id", "program_name", "project_id", "project_name", "p_phase_id",
                     "phase_name")
             .distinct())

@@ -134,7 +134,9 @@ class Pipeline:
         base = R.one_user_row(self.users)
         combos = R.subject_combos(self.merged)
         projects = PG.project_combos(self.src, self.users, self.params)
-        out = base.join(projects, "user_id", "left").join(combos, "user_id", "left")
+        # one row per user on every side, a partition's users fit in memory: hashed, none is sorted
+        out = (base.join(projects.hint("shuffle_hash"), "user_id", "left")
+               .join(combos.hint("shuffle_hash"), "user_id", "left"))
         for c in R.TOTALS:
             out = out.withColumn(c, F.coalesce(F.col(c), F.lit(0).cast("bigint")))
         out = out.withColumn("completion_pct",

@@ -68,6 +68,17 @@ def test_fan_out_passes_the_completion_unsorted(sources):
     assert not any("SortMergeJoin [user_id" in x and "_src" in x for x in plan.splitlines())
 
 
+def test_snapshot_joins_its_users_unsorted(spark, sources):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")          # as where the user tables are too large to broadcast
+    try:
+        joins = [x for x in _plan(Pipeline(sources).user_snapshot()).splitlines() if "LeftOuter" in x and "Join [user_id" in x]
+    finally:
+        spark.conf.set(name, before)
+    assert len(joins) == 5 and all("ShuffledHashJoin" in x and "BuildRight" in x for x in joins)
+
+
 def test_stored_tables_hold_the_derived_rows(spark, sources):
     lazy = fixtures.Sources(spark, sources.sf_dir)
     for name in (*fixtures.OF_STORED, "batches", "ple_assessment_options", "centre_subject"):
