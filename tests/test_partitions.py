@@ -1,24 +1,38 @@
 """A task's share of the user x lesson rows does not grow with the data."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import make_sources
 from lessonlens import session
 from lessonlens.operators import allocation as A
+from lessonlens.operators import completion as CMP
 from lessonlens.plans.products import Pipeline
 from lessonlens.sources import fixtures
 
 DEALT = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+MERGED = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+PARALLEL_FIRST = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+
+
+def _restored(spark, *names):
+    before = {n: spark.conf.get(n, None) for n in names}
+    yield
+    for n, value in before.items():
+        if value is None:
+            spark.conf.unset(n)
+        else:
+            spark.conf.set(n, value)
 
 
 @pytest.fixture
 def dealt(spark):
-    before = spark.conf.get(DEALT, None)
-    yield
-    if before is None:
-        spark.conf.unset(DEALT)
-    else:
-        spark.conf.set(DEALT, before)
+    yield from _restored(spark, DEALT)
+
+
+@pytest.fixture
+def merged(spark):
+    yield from _restored(spark, DEALT, MERGED, PARALLEL_FIRST)
 
 
 def _plan(df) -> str:
@@ -55,6 +69,28 @@ def test_exchanges_are_sized_by_the_logs(spark, dealt, monkeypatch):
     assert int(spark.conf.get("spark.sql.shuffle.partitions")) == plain
 
 
+def test_logs_are_not_merged_into_large_tasks(spark, merged, monkeypatch):
+    logs = spark.range(1_000_000).selectExpr("id * 7 % 1000000 AS user_id", "id % 500 AS lesson_id", "1 AS completed",
+                                           "CAST(id % 100 AS DECIMAL(10,2)) AS score",
+                                           "CAST(id % 5 AS DECIMAL(10,2)) AS rating", "CAST(id % 60 AS INT) AS duration")
+    monkeypatch.setattr(session, "MERGED_BYTES", "1m")
+    monkeypatch.setattr(session, "LOG_ROWS", 10_000)
+    spark.conf.set(PARALLEL_FIRST, "false")     # as where the logs are large: each task is filled up to the size
+    spark.conf.unset(MERGED)
+    session.deal(spark, 1_000_000)
+    tasks = [r["count"] for r in CMP._aggregate(logs).groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(tasks) == 1_000_000 and max(tasks) < 250_000
+
+
+def test_a_merged_size_of_the_session_is_kept(spark, merged):
+    spark.conf.set(MERGED, "8m")
+    session.deal(spark, 100)
+    assert spark.conf.get(MERGED) == "8m"
+    spark.conf.unset(MERGED)
+    session.deal(spark, 100)
+    assert spark.conf.get(MERGED) == session.MERGED_BYTES
+
+
 def test_settings_are_as_before_after_a_checkpoint(spark):
     names = ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")
     before = [spark.conf.get(n) for n in names]
